@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from siftline.functions.rules import CONGLOMERATE, FOREIGN, STARTUP, Profile
 from siftline.operators.state import add_missing_columns
 from siftline.schemas import SEEN, SEEN_COLUMNS
+from siftline.session import spread
 
 AS_OF = "2024-01-31 00:00:00"
 CLOCK = f"TIMESTAMP '{AS_OF}'"
@@ -248,7 +249,7 @@ class Tables:
 
     @cached_property
     def postings(self) -> DataFrame:
-        return self._pick(self.documents, POSTINGS)
+        return self._pick(spread(self.documents), POSTINGS)
 
     @cached_property
     def responses(self) -> DataFrame:

@@ -17,16 +17,24 @@ from siftline.operators.dedup import new_rows
 from siftline.plans.daily import posting_features, run_daily
 from siftline.plans.exports import daily_exports
 from siftline.plans.weekly import weekly_report
+from siftline.session import stage
 
-_MERGED = "dedup_key, canonical_key, canonical_group_id, merge_order"
 
 
-@query("canonical_merge", f"SELECT {_MERGED} FROM @merged_all")
-def canonical_merge(t):
+def _keyed(t):
+    """What merging needs, staged: it reads its input more than once."""
     narrow = with_merge_columns(t.postings).select(
         "seq", "source", "dedup_key", "canonical_key", "completeness"
     )
-    return merge_cross_platform(narrow).select(*_MERGED.split(", "))
+    return stage(narrow, "keyed")
+
+
+_MERGED = "dedup_key, canonical_key, canonical_group_id, merge_order"
+
+
+@query("canonical_merge", f"SELECT {_MERGED} FROM @merged_all")
+def canonical_merge(t):
+    return merge_cross_platform(_keyed(t)).select(*_MERGED.split(", "))
 
 
 @query(
@@ -35,7 +43,7 @@ def canonical_merge(t):
        seq) AS position, dedup_key, source FROM @features WHERE canonical_key <> ''""",
 )
 def canonical_members(t):
-    return group_members(with_merge_columns(t.postings))
+    return group_members(_keyed(t))
 
 
 @query(
@@ -50,8 +58,8 @@ def aged_postings(t):
 
 def _kept(t):
     features = posting_features(t.postings, PROFILE, AS_OF, EMPLOYERS)
-    merged = merge_cross_platform(new_rows(features, t.history))
-    return merged.where(D.within_age(F.col("freshness_days")))
+    merged = merge_cross_platform(stage(new_rows(features, t.history), "fresh"))
+    return stage(merged.where(D.within_age(F.col("freshness_days"))), "kept")
 
 
 def _verdicts(t, kept):

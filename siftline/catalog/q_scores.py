@@ -15,6 +15,7 @@ from siftline.operators import scoring as O
 from siftline.operators.ranking import top_recommendations, with_ranking_score
 from siftline.operators.state import set_score
 from siftline.plans.daily import posting_features
+from siftline.session import stage
 
 
 @query(
@@ -40,7 +41,7 @@ _SCORED = ("dedup_key", "keyword_score", "ai_match_score", "match_reasons", "pos
 
 
 def _scored_all(t):
-    narrow = O.with_keyword_score(t.postings, PROFILE).drop("jd_text")
+    narrow = stage(O.with_keyword_score(t.postings, PROFILE).drop("jd_text"), "keyword_scores")
     return O.score_postings(narrow, t.responses)
 
 
@@ -111,7 +112,7 @@ SELECT *, CASE WHEN ai_match_score >= 40 THEN ai_match_score + {twins.bonus_of('
         ORDER BY ranking_score DESC, {_RANK} LIMIT 10""",
 )
 def top_k(t):
-    features = posting_features(t.postings, PROFILE, AS_OF, EMPLOYERS)
+    features = stage(posting_features(t.postings, PROFILE, AS_OF, EMPLOYERS), "features")
     scored = (
         O.score_postings(features, t.responses)
         .withColumn("company_type", F.lit(""))

@@ -11,6 +11,7 @@ from siftline.sources import html_postings as H
 from siftline.sources import json_postings as J
 from siftline.sources.common import document_seq, recent, union_sources
 from siftline.operators.dedup import cap_per_source
+from siftline.session import spread
 
 _JSON_ITEM = """to_json(named_struct('id', seq, 'url', url,
   'position', named_struct('title', title, 'location', named_struct('name', location),
@@ -177,7 +178,7 @@ _PLAIN_LIST = H.ListLayout(host="https://pages.example.org", item=r"<li\b[^>]*>"
         WHERE nth = 1""",
 )
 def html_list_pages(t):
-    return H.html_list_postings(t.read("pages"), AS_OF, layout=_PLAIN_LIST).select(
+    return H.html_list_postings(spread(t.read("pages")), AS_OF, layout=_PLAIN_LIST).select(
         "source_id", "url", "title"
     )
 

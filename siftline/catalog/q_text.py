@@ -12,6 +12,7 @@ from siftline.functions import rules as R
 from siftline.functions import scores as S
 from siftline.functions import text as X_
 from siftline.operators.scoring import with_keyword_score
+from siftline.session import spread
 from siftline.sources.csv_sink import csv_cells
 
 
@@ -34,7 +35,7 @@ _MIXED = "text || repeat('한글 ', CAST(floor(n_chars * (doc_id % 5) / 10) AS I
 )
 def text_language(t):
     mixed = F.expr(f"CASE WHEN doc_id % 7 = 0 THEN '' ELSE {_MIXED} END")
-    return t.documents.select("doc_id", mixed.alias("t")).select(
+    return spread(t.documents).select("doc_id", mixed.alias("t")).select(
         "doc_id", R.text_language(F.col("t")).alias("jd_language")
     )
 

@@ -60,8 +60,10 @@ def normalize_company(c: Column) -> Column:
 
 def canonical_key(company: Column, title: Column) -> Column:
     """``company|title`` after normalisation; blank when either half is blank."""
-    c, t = normalize_text(company), normalize_text(title)
-    return F.when((c != "") & (t != ""), F.concat_ws("|", c, t)).otherwise("")
+    # nullif() and concat() evaluate each half once; comparing and then joining
+    # would do the whole chain of replacements twice.
+    halves = [F.nullif(normalize_text(c), F.lit("")) for c in (company, title)]
+    return F.coalesce(F.concat(halves[0], F.lit("|"), halves[1]), F.lit(""))
 
 
 def dedup_key(source: Column, source_id: Column) -> Column:

@@ -14,6 +14,9 @@ SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.files.maxPartitionBytes": "256m",
+    # Call sites of column expressions are of use in a notebook; in a job they
+    # only slow down the building of plans.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
     "spark.sql.streaming.stateStore.providerClass":
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
 }
@@ -40,6 +43,18 @@ def shared_dir(spark: SparkSession) -> str:
     return named.rstrip("/")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Deal out the rows of a table that lies in a single file.
+
+    A row group is read by one task, so a small table in one file leaves all but
+    one core idle in front of expressions on long texts.  Tables in more files,
+    that is all large ones, are left as they are.
+    """
+    if len(df.inputFiles()) != 1:
+        return df
+    return df.repartition(df.sparkSession.sparkContext.defaultParallelism, df.columns[0])
+
+
 def stage_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/siftline/{uuid.uuid4().hex}/{name}"
 

@@ -143,20 +143,6 @@ def html_list_postings(
         next_cell = r"""(?=<div\b[^>]*\bclass\s*=\s*["'][^"']*cell_|\z)"""
         box = F.regexp_extract(card, f"(?is){layout.title_box}(.*?){next_cell}", 1)
     link = F.regexp_extract(F.col("_box"), _LINK, 0)
-    rows = (
-        _pieces(pages, html, f"(?i){layout.item}")
-        .withColumn("_box", box)
-        .withColumn("_link", link)
-        .withColumn("_href", attribute(F.col("_link"), "href"))
-        .where(F.col("_href") != "")
-        .withColumn(
-            "source_id",
-            F.coalesce(
-                F.nullif(F.regexp_extract("_href", layout.id_pattern, 1), F.lit("")),
-                F.col("_href"),
-            ),
-        )
-    )
     company = F.lit("")
     if layout.company_link:
         company = inner_text(F.regexp_extract(card, f"(?is){layout.company_link}(.*?)</a>", 1))
@@ -167,17 +153,28 @@ def html_list_postings(
     posted = F.lit("")
     if layout.date_box:
         posted = inner_text(F.regexp_extract(card, f"(?is){layout.date_box}(.*?)</div>", 1))
-    # The id counts as taken even when the item turns out to have no title.
-    kept = keep_first(rows, key="source_id").select(
-        "seq",
-        "source_id",
-        absolute_url(F.col("_href"), layout.host).alias("url"),
-        inner_text(F.col("_link")).alias("title"),
-        company.alias("company"),
-        experience.alias("experience_required"),
-        posted.alias("posted_date"),
+    number = F.nullif(F.regexp_extract("_href", layout.id_pattern, 1), F.lit(""))
+    rows = (
+        _pieces(pages, html, f"(?i){layout.item}")
+        .withColumn("_box", box)
+        .withColumn("_link", link)
+        .withColumn("_href", attribute(F.col("_link"), "href"))
+        .select(
+            "seq",
+            F.coalesce(number, F.col("_href")).alias("source_id"),
+            absolute_url(F.col("_href"), layout.host).alias("url"),
+            inner_text(F.col("_link")).alias("title"),
+            company.alias("company"),
+            experience.alias("experience_required"),
+            posted.alias("posted_date"),
+            (F.col("_href") != "").alias("_linked"),
+        )
     )
-    return as_postings(kept.where(F.col("title") != ""), source, as_of)
+    # An id counts as taken even when its item turns out to have no title.  Items
+    # without an address are dropped only here: a filter before the window would
+    # be pushed down and run the expressions above a second time.
+    kept = keep_first(rows, key="source_id").where(F.col("_linked") & (F.col("title") != ""))
+    return as_postings(kept, source, as_of)
 
 
 def html_card_postings(
@@ -206,26 +203,30 @@ def html_card_postings(
         F.greatest(F.size("_links") - F.col("_title_at").cast("int"), F.lit(0)),
     )
     company = F.filter(after_title, lambda x: F.length(x["text"]) > MIN_COMPANY)
+    complete = (F.col("_title_at") > 0) & (F.col("_href") != "")
     rows = (
         _pieces(pages, F.col("html"), CARD_OPEN)
         .withColumn("_links", links)
         .withColumn("_title_at", title_at)
-        .where(F.col("_title_at") > 0)
         .withColumn("_href", F.coalesce(F.get(numbered, F.lit(0))["href"], F.lit("")))
-        .where(F.col("_href") != "")
-        .withColumn("source_id", F.regexp_extract("_href", CARD_ID, 1))
         .withColumn("_spans", F.transform(_all(F.col("card"), _SPAN, 1), inner_text))
+        .select(
+            "seq",
+            # Only a complete card takes its id; the others share the blank one.
+            F.when(complete, F.regexp_extract("_href", CARD_ID, 1))
+            .otherwise("")
+            .alias("source_id"),
+            absolute_url(F.col("_href"), CARD_HOST).alias("url"),
+            F.coalesce(
+                F.get("_links", F.col("_title_at").cast("int") - 1)["text"], F.lit("")
+            ).alias("title"),
+            F.coalesce(F.get(company, F.lit(0))["text"], F.lit("")).alias("company"),
+            _containing(F.col("_spans"), REGION_WORDS).alias("location"),
+            _containing(F.col("_spans"), EXPERIENCE_WORDS).alias("experience_required"),
+            complete.alias("_complete"),
+        )
     )
-    kept = keep_first(rows, key="source_id").select(
-        "seq",
-        "source_id",
-        absolute_url(F.col("_href"), CARD_HOST).alias("url"),
-        F.get("_links", F.col("_title_at").cast("int") - 1)["text"].alias("title"),
-        F.coalesce(F.get(company, F.lit(0))["text"], F.lit("")).alias("company"),
-        _containing(F.col("_spans"), REGION_WORDS).alias("location"),
-        _containing(F.col("_spans"), EXPERIENCE_WORDS).alias("experience_required"),
-    )
-    return as_postings(kept, source, as_of)
+    return as_postings(keep_first(rows, key="source_id").where("_complete"), source, as_of)
 
 
 def extract_with(

@@ -52,9 +52,10 @@ def _items(payloads: DataFrame, *paths: str, single: str | None = None) -> DataF
     found = [F.try_variant_get(doc, p, "array<variant>") for p in paths]
     if single is not None:
         found.append(F.array(F.try_variant_get(doc, single, "variant")))
+    # No filter on _doc: it would be pushed below and parse every payload twice,
+    # and there is nothing to explode in NULL anyway.
     return (
         payloads.select("payload_id", _parsed().alias("_doc"))
-        .where(doc.isNotNull())
         .select("payload_id", F.posexplode(F.coalesce(*found)).alias("_pos", "item"))
         .where(F.col("item").isNotNull())
         .withColumn("seq", document_seq(F.col("payload_id"), F.col("_pos")))
