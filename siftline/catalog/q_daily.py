@@ -63,7 +63,8 @@ def _kept(t):
 
 
 def _verdicts(t, kept):
-    return C.company_verdicts(kept, t.cache, t.snippets, EMPLOYERS, order="merge_order")
+    verdicts = C.company_verdicts(kept, t.cache, t.snippets, EMPLOYERS, order="merge_order")
+    return stage(verdicts, "verdicts")
 
 
 @query(

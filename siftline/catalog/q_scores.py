@@ -41,8 +41,8 @@ _SCORED = ("dedup_key", "keyword_score", "ai_match_score", "match_reasons", "pos
 
 
 def _scored_all(t):
-    narrow = stage(O.with_keyword_score(t.postings, PROFILE).drop("jd_text"), "keyword_scores")
-    return O.score_postings(narrow, t.responses)
+    narrow = O.with_keyword_score(t.postings, PROFILE).drop("jd_text")
+    return O.spend_budget(stage(O.attach_responses(narrow, t.responses), "attached"))
 
 
 @query("budgeted_scores", f"SELECT {', '.join(_SCORED)} FROM @scored_all")
@@ -112,9 +112,10 @@ SELECT *, CASE WHEN ai_match_score >= 40 THEN ai_match_score + {twins.bonus_of('
         ORDER BY ranking_score DESC, {_RANK} LIMIT 10""",
 )
 def top_k(t):
-    features = stage(posting_features(t.postings, PROFILE, AS_OF, EMPLOYERS), "features")
+    features = posting_features(t.postings, PROFILE, AS_OF, EMPLOYERS)
+    attached = stage(O.attach_responses(features, t.responses), "attached")
     scored = (
-        O.score_postings(features, t.responses)
+        O.spend_budget(attached)
         .withColumn("company_type", F.lit(""))
         .withColumn("company_type_confidence", F.lit("unverified"))
     )

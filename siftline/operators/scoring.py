@@ -21,6 +21,9 @@ DAILY_BUDGET_USD = 0.50
 
 RESPONSE_SCHEMA = "dedup_key string, response_text string, input_tokens bigint, output_tokens bigint"
 
+# Columns of a response once it is read.
+RESPONSE_COLUMNS = ("valid", "response_score", "reasons", "positioning", "cost_units")
+
 Scorer = Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]
 
 
@@ -75,33 +78,26 @@ def read_responses(responses: DataFrame) -> DataFrame:
     )
 
 
-def score_postings(
-    postings: DataFrame,
-    responses: DataFrame | None = None,
+def attach_responses(postings: DataFrame, responses: DataFrame) -> DataFrame:
+    """Left join of postings with what their responses say (keys are unique)."""
+    return postings.join(read_responses(responses), "dedup_key", "left")
+
+
+def spend_budget(
+    attached: DataFrame,
     budget_usd: float = DAILY_BUDGET_USD,
     order: str = "seq",
     group: tuple[str, ...] = (),
 ) -> DataFrame:
-    """Attach the fit score, reasons, advice and the cost actually spent.
+    """Settle scores of :func:`attach_responses` output within the budget.
 
-    Prefiltered postings are taken by ``keyword_score`` descending, then
-    ``order``, until the money spent exceeds the budget; the posting that
-    crosses it still counts.  Whoever gets no usable score, or exactly zero,
-    falls back on keywords.  Rows that did not pass the prefilter score 0.
+    Reads its input twice (running totals per block, then the rows), so stage
+    it where it is costly.
     """
     passed = F.col("prefilter_passed") == 1
     fallback = S.keyword_fallback(F.col("keyword_score"))
-    if responses is None:
-        return (
-            postings.withColumn("ai_match_score", F.when(passed, fallback).otherwise(0.0))
-            .withColumn("match_reasons", F.lit(""))
-            .withColumn("positioning_advice", F.lit(""))
-            .withColumn("spent_units", F.lit(0).cast("bigint"))
-        )
-
-    joined = postings.join(read_responses(responses), "dedup_key", "left")
     usable = passed & F.coalesce(F.col("valid"), F.lit(False))
-    priced = joined.withColumn("_usable", usable).withColumn(
+    priced = attached.withColumn("_usable", usable).withColumn(
         "_cost", F.when(F.col("_usable"), F.col("cost_units")).otherwise(F.lit(0))
     )
     spent = preceding_sum(
@@ -113,27 +109,44 @@ def score_postings(
         name="_spent_before",
     )
     counted = F.col("_usable") & (F.col("_spent_before") <= S.usd_to_units(budget_usd))
+    score = (
+        F.when(F.col("_counted") & (F.col("response_score") != 0), F.col("response_score"))
+        .when(passed, fallback)
+        .otherwise(0.0)
+    )
+    given = {"match_reasons": "reasons", "positioning_advice": "positioning"}
+    return spent.withColumn("_counted", counted).select(
+        *[c for c in attached.columns if c not in RESPONSE_COLUMNS],
+        score.alias("ai_match_score"),
+        *[F.when(F.col("_counted"), F.col(c)).otherwise("").alias(n) for n, c in given.items()],
+        F.when(F.col("_counted"), F.col("_cost")).otherwise(F.lit(0)).alias("spent_units"),
+    )
+
+
+def score_postings(
+    postings: DataFrame,
+    responses: DataFrame | None = None,
+    budget_usd: float = DAILY_BUDGET_USD,
+    order: str = "seq",
+    group: tuple[str, ...] = (),
+) -> DataFrame:
+    """Attach the fit score, reasons, advice and the cost actually spent.
+
+    Prefiltered postings are taken by ``keyword_score`` descending, then
+    ``order``, until the money spent exceeds the budget; the posting that
+    crosses it still counts.  Whoever gets no usable score, or exactly zero,
+    falls back on keywords.  Rows that did not pass the prefilter score 0.
+    """
+    if responses is not None:
+        return spend_budget(attach_responses(postings, responses), budget_usd, order, group)
+    fallback = S.keyword_fallback(F.col("keyword_score"))
     return (
-        spent.withColumn("_counted", counted)
-        .withColumn(
-            "ai_match_score",
-            F.when(
-                F.col("_counted") & (F.col("response_score") != 0), F.col("response_score")
-            )
-            .when(passed, fallback)
-            .otherwise(0.0),
-        )
-        .withColumn("match_reasons", F.when(F.col("_counted"), F.col("reasons")).otherwise(""))
-        .withColumn(
-            "positioning_advice", F.when(F.col("_counted"), F.col("positioning")).otherwise("")
-        )
-        .withColumn(
-            "spent_units", F.when(F.col("_counted"), F.col("_cost")).otherwise(F.lit(0))
-        )
-        .select(
-            *postings.columns, "ai_match_score", "match_reasons", "positioning_advice",
-            "spent_units",
+        postings.withColumn(
+            "ai_match_score", F.when(F.col("prefilter_passed") == 1, fallback).otherwise(0.0)
         )
+        .withColumn("match_reasons", F.lit(""))
+        .withColumn("positioning_advice", F.lit(""))
+        .withColumn("spent_units", F.lit(0).cast("bigint"))
     )
 
 

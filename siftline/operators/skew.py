@@ -24,9 +24,9 @@ def lookup(
 
     ``dim[weight]`` says how many fact rows a key has.  The ``hot_keys`` heaviest
     rows of ``dim`` are broadcast: a bounded number, whatever the data.  Fact
-    rows they serve are scattered over the shuffle by ``spread_by`` instead of
-    following their key; every other key has at most one in ``hot_keys`` of the
-    rows and takes the ordinary shuffled join.
+    rows they serve, and those without a key, are scattered over the shuffle by
+    ``spread_by`` instead of following their key; every other key has at most
+    one in ``hot_keys`` of the rows and takes the ordinary shuffled join.
     """
     values = [c for c in dim.columns if c not in (key, weight)]
     packed = F.struct(*values)
@@ -35,16 +35,18 @@ def lookup(
         .limit(hot_keys)
         .select(key, packed.alias("_hot"))
     )
-    light = dim.select(
-        F.col(key).alias("_light_key"), F.lit(0).alias("_salt"), packed.alias("_light")
-    )
-    served = F.col("_hot").isNotNull()
+    # Always 0, but not a literal: that would be folded into a filter on the
+    # other side, and the salt would drop out of the shuffle key.
+    zero = F.pmod(F.xxhash64(key), F.lit(1)).cast("int")
+    light = dim.select(F.col(key).alias("_light_key"), zero.alias("_salt"), packed.alias("_light"))
+    scattered = F.col("_hot").isNotNull() | F.col(key).isNull()
     salted = (
         facts.join(F.broadcast(heavy), key, "left")
-        .withColumn("_light_key", F.when(~served, F.col(key)))
+        .withColumn("_light_key", F.when(~scattered, F.col(key)))
         .withColumn(
             "_salt",
-            F.when(served, F.pmod(F.xxhash64(spread_by), F.lit(_SPREAD)).cast("int")).otherwise(0),
+            F.when(scattered, F.pmod(F.xxhash64(spread_by), F.lit(_SPREAD)).cast("int"))
+            .otherwise(0),
         )
     )
     found = F.coalesce(F.col("_hot"), F.col("_light"))

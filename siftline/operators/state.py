@@ -29,12 +29,17 @@ def add_missing_columns(df: DataFrame, spec: Sequence[ColumnSpec]) -> DataFrame:
     )
 
 
-def first_sight(rows: DataFrame, as_of: datetime | str | Column) -> DataFrame:
-    """History rows for new postings: identity, times, and defaults for the rest."""
+def first_sight(
+    rows: DataFrame, as_of: datetime | str | Column, keep: Sequence[str] = ()
+) -> DataFrame:
+    """History rows for new postings: identity, times, and defaults for the rest.
+
+    Columns named in ``keep`` are carried along, for a later join.
+    """
     now = as_timestamp(as_of)
     identity = [name for name, _, _ in SEEN_BASE[:6]]
-    known = rows.select(*identity, now.alias("first_seen"), now.alias("last_seen"))
-    return add_missing_columns(known, SEEN).select(*[name for name, _, _ in SEEN])
+    known = rows.select(*identity, *keep, now.alias("first_seen"), now.alias("last_seen"))
+    return add_missing_columns(known, SEEN).select(*[name for name, _, _ in SEEN], *keep)
 
 
 def apply_updates(

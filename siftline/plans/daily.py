@@ -24,14 +24,16 @@ from siftline.operators.ranking import (
 from siftline.operators.scoring import (
     DAILY_BUDGET_USD,
     PREFILTER_MIN,
+    attach_responses,
     enrich_shortlist,
     score_postings,
     search_address,
+    spend_budget,
     with_keyword_score,
 )
 from siftline.operators.state import KEPT_TEXT, apply_updates, first_sight, run_row
 from siftline.plans.marts import AsOf
-from siftline.schemas import SOURCE_ORDER
+from siftline.schemas import SEEN_COLUMNS, SOURCE_ORDER
 from siftline.session import stage as stage_table
 from siftline.sources.common import source_counts, zero_result_errors
 
@@ -115,24 +117,32 @@ def run_daily(
 ) -> DailyRun:
     """New keys -> merge -> age cutoff -> employer class -> scores -> shortlist.
 
-    ``stage`` writes a narrow intermediate table once and reads it back; three
-    are written, none with job texts.
+    ``stage`` writes an intermediate table once and reads it back.  The tables
+    that are needed more than once are staged; none of them has job texts.
     """
     features = posting_features(postings, profile, as_of, employer_rules, min_score)
     fresh = stage(new_rows(features, seen), "fresh")
 
-    merged = merge_cross_platform(fresh)
-    kept = stage(merged.where(D.within_age(F.col("freshness_days"), max_age_days)), "kept")
+    merged = merge_cross_platform(fresh).where(
+        D.within_age(F.col("freshness_days"), max_age_days)
+    )
+    if responses is not None:
+        merged = attach_responses(merged, responses)
+    kept = stage(merged, "kept")
 
-    verdicts = C.company_verdicts(
-        kept, cache, snippets, employer_rules, max_searches, order="merge_order"
+    verdicts = stage(
+        C.company_verdicts(
+            kept, cache, snippets, employer_rules, max_searches, order="merge_order"
+        ),
+        "verdicts",
     )
-    classified = C.classify_postings(kept, verdicts, order="merge_order")
+    settled = (
+        score_postings(kept) if responses is None
+        else spend_budget(kept, budget_usd, order="merge_order")
+    )
+    classified = C.classify_postings(settled, verdicts, order="merge_order")
     scored = stage(
-        with_ranking_score(
-            score_postings(classified, responses, budget_usd, order="merge_order")
-        ).withColumn("run_id", F.lit(run_id).cast("bigint")),
-        "scored",
+        with_ranking_score(classified).withColumn("run_id", F.lit(run_id).cast("bigint")), "scored"
     )
 
     spent = scored.groupBy("run_id").agg(F.sum("spent_units").alias("spent_units"))
@@ -149,18 +159,25 @@ def run_daily(
     chosen = F.broadcast(
         shortlist.select("dedup_key", *extra, F.col("positioning_advice").alias("_advice"))
     )
-    texts = postings.select("seq", cut(F.col("jd_text"), KEPT_TEXT).alias("jd_text"))
     updates = (
         scored.join(chosen, "dedup_key", "left")
         .withColumn("positioning_advice", F.coalesce("_advice", "positioning_advice"))
         .withColumns({c: F.coalesce(F.col(c), F.lit("")) for c in extra})
-        .join(texts, "seq")
     )
-    history = apply_updates(first_sight(fresh, as_of), updates, as_of)
-    batch_keys = postings.select("dedup_key")
-    sightings = already_seen(batch_keys, seen).distinct().withColumn(
-        "seen_at", D.as_timestamp(as_of)
+    numbered = first_sight(fresh, as_of, keep=["seq"])
+    # The one shuffle of job texts: those of processed postings, cut, by seq.
+    texts = postings.select("seq", cut(F.col("jd_text"), KEPT_TEXT).alias("_text")).join(
+        scored.select("seq"), "seq", "left_semi"
+    )
+    history = (
+        apply_updates(numbered, updates, as_of)
+        .join(texts, "seq", "left")
+        .withColumn("jd_text", F.coalesce("_text", "jd_text"))
+        .select(*SEEN_COLUMNS)
     )
+    # Distinct first: it combines before the shuffle, however often a key recurs.
+    batch_keys = postings.select("dedup_key").distinct()
+    sightings = already_seen(batch_keys, seen).withColumn("seen_at", D.as_timestamp(as_of))
 
     counts = source_counts(postings, sources)
     metrics = _sum_rows(

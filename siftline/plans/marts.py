@@ -239,7 +239,9 @@ def role_match(
     """Fit per role family, told from the title."""
     return (
         seen.where(_since("first_seen", as_of, 7) & (F.col("ai_match_score") > 0))
-        .groupBy(R.role_family(F.col("title"), rules, default).alias("role_family"))
+        # Lower-cased in a step of its own, so once per title and not once per keyword.
+        .withColumn("_title", F.lower("title"))
+        .groupBy(R.first_rule(F.col("_title"), rules, default).alias("role_family"))
         .agg(
             F.count("*").alias("job_count"),
             _avg1("ai_match_score").alias("avg_ai_score"),

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from siftline.catalog.fixtures import AS_OF, EMPLOYERS, PROFILE, Tables
-from siftline.operators import canonical, companies, dedup
+from siftline.operators import canonical, companies, dedup, skew
 from siftline.plans import marts as M
 from siftline.plans.daily import posting_features
 from siftline.operators.ranking import top_recommendations
@@ -59,6 +59,15 @@ def test_first_patterns_combine_in_hash_maps(tables):
     assert "partial_min_by" in text
 
 
+def test_lookup_scatters_hot_rows_over_the_shuffle(frame):
+    facts = frame([(i, "k") for i in range(9)], "seq long, k string")
+    dim = frame([("k", 9, "v")], "k string, n long, v string").hint("merge")
+    text = plan(skew.lookup(facts, dim, "k", weight="n", spread_by="seq").hint("merge"))
+    assert "SortMergeJoin" in text
+    keys = re.findall(r"Exchange hashpartitioning\(([^)]*)\)", text)
+    assert len([k for k in keys if "_light_key" in k and "_salt" in k]) == 2
+
+
 def test_merge_broadcasts_only_the_bounded_key_list(spark, frame):
     df = frame(
         [(i, "s", f"k{i % 3}", i % 5, f"s:{i}") for i in range(30)],
