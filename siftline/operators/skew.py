@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 HOT_KEYS = 64
 _SPREAD = 4096
-_BLOCK_BITS, _SUPERBLOCK_BITS = 16, 32
+_BLOCK_BITS = (48, 32, 16)
 
 
 def lookup(
@@ -67,38 +67,48 @@ def preceding_sum(
 
     Rows are ordered by the ``lead`` columns (name, descending?) and then by the
     unique whole number ``order``.  A window over the whole group would be one
-    task.  Instead rows are cut into blocks of 2^16 consecutive numbers, blocks
-    into superblocks of 2^32; each level sums within its parent only, so that no
-    task sees more than 2^16 rows of one block, or one row per superblock.
+    task.  Instead the numbers are cut into blocks of 2^16, those into blocks of
+    2^32 and of 2^48, and each level is summed within its parent only.  So no
+    window partition has more than 2^16 rows, apart from the topmost, which has
+    one row per 2^48 numbers and combination of ``lead`` values.
     """
     lead_names = [c for c, _ in lead]
     lead_sort = [F.col(c).desc() if down else F.col(c).asc() for c, down in lead]
-    coarse = [*group, *lead_names, "_super"]
-    fine = [*coarse, "_block"]
-
-    rows = (
-        df.withColumn("_super", F.shiftright(order, _SUPERBLOCK_BITS))
-        .withColumn("_block", F.shiftright(order, _BLOCK_BITS))
-        .withColumn("_value", value)
-    )
-    blocks = rows.groupBy(*fine).agg(F.sum("_value").alias("_sum"))
-    supers = blocks.groupBy(*coarse).agg(F.sum("_sum").alias("_sum"))
+    levels = [f"_block_{bits}" for bits in _BLOCK_BITS]
+    base = [*group, *lead_names]
 
     def before(column: str, parts: Sequence[str], sort: Sequence[Column | str]) -> Column:
         w = Window.partitionBy(*parts).orderBy(*sort)
         earlier = w.rowsBetween(Window.unboundedPreceding, -1)
         return F.coalesce(F.sum(column).over(earlier), F.lit(0))
 
-    super_start = supers.select(
-        *coarse, before("_sum", group, [*lead_sort, "_super"]).alias("_super_start")
-    )
-    block_start = (
-        blocks.withColumn("_in_super", before("_sum", coarse, ["_block"]))
-        .join(super_start, coarse)
-        .select(*fine, (F.col("_in_super") + F.col("_super_start")).alias("_start"))
+    rows = df.withColumns(
+        {level: F.shiftright(order, bits) for level, bits in zip(levels, _BLOCK_BITS)}
+    ).withColumn("_value", value)
+
+    # Totals from the finest blocks up to the coarsest.
+    totals = {}
+    below, summed = rows, "_value"
+    for i in reversed(range(len(levels))):
+        below = below.groupBy(*base, *levels[: i + 1]).agg(F.sum(summed).alias("_sum"))
+        totals[i], summed = below, "_sum"
+
+    # What lies before each block, from the coarsest down to the finest.
+    starts = totals[0].select(
+        *base, levels[0], before("_sum", group, [*lead_sort, levels[0]]).alias("_start")
     )
+    for i in range(1, len(levels)):
+        parent = [*base, *levels[:i]]
+        starts = (
+            totals[i]
+            .withColumn("_within", before("_sum", parent, [levels[i]]))
+            .join(starts, parent)
+            .select(*parent, levels[i], (F.col("_within") + F.col("_start")).alias("_start"))
+        )
+
+    finest = [*base, *levels]
     return (
-        rows.join(block_start, fine)
-        .withColumn(name, F.col("_start") + before("_value", fine, [order]))
+        rows.join(starts, finest)
+        .withColumn(name, F.col("_start") + before("_value", finest, [order]))
         .select(*df.columns, name)
     )
