@@ -5,12 +5,12 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from siftline.catalog import twins  # noqa: F401  (adds its common tables)
-from siftline.catalog.fixtures import AS_OF, CLOCK, RUN_ID, SOURCES
+from siftline.catalog.fixtures import AS_OF, CLOCK, SOURCES
 from siftline.catalog.registry import query, stamp, stamp_sql
 from siftline.operators import dedup as O
 from siftline.operators import state as H
 from siftline.plans.marts import spend_on
-from siftline.schemas import RUNS, SEEN
+from siftline.schemas import SEEN
 from siftline.sources.common import source_counts, zero_result_errors
 
 
@@ -177,12 +177,9 @@ def run_log(t):
         .agg(F.sum("jobs_scraped").alias("jobs_scraped"), F.sum("jobs_new").alias("jobs_new"))
         .withColumn("jobs_recommended", F.lit(10))
         .withColumn("run_date", F.lit(AS_OF).cast("timestamp"))
-        .withColumn("log", F.lit(1))
     )
-    # One row on either side: the number of the run and its counts.
-    numbered = counts.join(H.next_run_id(t.runs).withColumn("log", F.lit(1)), "log").drop("log")
     return (
-        t.runs.unionByName(H.run_row(numbered))
+        t.runs.unionByName(H.run_row(H.number_run(counts, t.runs)))
         .select("run_id", stamp("run_date"), "jobs_scraped", "jobs_new", "jobs_recommended",
                 "recommendation_rate", "api_cost_usd", "errors")
     )

@@ -42,6 +42,16 @@ def first_sight(
     return add_missing_columns(known, SEEN).select(*[name for name, _, _ in SEEN], *keep)
 
 
+def add_keys(rows: DataFrame, table: str, buckets: int, **options: str) -> None:
+    """Add the keys of ``rows`` to a key table laid out for the daily new-key join.
+
+    The table is bucketed by ``dedup_key``, so that :func:`~siftline.operators.dedup.unseen`
+    shuffles the batch to it and leaves the whole of history where it is.
+    """
+    writer = rows.select("dedup_key").write.mode("append").options(**options)
+    writer.bucketBy(buckets, "dedup_key").sortBy("dedup_key").saveAsTable(table)
+
+
 def apply_updates(
     seen: DataFrame, updates: DataFrame, as_of: datetime | str | Column
 ) -> DataFrame:
@@ -92,6 +102,12 @@ def next_run_id(runs: DataFrame) -> DataFrame:
     return runs.agg((F.coalesce(F.max("run_id"), F.lit(0)) + 1).cast("bigint").alias("run_id"))
 
 
+def number_run(metrics: DataFrame, runs: DataFrame) -> DataFrame:
+    """One row of run metrics with the next free ``run_id`` of the log."""
+    rows = metrics.unionByName(next_run_id(runs), allowMissingColumns=True)
+    return rows.agg(*[F.max(c).alias(c) for c in rows.columns])
+
+
 def run_row(metrics: DataFrame) -> DataFrame:
     """Complete a run's counts with defaults and the derived recommendation rate."""
     rate = F.when(

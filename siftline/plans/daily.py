@@ -35,7 +35,7 @@ from siftline.operators.state import KEPT_TEXT, apply_updates, first_sight, run_
 from siftline.plans.marts import AsOf
 from siftline.schemas import SEEN_COLUMNS, SOURCE_ORDER
 from siftline.session import stage as stage_table
-from siftline.sources.common import source_counts, zero_result_errors
+from siftline.sources.common import source_counts, with_dedup_key, zero_result_errors
 
 # Age in days beyond which a posting is dropped.
 MAX_AGE_DAYS = 30
@@ -120,6 +120,8 @@ def run_daily(
     ``stage`` writes an intermediate table once and reads it back.  The tables
     that are needed more than once are staged; none of them has job texts.
     """
+    if "dedup_key" not in postings.columns:
+        postings = with_dedup_key(postings)
     features = posting_features(postings, profile, as_of, employer_rules, min_score)
     fresh = stage(new_rows(features, seen), "fresh")
 

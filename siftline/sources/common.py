@@ -17,16 +17,32 @@ from siftline.schemas import POSTING_TEXTS, SOURCE_ORDER
 MAX_PER_SOURCE = 50
 RECENT_DAYS = 30
 
-# seq = source rank | document number | position in the document
+# seq = source rank (3 bits) | document number (34 bits) | position in it (20 bits)
 _POSITION_BITS = 20
 _SOURCE_BITS = 54
 _MAX_SOURCES = 8
 
+# A document number made while reading = partition (20 bits) | row in it (14 bits)
+_PARTITION_BITS, _ROW_BITS = 20, 14
+
 
 def document_seq(document: Column, position: Column) -> Column:
     return F.shiftleft(document.cast("bigint"), _POSITION_BITS) + position
 
 
+def read_order_number() -> Column:
+    """Number of a document in the order of reading, short enough for ``seq``.
+
+    Fails rather than hand out a number twice.
+    """
+    raw = F.monotonically_increasing_id()  # partition << 33 | row
+    partition, row = F.shiftright(raw, 33), raw.bitwiseAND(F.lit((1 << 33) - 1))
+    fits = (partition < (1 << _PARTITION_BITS)) & (row < (1 << _ROW_BITS))
+    return F.when(fits, F.shiftleft(partition, _ROW_BITS) + row).otherwise(
+        F.raise_error(F.lit("too many documents per partition to number them while reading"))
+    )
+
+
 def as_postings(
     rows: DataFrame, source: str, as_of: datetime | str | Column
 ) -> DataFrame:

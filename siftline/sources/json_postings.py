@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from siftline.functions.freshness import epoch_to_iso
 from siftline.operators.dedup import keep_first
-from siftline.sources.common import as_postings, document_seq
+from siftline.sources.common import as_postings, document_seq, read_order_number
 
 # Experience limit in years, and the address of a posting.
 MAX_YEARS = 5
@@ -32,7 +32,7 @@ def read_payloads(spark: SparkSession, path: str) -> DataFrame:
         .text(path, wholetext=True)
     )
     return files.select(
-        F.monotonically_increasing_id().alias("payload_id"), F.col("value").alias("payload")
+        read_order_number().alias("payload_id"), F.col("value").alias("payload")
     )
 
 

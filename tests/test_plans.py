@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from siftline.catalog.fixtures import AS_OF, EMPLOYERS, PROFILE, Tables
-from siftline.operators import canonical, companies, dedup, skew
+from siftline.operators import canonical, companies, dedup, skew, state
 from siftline.plans import marts as M
 from siftline.plans.daily import posting_features
 from siftline.operators.ranking import top_recommendations
@@ -94,6 +94,21 @@ def test_marts_read_only_their_columns_and_push_filters(spark, tmp_path, tables)
     assert details(trends).count(f"{path}]") == 1
 
 
+def test_bucketed_keys_are_not_shuffled(spark, tmp_path, tables):
+    keys = tables.postings.select("dedup_key")
+    for _ in range(2):  # a second run adds to the same buckets
+        state.add_keys(keys, "seen_keys", 8, path=str(tmp_path / "keys"))
+    try:
+        batch = tables.postings.select("dedup_key", "seq").hint("merge")
+        fresh = dedup.unseen(batch, spark.table("seen_keys").hint("merge"))
+        text = plan(fresh)
+        assert "SortMergeJoin" in text
+        assert len(re.findall(r"Exchange hashpartitioning\(dedup_key", text)) == 1
+        assert fresh.count() == 0
+    finally:
+        spark.sql("DROP TABLE seen_keys")
+
+
 def test_timestamps_without_zone_are_pushed_down_too(tables):
     from siftline.sources.common import recent
 

@@ -59,6 +59,16 @@ def test_payload_files(spark, tmp_path):
     assert J.rejected_payloads(payloads).count() == 1
 
 
+def test_read_order_numbers_are_short_and_checked(spark):
+    import pytest
+
+    numbers = spark.range(0, 1000, 1, 4).select(C.read_order_number().alias("n"))
+    got = [r.n for r in numbers.collect()]
+    assert len(set(got)) == 1000 and max(got) < 1 << 34
+    with pytest.raises(Exception, match="too many documents"):
+        spark.range(0, 20_000, 1, 1).select(C.read_order_number().alias("n")).collect()
+
+
 def test_embedded_json(spark):
     html = (
         "<script>var x = {};</script><script>\n window.__NEXT_DATA__ = "
