@@ -5,7 +5,7 @@ from __future__ import annotations
 from functools import reduce
 from operator import add
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from siftline.functions.text import canonical_key
@@ -138,19 +138,26 @@ def merge_cross_platform(postings: DataFrame, giant_group: int = GIANT_GROUP) ->
     return alone.unionByName(merged)
 
 
-def group_members(postings: DataFrame) -> DataFrame:
+def group_members(postings: DataFrame, giant_group: int = GIANT_GROUP) -> DataFrame:
     """Every copy of every canonical key with its position, the best copy being 1.
 
-    The long form of ``canonical_group_id``; positions are a distributed prefix
-    count, so that a group of any size spreads over many tasks.
+    The long form of ``canonical_group_id``.  Giant groups are numbered by a
+    distributed prefix count, so that one spreads over many tasks; for all the
+    others a window is enough.
     """
-    copies = _copies(postings).withColumn("_order", -F.col("rank"))
-    placed = preceding_sum(
-        copies, F.lit(1), order="_order", group=["canonical_key"], name="_ahead"
+    copies = _copies(postings)
+    giant = F.broadcast(_giant_keys(copies, giant_group))
+    best_first = Window.partitionBy("canonical_key").orderBy(F.col("rank").desc())
+    normal = copies.join(giant, "canonical_key", "left_anti").withColumn(
+        "position", F.row_number().over(best_first).cast("bigint")
     )
-    return placed.select(
-        "canonical_key",
-        (F.col("_ahead") + 1).alias("position"),
-        "dedup_key",
-        "source",
+    ahead = preceding_sum(
+        copies.join(giant, "canonical_key", "left_semi").withColumn("_order", -F.col("rank")),
+        F.lit(1),
+        order="_order",
+        group=["canonical_key"],
+        name="_ahead",
     )
+    huge = ahead.withColumn("position", (F.col("_ahead") + 1).cast("bigint"))
+    columns = ["canonical_key", "position", "dedup_key", "source"]
+    return normal.select(*columns).unionByName(huge.select(*columns))

@@ -112,11 +112,13 @@ def test_merge_giant_groups_point_to_the_member_list(postings):
     for seq, r in got.items():
         hot = len(groups.get(r.canonical_key, [])) > 40
         assert r.canonical_group_id == (f"{r.dedup_key}+*" if hot else want[seq])
-    members = defaultdict(list)
-    for r in sorted(canonical.group_members(df).collect(), key=lambda r: r.position):
-        members[r.canonical_key].append((r.position, r.dedup_key))
-    for key, group in groups.items():
-        assert members[key] == [(i + 1, f"{s}:{q}") for i, (_, q, s) in enumerate(sorted(group))]
+    for limit in (40, 1000):
+        members = defaultdict(list)
+        found = canonical.group_members(df, giant_group=limit).collect()
+        for r in sorted(found, key=lambda r: r.position):
+            members[r.canonical_key].append((r.position, r.dedup_key))
+        for key, group in groups.items():
+            assert members[key] == [(i + 1, f"{s}:{q}") for i, (_, q, s) in enumerate(sorted(group))]
 
 
 def test_completeness_and_keys(frame):
