@@ -13,7 +13,7 @@ PREVIOUS = (
     f"first_seen >= CAST({CLOCK} AS DATE) - INTERVAL 14 DAY "
     f"AND first_seen < CAST({CLOCK} AS DATE) - INTERVAL 7 DAY"
 )
-COUNT_FIT = "CAST(sum(CASE WHEN ai_match_score >= {n} THEN 1 ELSE 0 END) AS BIGINT)"
+COUNT_FIT = "count(*) FILTER (WHERE ai_match_score >= {n})"
 AVG = "round(avg(ai_match_score), 1)"
 
 
@@ -72,10 +72,7 @@ _RUN_WEEK = WEEK.replace("first_seen", "run_date")
 
 
 def _rate(column: str) -> str:
-    return (
-        f"round(CASE WHEN sum(jobs_new) > 0 THEN 1.0E0 * sum({column}) / sum(jobs_new) "
-        "ELSE 0.0E0 END, 3)"
-    )
+    return f"COALESCE(round(1.0E0 * sum({column}) / NULLIF(sum(jobs_new), 0), 3), 0.0E0)"
 
 
 @query(
@@ -88,8 +85,8 @@ def _rate(column: str) -> str:
         {_rate('jobs_recommended')} AS recommendation_rate,
         round(avg(duration_seconds), 1) AS avg_duration_seconds,
         round(sum(api_cost_usd), 4) AS total_api_cost, count(*) AS total_runs,
-        CAST(sum(CASE WHEN errors <> '' THEN 1 ELSE 0 END) AS BIGINT) AS error_runs,
-        string_agg(CASE WHEN errors <> '' THEN errors END, '; ' ORDER BY run_date) AS failed_sources
+        CAST(sum(CAST(errors <> '' AS INT)) AS BIGINT) AS error_runs,
+        string_agg(errors, '; ' ORDER BY run_date) FILTER (WHERE errors <> '') AS failed_sources
         FROM @runs WHERE {_RUN_WEEK}""",
 )
 def weekly_health(t):
@@ -99,7 +96,7 @@ def weekly_health(t):
 @query(
     "weekly_source",
     f"""SELECT source, count(*) AS total,
-        CAST(sum(CASE WHEN prefilter_passed = 1 THEN 1 ELSE 0 END) AS BIGINT) AS passed_prefilter,
+        count(*) FILTER (WHERE prefilter_passed = 1) AS passed_prefilter,
         {COUNT_FIT.format(n=40)} AS recommended, {AVG} AS avg_score,
         round(avg((epoch_us({CLOCK}) - epoch_us({X.parsed('posted_date')})) / 86400000000.0E0), 1)
             AS avg_posting_days
@@ -129,28 +126,28 @@ def weekly_experience(t):
     return M.weekly_experience(t.seen, AS_OF)
 
 
-def _trend(metric: str, value: str, table: str, column: str, extra: str = "") -> str:
-    week, previous = WEEK.replace("first_seen", column), PREVIOUS.replace("first_seen", column)
-    return f"""
-SELECT '{metric}' AS metric, COALESCE(this.val, 0.0E0) AS this_week, COALESCE(prev.val, 0.0E0) AS prev_week,
-       CASE WHEN COALESCE(prev.val, 0) > 0 THEN
-            round(100.0E0 * (COALESCE(this.val, 0) - prev.val) / prev.val, 1) END AS change_pct,
-       CASE WHEN COALESCE(this.val, 0) > COALESCE(prev.val, 0) THEN 'up'
-            WHEN COALESCE(this.val, 0) < COALESCE(prev.val, 0) THEN 'down' ELSE 'flat' END AS direction
-FROM (SELECT CAST({value} AS DOUBLE) AS val FROM {table} WHERE {week} {extra}) this,
-     (SELECT CAST({value} AS DOUBLE) AS val FROM {table} WHERE {previous} {extra}) prev"""
+_RUN_PREVIOUS = PREVIOUS.replace("first_seen", "run_date")
+_COUNTED = {"total_scraped": "jobs_scraped", "unique_new": "jobs_new", "recommended": "jobs_recommended"}
+_FIGURES = " UNION ALL ".join(
+    f"SELECT '{metric}' AS metric, run_date, CAST({column} AS DOUBLE) AS x FROM @runs"
+    for metric, column in _COUNTED.items()
+)
 
 
 @query(
     "weekly_trends",
-    " UNION ALL ".join(
-        [
-            _trend("total_scraped", "sum(jobs_scraped)", "@runs", "run_date"),
-            _trend("unique_new", "sum(jobs_new)", "@runs", "run_date"),
-            _trend("recommended", "sum(jobs_recommended)", "@runs", "run_date"),
-            _trend("avg_score", AVG, "@seen", "first_seen", "AND ai_match_score > 0"),
-        ]
-    ),
+    f"""WITH figures AS ({_FIGURES}), weeks AS (
+          SELECT metric, COALESCE(sum(x) FILTER (WHERE {_RUN_WEEK}), 0.0E0) AS t,
+                 COALESCE(sum(x) FILTER (WHERE {_RUN_PREVIOUS}), 0.0E0) AS p
+          FROM figures GROUP BY metric
+          UNION ALL
+          SELECT 'avg_score', COALESCE({AVG.replace('),', f') FILTER (WHERE {WEEK}),')}, 0.0E0),
+                 COALESCE({AVG.replace('),', f') FILTER (WHERE {PREVIOUS}),')}, 0.0E0)
+          FROM @seen WHERE ai_match_score > 0)
+        SELECT metric, t AS this_week, p AS prev_week,
+               round(100.0E0 * (t - p) / NULLIF(p, 0), 1) AS change_pct,
+               CASE sign(t - p) WHEN 1 THEN 'up' WHEN -1 THEN 'down' ELSE 'flat' END AS direction
+        FROM weeks""",
 )
 def weekly_trends(t):
     return M.weekly_trends(t.seen, t.runs, AS_OF)
