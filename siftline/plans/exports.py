@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
+from datetime import datetime
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from siftline.functions.rules import EXPERIENCE_BANDS
+from siftline.functions.rules import EXPERIENCE_BANDS, Profile
 from siftline.plans import marts as M
+from siftline.plans.weekly import weekly_report
 from siftline.sources.csv_sink import write_csv
 
 def _ordered(name: str, df: DataFrame) -> DataFrame:
@@ -38,6 +40,17 @@ def daily_exports(seen: DataFrame, runs: DataFrame, as_of: M.AsOf) -> dict[str,
     }
 
 
+def exports_due(
+    seen: DataFrame, runs: DataFrame, profile: Profile, as_of: datetime | str
+) -> dict[str, DataFrame]:
+    """The daily exports, and on a Sunday the weekly report as well."""
+    due = daily_exports(seen, runs, as_of)
+    day = as_of if isinstance(as_of, datetime) else datetime.fromisoformat(as_of)
+    if day.isoweekday() == 7:
+        due |= weekly_report(seen, runs, profile, as_of)
+    return due
+
+
 def write_exports(frames: Mapping[str, DataFrame], folder: str) -> list[str]:
     """One CSV folder per data set; empty ones are left out.  Returns what was written."""
     return [

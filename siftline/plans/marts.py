@@ -256,7 +256,7 @@ def skill_mentions(seen: DataFrame, as_of: AsOf, profile: R.Profile) -> DataFram
 
     A keyword listed twice in the profile counts twice, as it does in scoring.
     """
-    words = F.array(*[F.lit(k) for k in profile.high + profile.medium])
+    words = F.array(*[F.lit(k) for k in profile.high + profile.medium]).cast("array<string>")
     lowered = F.lower("match_reasons")
     found = F.filter(words, lambda k: F.contains(lowered, F.lower(k)))
     return (

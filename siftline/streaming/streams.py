@@ -59,10 +59,16 @@ def history_writer(root: str, schema: T.StructType) -> Callable[[DataFrame, int]
     def write(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         known = _table(spark, f"{root}/history", schema).where(F.col(_BATCH) < batch_id)
-        fresh = unseen(keep_first(batch), known)
-        fresh.write.mode("overwrite").parquet(f"{root}/history/{_BATCH}={batch_id}")
-        last = batch.groupBy("dedup_key").agg(F.max("seen_at").alias("seen_at"))
-        last.write.mode("overwrite").parquet(f"{root}/sightings/{_BATCH}={batch_id}")
+        # Two tables come from one micro-batch; without this it would be read, and
+        # whatever the stream does before would be done, twice.
+        batch.persist()
+        try:
+            fresh = unseen(keep_first(batch), known)
+            fresh.write.mode("overwrite").parquet(f"{root}/history/{_BATCH}={batch_id}")
+            last = batch.groupBy("dedup_key").agg(F.max("seen_at").alias("seen_at"))
+            last.write.mode("overwrite").parquet(f"{root}/sightings/{_BATCH}={batch_id}")
+        finally:
+            batch.unpersist()
 
     return write
 

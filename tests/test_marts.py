@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from siftline.functions.rules import Profile
 from siftline.plans import marts as M
 from siftline.plans.daily import run_daily, save_run
-from siftline.plans.exports import daily_exports, write_exports
+from siftline.plans.exports import daily_exports, exports_due, write_exports
 from siftline.plans.weekly import weekly_report
 from siftline.schemas import COMPANY_CACHE, POSTINGS, RUNS, SEEN, struct_of
 from siftline.sources.common import with_dedup_key
@@ -29,6 +29,7 @@ def test_empty_week(nothing):
         (m, 0.0, None, "flat") for m in ("total_scraped", "unique_new", "recommended", "avg_score")
     ]
     assert M.experience_bands(seen, AS_OF).count() == 0
+    assert M.skill_mentions(seen, AS_OF, Profile()).dtypes[0] == ("skill", "string")
     assert M.spend_on(runs, AS_OF).collect()[0][0] == 0.0
 
 
@@ -40,6 +41,12 @@ def test_report_and_exports_skip_empty_sets(nothing, tmp_path):
     assert write_exports(daily_exports(seen, runs, AS_OF), str(tmp_path)) == []
 
 
+def test_weekly_report_is_due_on_sundays(nothing):
+    seen, runs = nothing
+    due = {d: len(exports_due(seen, runs, Profile(), f"2024-01-{d} 06:00:00")) for d in (27, 28, 29)}
+    assert due == {27: 3, 28: 10, 29: 3}
+
+
 def posting(seq, source, number, title, company, text, posted="2024-01-30"):
     return (seq, source, number, "u", title, company, "", "", "", posted, "", text)
 
