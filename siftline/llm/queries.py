@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from siftline.llm import exact_dedup, mixing
+from siftline.llm import exact_dedup, mixing, quality, secret_scan
 from siftline.llm.sql import SQL  # noqa: F401  (re-exported for the entry point)
 from siftline.llm.tables import read
 
@@ -19,10 +20,22 @@ def op2_mix_sources(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.mix(read(spark, folder, "documents")).drop("row")
 
 
+def op9_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
+    return secret_scan.find_secrets(read(spark, folder, "documents"))
+
+
+def op10_quality(spark: SparkSession, folder: str) -> DataFrame:
+    docs = read(spark, folder, "documents")
+    scored = quality.score(docs, quality.fit(docs, read(spark, folder, "labels")))
+    return scored.select("doc_id", quality.held_out().alias("held_out"), "score", F.col("predicted"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_exact_dedup,
         op2_mix_sources,
+        op9_secret_scan,
+        op10_quality,
     )
 }
