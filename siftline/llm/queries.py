@@ -7,9 +7,15 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siftline.llm import exact_dedup, mixing, quality, secret_scan
+from siftline.llm import exact_dedup, mixing, packing, quality, secret_scan, token_output
 from siftline.llm.sql import SQL  # noqa: F401  (re-exported for the entry point)
-from siftline.llm.tables import read
+from siftline.llm.tables import read, work_folder
+
+
+def tokenizer_file(name: str) -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
 
 
 def op1_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
@@ -20,6 +26,19 @@ def op2_mix_sources(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.mix(read(spark, folder, "documents")).drop("row")
 
 
+def op6_token_output(spark: SparkSession, folder: str) -> DataFrame:
+    path = work_folder(spark, "tokens")
+    docs = read(spark, folder, "documents")
+    token_output.write_tokens(token_output.encode_documents(docs, tokenizer_file("byte_bpe_50k.json"), end_id=2), path)
+    rows = token_output.checksums(spark.read.parquet(path))
+    started = token_output.with_starts(rows, token_output.read_metadata(spark, path))
+    return started.select("doc_id", "start", "n_tokens", "ids_crc32")
+
+
+def op8_packing(spark: SparkSession, folder: str) -> DataFrame:
+    return packing.pack_documents(read(spark, folder, "documents"), tokenizer_file("word_bpe_49k.json"))
+
+
 def op9_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
     return secret_scan.find_secrets(read(spark, folder, "documents"))
 
@@ -35,6 +54,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     for f in (
         op1_exact_dedup,
         op2_mix_sources,
+        op6_token_output,
+        op8_packing,
         op9_secret_scan,
         op10_quality,
     )
