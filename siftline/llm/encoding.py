@@ -25,7 +25,7 @@ BLOCK_ROWS = 512
 
 WORDS = re.compile(r"[^\x20\x09-\x0D]+")
 WORDS_WITH_BLANKS = re.compile(r"[\x20\x09-\x0D]*[^\x20\x09-\x0D]+|[\x20\x09-\x0D]+")
-OTHER_BLANKS = re.compile("[\x1c-\x1f\x85\xa0 ᠎ -​    　﻿]")
+OTHER_BLANKS = re.compile(r"[\x1c-\x1f\x85\xa0 ᠎ -​    　﻿]")
 
 
 class Encoder:

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siftline.llm import exact_dedup, mixing, packing, quality, secret_scan, token_output
+from siftline.llm import exact_dedup, minhash, mixing, packing, quality, secret_scan, token_output
 from siftline.llm.sql import SQL  # noqa: F401  (re-exported for the entry point)
 from siftline.llm.tables import read, work_folder
 
@@ -26,6 +26,10 @@ def op2_mix_sources(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.mix(read(spark, folder, "documents")).drop("row")
 
 
+def op3_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return minhash.near_groups(read(spark, folder, "documents"), shingle=4)
+
+
 def op6_token_output(spark: SparkSession, folder: str) -> DataFrame:
     path = work_folder(spark, "tokens")
     docs = read(spark, folder, "documents")
@@ -54,6 +58,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     for f in (
         op1_exact_dedup,
         op2_mix_sources,
+        op3_near_dedup,
         op6_token_output,
         op8_packing,
         op9_secret_scan,

@@ -53,7 +53,36 @@ SELECT doc_id, size, source_size, target,
 FROM f
 """
 
+# Sets of shingles as sorted word sequences; pairs by shared shingles; components by reachability.
+NEAR_DEDUP = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^\x20\x09-\x0D]+') AS words
+  FROM documents),
+s AS (
+  SELECT DISTINCT doc_id, hash(shingle) AS shingle
+  FROM (SELECT doc_id, unnest(CASE WHEN len(words) = 0 THEN []
+                                   WHEN len(words) < 4 THEN [array_to_string(words, ' ')]
+                                   ELSE list_transform(range(1, len(words) - 2), lambda i: array_to_string(words[i:i + 3], ' '))
+                              END) AS shingle FROM w)),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+p AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS common
+      FROM s a JOIN s b ON a.shingle = b.shingle AND a.doc_id < b.doc_id GROUP BY ALL),
+e AS (SELECT a, b FROM p JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b
+      WHERE 100 * common >= 80 * (x.n + y.n - common)),
+r AS (
+  SELECT doc_id AS node, doc_id AS reached FROM n
+  UNION
+  SELECT r.node, CASE WHEN e.a = r.reached THEN e.b ELSE e.a END
+  FROM r JOIN e ON e.a = r.reached OR e.b = r.reached),
+c AS (SELECT node, min(reached) AS component FROM r GROUP BY node)
+SELECT w.doc_id, coalesce(n.n, 0) AS n_shingles, coalesce(c.component, w.doc_id) AS component_id,
+       w.doc_id = coalesce(c.component, w.doc_id) AS kept
+FROM w LEFT JOIN n USING (doc_id) LEFT JOIN c ON c.node = w.doc_id
+"""
+
 SQL = {
     "op1_exact_dedup": EXACT_DEDUP,
     "op2_mix_sources": MIXING,
+    "op3_near_dedup": NEAR_DEDUP,
 }
