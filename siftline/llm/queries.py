@@ -7,7 +7,17 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siftline.llm import exact_dedup, minhash, mixing, packing, quality, secret_scan, token_output
+from siftline.llm import (
+    embedding_dedup,
+    exact_dedup,
+    minhash,
+    mixing,
+    packing,
+    quality,
+    secret_scan,
+    substring_dedup,
+    token_output,
+)
 from siftline.llm.sql import SQL  # noqa: F401  (re-exported for the entry point)
 from siftline.llm.tables import read, work_folder
 
@@ -30,6 +40,10 @@ def op3_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return minhash.near_groups(read(spark, folder, "documents"), shingle=4)
 
 
+def op5_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return substring_dedup.cut_repeats(read(spark, folder, "documents"))
+
+
 def op6_token_output(spark: SparkSession, folder: str) -> DataFrame:
     path = work_folder(spark, "tokens")
     docs = read(spark, folder, "documents")
@@ -39,6 +53,10 @@ def op6_token_output(spark: SparkSession, folder: str) -> DataFrame:
     return started.select("doc_id", "start", "n_tokens", "ids_crc32")
 
 
+def op7_embedding_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return embedding_dedup.near_vectors(read(spark, folder, "embeddings"))
+
+
 def op8_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack_documents(read(spark, folder, "documents"), tokenizer_file("word_bpe_49k.json"))
 
@@ -59,7 +77,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op1_exact_dedup,
         op2_mix_sources,
         op3_near_dedup,
+        op5_substring_dedup,
         op6_token_output,
+        op7_embedding_dedup,
         op8_packing,
         op9_secret_scan,
         op10_quality,

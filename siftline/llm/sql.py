@@ -81,8 +81,52 @@ SELECT w.doc_id, coalesce(n.n, 0) AS n_shingles, coalesce(c.component, w.doc_id)
 FROM w LEFT JOIN n USING (doc_id) LEFT JOIN c ON c.node = w.doc_id
 """
 
+# Window k of a document covers words k to k + 49; it counts when the sequence starts in a smaller id.
+SUBSTRING_DEDUP = rf"""
+WITH w AS (SELECT doc_id, {WORDS} AS words FROM documents),
+h AS (
+  SELECT doc_id, k, hash(array_to_string(words[k:k + 49], ' ')) AS h
+  FROM (SELECT doc_id, words, unnest(range(1, len(words) - 48)) AS k FROM w WHERE len(words) >= 50)),
+m AS (SELECT h, min(doc_id) AS least FROM h GROUP BY h),
+r AS (SELECT doc_id, list(k) AS starts FROM h JOIN m USING (h) WHERE least < doc_id GROUP BY doc_id),
+c AS (
+  SELECT doc_id, list(DISTINCT k + j) AS gone
+  FROM (SELECT doc_id, unnest(starts) AS k FROM r), range(0, 50) AS o(j) GROUP BY doc_id),
+f AS (
+  SELECT w.doc_id, words, coalesce(len(gone), 0) AS n_removed,
+         CASE WHEN gone IS NULL THEN words
+              ELSE list_select(words, list_sort(list_filter(range(1, len(words) + 1), lambda i: NOT map_contains(gone_map, i)))) END AS kept
+  FROM w LEFT JOIN (SELECT *, map_from_entries(list_transform(gone, lambda g: (g, true))) AS gone_map FROM c) c USING (doc_id))
+SELECT doc_id, len(words) AS n_words, n_removed, sha256(array_to_string(kept, ' ')) AS kept_sha256
+FROM f
+"""
+
+# Pairs of one label by cosine; vectors that can have none are left out.
+EMBEDDING_DEDUP = """
+WITH RECURSIVE v AS (
+  SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS e FROM embeddings),
+u AS (
+  SELECT * FROM v
+  WHERE label IS NOT NULL AND len(e) > 0 AND len(list_filter(e, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(e, lambda x: x <> 0)) > 0),
+l AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM u a JOIN u b ON a.label = b.label AND len(a.e) = len(b.e) AND a.vec_id <> b.vec_id
+  WHERE list_cosine_similarity(a.e, b.e) >= 0.93),
+r AS (
+  SELECT vec_id AS node, vec_id AS reached FROM u
+  UNION
+  SELECT r.node, l.b FROM r JOIN l ON l.a = r.reached),
+c AS (SELECT node, min(reached) AS component FROM r GROUP BY node),
+n AS (SELECT a, count(*) AS n FROM l GROUP BY a)
+SELECT v.vec_id, coalesce(n.n, 0) AS n_links, coalesce(c.component, v.vec_id) AS component_id,
+       v.vec_id = coalesce(c.component, v.vec_id) AS kept
+FROM v LEFT JOIN n ON n.a = v.vec_id LEFT JOIN c ON c.node = v.vec_id
+"""
+
 SQL = {
     "op1_exact_dedup": EXACT_DEDUP,
     "op2_mix_sources": MIXING,
     "op3_near_dedup": NEAR_DEDUP,
+    "op5_substring_dedup": SUBSTRING_DEDUP,
+    "op7_embedding_dedup": EMBEDDING_DEDUP,
 }
