@@ -92,11 +92,16 @@ def drop_copies(docs: DataFrame) -> DataFrame:
     Rows that repeat an id and a text count as one; ids are otherwise taken to
     be distinct.
     """
-    gone = exact_groups(docs).filter("not kept").select(F.col("doc_id").alias("gone_id"), "keep_id", "text_sha256")
-    others = gone.filter("gone_id is distinct from keep_id").select("gone_id", F.col("text_sha256").alias("gone_sha256"))
-    again = gone.filter("gone_id is not distinct from keep_id").select("gone_id", F.col("text_sha256").alias("gone_sha256"))
-    kept = docs.withColumn("_sha256", F.sha2(normalised(), 256))
+    gone = stage(
+        exact_groups(docs).filter("not kept").select(F.col("doc_id").alias("gone_id"), "keep_id", F.col("text_sha256").alias("gone_sha256")),
+        "gone",
+    )
+    same_id = F.col("gone_id").eqNullSafe(F.col("keep_id"))
     on = F.col("doc_id").eqNullSafe(F.col("gone_id")) & (F.col("_sha256") == F.col("gone_sha256"))
-    kept = kept.join(others.distinct(), on, "left_anti")
-    twice = kept.join(again.distinct(), on, "left_semi").dropDuplicates(["doc_id", "_sha256"])
-    return kept.join(again.distinct(), on, "left_anti").unionByName(twice).drop("_sha256")
+    hashed = docs.withColumn("_sha256", F.sha2(normalised(), 256))
+    kept = hashed.join(gone.filter(~same_id), on, "left_anti")
+    again = gone.filter(same_id).select("gone_id", "gone_sha256").distinct()
+    if not again.isEmpty():
+        once = kept.join(again, on, "left_semi").dropDuplicates(["doc_id", "_sha256"])
+        kept = kept.join(again, on, "left_anti").unionByName(once)
+    return kept.select(docs.columns)

@@ -158,3 +158,18 @@ def mix(
             "row",
         )
     )
+
+
+def mixed_documents(
+    docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, most_epochs: int = MOST_EPOCHS, seed: int = 7
+) -> DataFrame:
+    """``docs`` with each row as often as the mix takes it; rows of equal id and size share their number."""
+    taken = (
+        mix(docs, weights, most_epochs, seed, whole_documents=True)
+        .filter("taken > 0")
+        .groupBy(F.col("doc_id").alias("_id"), F.col("size").alias("_size"))
+        .agg(F.max(F.col("taken") / F.col("size")).cast("int").alias("_times"))
+    )
+    on = F.col("doc_id").eqNullSafe(F.col("_id")) & (count_words() == F.col("_size"))
+    times = F.explode(F.sequence(F.lit(1), F.col("_times")))
+    return docs.join(taken, on).select(*docs.columns, times.alias("_turn")).drop("_turn")

@@ -17,6 +17,7 @@ from siftline.llm import (
     secret_scan,
     substring_dedup,
     token_output,
+    warc,
 )
 from siftline.llm.sql import SQL  # noqa: F401  (re-exported for the entry point)
 from siftline.llm.tables import read, work_folder
@@ -40,6 +41,12 @@ def op3_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return minhash.near_groups(read(spark, folder, "documents"), shingle=4)
 
 
+def op4_warc(spark: SparkSession, folder: str) -> DataFrame:
+    archive = work_folder(spark, "archive")
+    warc.write_archive(read(spark, folder, "pages"), archive)
+    return warc.read_archive(spark, archive)
+
+
 def op5_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return substring_dedup.cut_repeats(read(spark, folder, "documents"))
 
@@ -77,6 +84,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op1_exact_dedup,
         op2_mix_sources,
         op3_near_dedup,
+        op4_warc,
         op5_substring_dedup,
         op6_token_output,
         op7_embedding_dedup,

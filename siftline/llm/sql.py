@@ -81,6 +81,23 @@ SELECT w.doc_id, coalesce(n.n, 0) AS n_shingles, coalesce(c.component, w.doc_id)
 FROM w LEFT JOIN n USING (doc_id) LEFT JOIN c ON c.node = w.doc_id
 """
 
+# Five hexadecimal digits are four of base 32.
+WARC = """
+WITH p AS (
+  SELECT page_id, octet_length(encode(coalesce(html, ''))) AS payload_bytes, sha1(coalesce(html, '')) AS hex FROM pages),
+d AS (
+  SELECT page_id, payload_bytes,
+         array_to_string(list_transform(range(0, 8), lambda k: array_to_string(list_transform([15, 10, 5, 0], lambda s:
+           substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+                  ((('0x' || substr(hex, 5 * k + 1, 5))::INT >> s) & 31) + 1, 1)), '')), '') AS payload_digest,
+         min(page_id) OVER (PARTITION BY hex) AS least
+  FROM p)
+SELECT page_id, payload_bytes, payload_digest,
+       CASE WHEN page_id = least THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id <> least THEN least END AS refers_to
+FROM d
+"""
+
 # Window k of a document covers words k to k + 49; it counts when the sequence starts in a smaller id.
 SUBSTRING_DEDUP = rf"""
 WITH w AS (SELECT doc_id, {WORDS} AS words FROM documents),
@@ -127,6 +144,7 @@ SQL = {
     "op1_exact_dedup": EXACT_DEDUP,
     "op2_mix_sources": MIXING,
     "op3_near_dedup": NEAR_DEDUP,
+    "op4_warc": WARC,
     "op5_substring_dedup": SUBSTRING_DEDUP,
     "op7_embedding_dedup": EMBEDDING_DEDUP,
 }
