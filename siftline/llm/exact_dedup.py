@@ -24,7 +24,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from siftline.llm.tables import SPACE, stage, text_of
+from siftline.llm.tables import SPACE, boxed, stage, text_of
 
 PREFIX = 64
 
@@ -97,11 +97,11 @@ def drop_copies(docs: DataFrame) -> DataFrame:
         "gone",
     )
     same_id = F.col("gone_id").eqNullSafe(F.col("keep_id"))
-    on = F.col("doc_id").eqNullSafe(F.col("gone_id")) & (F.col("_sha256") == F.col("gone_sha256"))
-    hashed = docs.withColumn("_sha256", F.sha2(normalised(), 256))
+    on = F.col("doc.doc_id").eqNullSafe(F.col("gone_id")) & (F.col("sha256") == F.col("gone_sha256"))
+    hashed = docs.select(boxed(docs), F.sha2(normalised(), 256).alias("sha256"))
     kept = hashed.join(gone.filter(~same_id), on, "left_anti")
     again = gone.filter(same_id).select("gone_id", "gone_sha256").distinct()
     if not again.isEmpty():
-        once = kept.join(again, on, "left_semi").dropDuplicates(["doc_id", "_sha256"])
+        once = kept.join(again, on, "left_semi").withColumn("id", F.col("doc.doc_id")).dropDuplicates(["id", "sha256"]).drop("id")
         kept = kept.join(again, on, "left_anti").unionByName(once)
-    return kept.select(docs.columns)
+    return kept.select("doc.*")

@@ -23,7 +23,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from siftline.llm.tables import SPACE, WORD, stage, text_of
+from siftline.llm.tables import SPACE, WORD, boxed, stage, text_of
 
 WEIGHTS = (5, 2, 1)
 MOST_EPOCHS = 3
@@ -167,9 +167,9 @@ def mixed_documents(
     taken = (
         mix(docs, weights, most_epochs, seed, whole_documents=True)
         .filter("taken > 0")
-        .groupBy(F.col("doc_id").alias("_id"), F.col("size").alias("_size"))
-        .agg(F.max(F.col("taken") / F.col("size")).cast("int").alias("_times"))
+        .groupBy("doc_id", "size")
+        .agg(F.max(F.col("taken") / F.col("size")).cast("int").alias("times"))
     )
-    on = F.col("doc_id").eqNullSafe(F.col("_id")) & (count_words() == F.col("_size"))
-    times = F.explode(F.sequence(F.lit(1), F.col("_times")))
-    return docs.join(taken, on).select(*docs.columns, times.alias("_turn")).drop("_turn")
+    on = F.col("doc.doc_id").eqNullSafe(F.col("doc_id")) & (F.col("words") == F.col("size"))
+    counted = docs.select(boxed(docs), count_words().alias("words"))
+    return counted.join(taken, on).select("doc", F.explode(F.sequence(F.lit(1), F.col("times")))).select("doc.*")

@@ -216,6 +216,8 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", most: int =
     chosen = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(sample, "doc_id")
     featured = chosen.mapInArrow(_featured, "doc_id long, label long, slots binary")
     row = featured.repartition(1).sortWithinPartitions("doc_id", "slots").mapInArrow(_fitted, MODEL_SCHEMA).first()
+    if row is None:  # Spark needs no task to tell that there is nothing to learn from
+        return fit_rows([], np.zeros(0, np.int64))
     return Model(
         np.frombuffer(row["weights"], "<f4"), np.frombuffer(row["squares"], "<f4"), row["intercept"], row["slope"], row["shift"]
     )

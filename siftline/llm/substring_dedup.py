@@ -201,12 +201,14 @@ def cut_repeats(docs: DataFrame, window: int = WINDOW, first: int = FIRST) -> Da
     for before, length in zip(levels[:-1], levels[1:], strict=True):
         if survived.isEmpty():
             break
-        candidates = stage(texts.join(survived, "key"), "candidates")
+        on = [c for c in ("key", "words_sha256") if c in texts.columns]
+        # The same join at every size: texts are sorted once, never broadcast against.
+        candidates = stage(texts.join(survived.hint("merge"), on), "candidates")
         anchored = stage(_next_level(candidates, before, length, window), "anchored")
         texts = candidates.select("key", "words_sha256", "text")
         survived = stage(_repeated(anchored, last=length == window), "survived")
     on = [c for c in ("key", "words_sha256") if c in texts.columns]
-    results = _cut(texts.join(survived, on), window)
+    results = _cut(texts.join(survived.hint("merge"), on), window)
     classes = stage(stands.join(results, "words_sha256", "left"), "classes")
     return _settled(rows.select("key", "n_words", "words_sha256"), classes, window)
 

@@ -43,6 +43,6 @@ def text_of(column: str | Column = "text") -> Column:
     return F.coalesce(F.col(column) if isinstance(column, str) else column, F.lit(""))
 
 
-def bigger(spark: SparkSession, rows: int, each: int) -> int:
-    """Partitions for ``rows`` of which a task takes about ``each``; one at least."""
-    return max(1, -(-rows // each))
+def boxed(docs: DataFrame) -> Column:
+    """The whole row as the column ``doc``, so that its columns clash with none that is added."""
+    return F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc")
