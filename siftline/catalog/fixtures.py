@@ -15,7 +15,6 @@ from pyspark.sql import functions as F
 from siftline.functions.rules import CONGLOMERATE, FOREIGN, STARTUP, Profile
 from siftline.operators.state import add_missing_columns
 from siftline.schemas import SEEN, SEEN_COLUMNS
-from siftline.session import spread
 
 AS_OF = "2024-01-31 00:00:00"
 CLOCK = f"TIMESTAMP '{AS_OF}'"
@@ -36,6 +35,8 @@ FIRST_WORD = f"split_part({FIRST_LINE}, ' ', 1)"
 EXPERIENCE = """CASE doc_id % 8 WHEN 0 THEN '' WHEN 1 THEN '신입' WHEN 2 THEN '경력 3년'
     WHEN 3 THEN '5년 이상' WHEN 4 THEN '10년' WHEN 5 THEN '무관' WHEN 6 THEN '6년' ELSE '2~5년' END"""
 POSTED = f"""CASE WHEN doc_id % 5 = 0 THEN '' WHEN doc_id % 11 = 0 THEN '~06.30(월)'
+    WHEN doc_id % 13 = 0 THEN CAST(CAST({CLOCK} - INTERVAL '1' DAY * (doc_id % 45) AS DATE) AS STRING) || 'T10:30:00+09:00'
+    WHEN doc_id % 17 = 0 THEN CAST(CAST({CLOCK} - INTERVAL '1' DAY * (doc_id % 45) AS DATE) AS STRING) || ' 01:00:00.5Z'
     ELSE CAST(CAST({CLOCK} - INTERVAL '1' DAY * (doc_id % 45) AS DATE) AS STRING) END"""
 KEY = "source || ':' || CAST(doc_id AS STRING)"
 SCORE = """CAST(replace(replace(props, '{"k": ', ''), '}', '') AS DOUBLE)"""
@@ -249,7 +250,7 @@ class Tables:
 
     @cached_property
     def postings(self) -> DataFrame:
-        return self._pick(spread(self.documents), POSTINGS)
+        return self._pick(self.documents, POSTINGS)
 
     @cached_property
     def responses(self) -> DataFrame:
@@ -298,9 +299,7 @@ class Tables:
     @cached_property
     def snippets(self) -> DataFrame:
         texts = self.read("benchmark").withColumnRenamed("text", "item_text")
-        return (
-            self.documents.join(texts, F.col("doc_id") == F.col("item_id"))
-            .selectExpr(f"{SNIPPET_NAME} AS normalized_name", "item_id", f"{SNIPPET_TEXT} AS text")
-            .groupBy("normalized_name")
-            .agg(F.array_sort(F.collect_list(F.struct("item_id", "text")))["text"].alias("snippets"))
+        named = self.documents.selectExpr("doc_id", "source", f"{SNIPPET_NAME} AS normalized_name")
+        return named.join(texts, F.col("doc_id") == F.col("item_id")).selectExpr(
+            "normalized_name", f"{SNIPPET_TEXT} AS snippet"
         )

@@ -160,7 +160,7 @@ _STATE = ("canonical_key", "company_type", "ai_match_score", "ranking_score", "m
                 "COALESCE(r.effective_date", "COALESCE(s.company_intro, ''), COALESCE(r.effective_date")},
         COALESCE(r.ai_match_score, 0.0E0),
         CASE WHEN r.dedup_key IS NULL THEN '' ELSE {X.label_of('r.freshness_days')} END,
-        md5(COALESCE(substring(r.jd_text, 1, 5000), '')),
+        md5(COALESCE(r.jd_text, '')),
         COALESCE(s.positioning_advice, r.positioning_advice, ''),
         strftime({CLOCK}, '%Y-%m-%d %H:%M:%S'), strftime({CLOCK}, '%Y-%m-%d %H:%M:%S')
         FROM @fresh f LEFT JOIN @ranked r ON f.dedup_key = r.dedup_key

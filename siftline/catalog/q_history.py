@@ -82,7 +82,7 @@ _UPDATED = ("location", "salary_info", "posted_date", "ai_match_score", "match_s
                              'keyword_score', 'match_reasons', 'effective_date'))},
         CASE WHEN p.dedup_key IS NOT NULL THEN p.ai_match_score ELSE h.match_score END AS match_score,
         h.application_status, h.title, {stamp_sql('h.first_seen')},
-        CASE WHEN p.dedup_key IS NOT NULL THEN md5(substring(p.jd_text, 1, 5000)) ELSE md5(h.jd_text)
+        CASE WHEN p.dedup_key IS NOT NULL THEN md5(p.jd_text) ELSE md5(h.jd_text)
         END AS text_md5,
         strftime(CASE WHEN p.dedup_key IS NOT NULL THEN {CLOCK} ELSE h.last_seen END,
                  '%Y-%m-%d %H:%M:%S') AS last_seen
@@ -91,7 +91,9 @@ _UPDATED = ("location", "salary_info", "posted_date", "ai_match_score", "match_s
 def updated_history(t):
     from siftline.catalog.q_scores import _scored_all
 
-    texts = t.postings.select("dedup_key", "jd_text")
+    # Most postings are not in history: their texts and updates stay where they are.
+    known = t.history.select("dedup_key")
+    texts = t.postings.select("dedup_key", "jd_text").join(known, "dedup_key", "left_semi")
     updates = _scored_all(t).join(texts, "dedup_key").withColumn("effective_date", F.lit(""))
     return H.apply_updates(t.history, updates, AS_OF).select(
         "dedup_key", *_UPDATED, stamp("first_seen"), F.md5("jd_text").alias("text_md5"),
@@ -113,24 +115,31 @@ def unscored_rows(t):
 
 @query(
     "replaced_companies",
-    """SELECT normalized_name, company_type, confidence FROM (
-         SELECT lower(p_brand) AS normalized_name, '외국계' AS company_type, 'verified' AS confidence
-         FROM part GROUP BY p_brand
+    """SELECT normalized_name, company_type, confidence, verified_at FROM (
+         SELECT lower(p_brand) AS normalized_name, '외국계' AS company_type, 'verified' AS confidence,
+                max(p_size) AS verified_at
+         FROM part GROUP BY lower(p_brand)
          UNION ALL
-         SELECT lower(p_name), '불확인', 'unverified' FROM part
+         SELECT lower(p_name), '불확인', 'unverified', max(p_size) FROM part
          WHERE lower(p_name) NOT IN (SELECT lower(p_brand) FROM part) GROUP BY lower(p_name)) c""",
 )
 def replaced_companies(t):
     def entry(column, kind, confidence):
-        return t.read("part").select(F.lower(column).alias("normalized_name")).distinct().select(
-            "normalized_name", F.lit(kind).alias("company_type"), F.lit(confidence).alias("confidence")
+        return t.read("part").select(
+            F.lower(column).alias("normalized_name"),
+            F.lit(kind).alias("company_type"),
+            F.lit(confidence).alias("confidence"),
+            F.col("p_size").alias("verified_at"),
         )
 
+    # Brands and names recur: each table and each update has many rows for a key.
     old = H.replace_rows(
         entry("p_brand", "불확인", "unverified"), entry("p_name", "불확인", "unverified"),
-        "normalized_name",
+        "normalized_name", newest="verified_at",
+    )
+    return H.replace_rows(
+        old, entry("p_brand", "외국계", "verified"), "normalized_name", newest="verified_at"
     )
-    return H.replace_rows(old, entry("p_brand", "외국계", "verified"), "normalized_name")
 
 
 @query(

@@ -98,7 +98,7 @@ def weekly_health(t):
     f"""SELECT source, count(*) AS total,
         count(*) FILTER (WHERE prefilter_passed = 1) AS passed_prefilter,
         {COUNT_FIT.format(n=40)} AS recommended, {AVG} AS avg_score,
-        round(avg((epoch_us({CLOCK}) - epoch_us({X.parsed('posted_date')})) / 86400000000.0E0), 1)
+        round(avg((epoch_us({CLOCK}) - ({X.instant('posted_date')})) / 86400000000.0E0), 1)
             AS avg_posting_days
         FROM @seen WHERE {WEEK} GROUP BY source""",
 )

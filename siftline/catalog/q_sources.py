@@ -11,7 +11,6 @@ from siftline.sources import html_postings as H
 from siftline.sources import json_postings as J
 from siftline.sources.common import document_seq, recent, union_sources
 from siftline.operators.dedup import cap_per_source
-from siftline.session import spread
 
 _JSON_ITEM = """to_json(named_struct('id', seq, 'url', url,
   'position', named_struct('title', title, 'location', named_struct('name', location),
@@ -121,10 +120,10 @@ def _escaped(column: str) -> str:
 
 
 _HREF = "CASE WHEN seq % 6 = 0 THEN 'http://x.example.org/' ELSE '/view?job=' END || CAST(seq AS STRING)"
-_LIST_CARD = f"""'<li class="x c_col y"><div class="cell_first"><a class="cpname" href="#">' || {_escaped('company')}
+_LIST_CARD = f"""'<li class="x c_col y"><a class="cpname">no company</a><div class="cell_first"><div></div><a class="cpname" href="#">' || {_escaped('company')}
   || '</a></div><div class="cell_mid"><a href="' || {_HREF} || '"> <b>' || {_escaped('title')}
   || '</b> </a><span class="cl_md">서울</span><span class="cl_md"> ' || experience_required
-  || '</span></div><div class="cell_last"><span>' || posted_date || '</span></div></li>'"""
+  || '</span></div><div class="cell_last"><div>&middot;</div><span>' || posted_date || '</span></div></li>'"""
 
 
 def list_pages(t):
@@ -140,7 +139,9 @@ def list_pages(t):
                 F.lit('<html><ul><li class="c_col"><a href="/nav">menu</a></li></ul>'),
                 F.lit('<div class="cBbslist_contenst"><ul>'),
                 "cards",
-                F.lit("</ul></div></html>"),
+                # Strays after the list: an item, and a company and a date without an item.
+                F.lit('</ul></div><div class="side"><ul><li class="c_col"><div class="cell_mid">'),
+                F.lit('<a href="/view?job=999999999">aside</a></div></li></ul></div></html>'),
             ).alias("html"),
         )
     )
@@ -153,7 +154,7 @@ def list_pages(t):
         CASE WHEN seq % 6 = 0 THEN {_HREF} ELSE 'https://job.incruit.com' || {_HREF} END AS url,
         {_stripped('title')} AS title, {_stripped('company')} AS company,
         CASE WHEN contains(experience_required, '경력') OR contains(experience_required, '신입')
-             THEN experience_required ELSE '' END AS experience_required, posted_date
+             THEN experience_required ELSE '' END AS experience_required, '·' || posted_date AS posted_date
         FROM @postings""",
 )
 def html_list_source(t):
@@ -178,7 +179,7 @@ _PLAIN_LIST = H.ListLayout(host="https://pages.example.org", item=r"<li\b[^>]*>"
         WHERE nth = 1""",
 )
 def html_list_pages(t):
-    return H.html_list_postings(spread(t.read("pages")), AS_OF, layout=_PLAIN_LIST).select(
+    return H.html_list_postings(t.read("pages"), AS_OF, layout=_PLAIN_LIST).select(
         "source_id", "url", "title"
     )
 
@@ -186,7 +187,7 @@ def html_list_pages(t):
 _REGION = "CASE WHEN seq % 3 = 0 THEN '서울 강남' WHEN seq % 3 = 1 THEN '경기' ELSE '' END"
 _CARD = f"""'<div class="list shadow-list-item b"><a href="/GI_Read/logo">x</a><a href="/Recruit/GI_Read/'
   || CAST(seq AS STRING) || '?c=1"><strong> ' || {_escaped('title')} || ' </strong></a><a href="/Recruit/GI_Read/'
-  || CAST(seq AS STRING) || '">' || {_escaped('company')} || '</a><a href="/other">a longer text</a><span>'
+  || CAST(seq AS STRING) || '">' || {_escaped('company')} || '</a><a href="/other">a longer text</a><div><span>&#xB300;&#44592;</span></div><span>'
   || experience_required || '</span><span>' || {_REGION} || '</span></div>'"""
 
 
@@ -195,7 +196,9 @@ def card_pages(t):
     return (
         t.postings.withColumn("card", F.expr(_CARD))
         .groupBy(F.expr("seq div 20").alias("page_id"))
-        .agg(F.concat(F.lit("<html><body>"), F.array_join(cards, "\n"), F.lit("</body></html>")).alias("html"))
+        .agg(F.concat(F.lit("<html><body>"), F.array_join(cards, "\n"),
+                      # A footer after the last card is part of none.
+                      F.lit('<div><a href="/GI_Read/1">Other company</a><span>서울 경력</span></div></body></html>')).alias("html"))
     )
 
 

@@ -46,6 +46,14 @@ def parsed(text: str) -> str:
     return f"CASE WHEN regexp_matches({text}, '{ISO}') THEN TRY_CAST({text} AS TIMESTAMP) END"
 
 
+def instant(text: str) -> str:
+    """Microseconds since 1970 of a date, or of a date-time with an offset."""
+    return (
+        f"CASE WHEN regexp_matches({text}, '(Z|[+-][0-9:]{{5}})$') THEN epoch_us(TRY_CAST({text} AS TIMESTAMPTZ))"
+        f" ELSE epoch_us({parsed(text)}) END"
+    )
+
+
 def elapsed(ts: str) -> str:
     return (
         f"CAST(floor((epoch_us({CLOCK}) - epoch_us({ts})) / 86400000000.0E0) AS BIGINT)"
@@ -98,13 +106,15 @@ SELECT *, row_number() OVER best AS nth, first_value(source) OVER best AS best_s
 FROM @{source} WHERE canonical_key <> ''
 WINDOW best AS (PARTITION BY canonical_key ORDER BY completeness DESC, seq)"""
     CTE[f"{name}_others"] = f"""
-SELECT canonical_key AS k, string_agg(source, '+' ORDER BY nth) FILTER (WHERE source <> best_source)
-       AS others FROM @{name}_ranked GROUP BY canonical_key"""
+SELECT canonical_key AS k, string_agg(source, '+' ORDER BY best) AS others
+FROM (SELECT canonical_key, source, min(nth) AS best FROM @{name}_ranked
+      WHERE source <> best_source GROUP BY canonical_key, source)
+GROUP BY canonical_key"""
     CTE[name] = f"""
 SELECT * EXCLUDE (nth, best_source, first_seq, k, others),
        CASE WHEN others IS NULL THEN '' ELSE dedup_key || '+' || others END AS canonical_group_id,
        1152921504606846976 + first_seq AS merge_order
-FROM @{name}_ranked JOIN @{name}_others ON canonical_key = k WHERE nth = 1
+FROM @{name}_ranked LEFT JOIN @{name}_others ON canonical_key = k WHERE nth = 1
 UNION ALL BY NAME
 SELECT *, '' AS canonical_group_id, seq AS merge_order FROM @{source} WHERE canonical_key = ''"""
 
@@ -116,18 +126,15 @@ CTE["kept"] = "SELECT * FROM @merged WHERE freshness_days IS NULL OR freshness_d
 CTE["firsts"] = """
 SELECT normalized_name, count(*) AS postings, min(merge_order) AS first_order,
        arg_min(pattern, merge_order) AS pattern FROM @kept GROUP BY normalized_name"""
-CTE["snippet_text"] = """
-SELECT normalized_name, lower(string_agg(substring(text, 1, 300), ' ' ORDER BY item_id)) AS found
-FROM @evidence GROUP BY normalized_name"""
 _confirms = " ".join(
-    f"WHEN f.pattern = '{label}' THEN {any_of('s.found', words)}"
+    f"WHEN f.pattern = '{label}' THEN {any_of('lower(s.text)', words)}"
     for label, words in EVIDENCE_WORDS.items()
 )
 CTE["searched"] = f"""
-SELECT f.normalized_name, CASE {_confirms} ELSE FALSE END AS confirmed
-FROM @firsts f JOIN @snippet_text s ON f.normalized_name = s.normalized_name
+SELECT f.normalized_name, bool_or(CASE {_confirms} ELSE FALSE END) AS confirmed
+FROM @firsts f JOIN @evidence s ON f.normalized_name = s.normalized_name
 WHERE f.pattern <> '일반' AND f.normalized_name NOT IN (SELECT normalized_name FROM @cache)
-ORDER BY f.first_order LIMIT 20"""
+GROUP BY f.normalized_name, f.first_order ORDER BY f.first_order LIMIT 20"""
 CTE["verdicts"] = """
 SELECT f.normalized_name, f.postings, c.company_type IS NOT NULL AS cached,
        CASE WHEN c.company_type IS NOT NULL THEN c.company_type

@@ -20,6 +20,7 @@ STALE_LABEL, UNKNOWN_LABEL = "⚫ >30d", "unknown"
 FRESHNESS_BONUS = ((3, 10.0), (7, 8.0), (14, 5.0), (30, 2.0))
 
 _EXTENDED = r"^\d{4}-\d{2}-\d{2}([T ]\d{2}(:\d{2}(:\d{2}([.,]\d{1,9})?)?)?)?$"
+_ZONED = r"^\d{4}-\d{2}-\d{2}[T ]\d{2}:\d{2}(:\d{2}([.,]\d{1,9})?)?(Z|[+-]\d{2}:\d{2})$"
 _LAST_EPOCH_SECOND = 253_402_300_799  # end of the year 9999
 
 
@@ -51,6 +52,12 @@ def parse_iso(text: Column) -> Column:
     )
 
 
+def parse_instant(text: Column) -> Column:
+    """As :func:`parse_iso`, and also date-times with ``Z`` or an offset of hours and minutes."""
+    zoned = F.when(text.rlike(_ZONED), F.regexp_replace(text, ",", ".").try_cast("timestamp"))
+    return F.coalesce(zoned, parse_iso(text))
+
+
 def iso_text(ts: Column) -> Column:
     """ISO text of a timestamp; a fraction only where there is one."""
     whole = F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from functools import reduce
 from operator import add
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from siftline.functions.text import canonical_key
@@ -28,10 +28,6 @@ SEQ_MAX = (1 << SEQ_BITS) - 1
 # Merged groups come after all postings without a key.
 _GROUPS_START = 1 << 60
 
-# A group larger than this does not get its id spelled out in one cell.
-GIANT_GROUP = 1_000_000
-GIANT_KEYS = 4096
-
 
 def completeness() -> Column:
     return reduce(
@@ -53,79 +49,44 @@ def _copies(postings: DataFrame) -> DataFrame:
     )
 
 
-def _giant_keys(copies: DataFrame, giant_group: int) -> DataFrame:
-    sizes = copies.groupBy("canonical_key").agg(F.count("*").alias("copies"))
-    return (
-        sizes.where(F.col("copies") > giant_group)
-        .orderBy(F.col("copies").desc(), "canonical_key")
-        .limit(GIANT_KEYS)
-        .select("canonical_key")
-    )
-
-
-def merge_cross_platform(postings: DataFrame, giant_group: int = GIANT_GROUP) -> DataFrame:
+def merge_cross_platform(postings: DataFrame) -> DataFrame:
     """Keep the most complete copy of each canonical key, the earliest on ties.
 
     Needs ``seq`` (unique, below 2^57), ``source``, ``dedup_key`` and the columns
     of :func:`with_merge_columns`.  Postings with a blank key all stay, and skip
     the shuffle.  Adds
 
-    * ``canonical_group_id``: the winner's key and the other copies' sources,
-      best copy first, joined by ``+``; blank when no other source has a copy;
+    * ``canonical_group_id``: the winner's key and the other sources that have a
+      copy, each once, by their best copy, joined by ``+``; blank when no other
+      source has one;
     * ``merge_order``: unkeyed postings first, then groups by first appearance.
 
-    A group of more than ``giant_group`` copies would make a cell of unbounded
-    size in one task.  Its winner gets ``<key>+*`` and the full list, in order,
-    is in :func:`group_members`.  The keys so treated are at most ``GIANT_KEYS``,
-    hence the broadcast is bounded; any other group is bounded too.
+    Copies are first brought down to one row per key and source, so a cell has
+    at most as many names as there are sources, and a key with any share of all
+    rows combines before the shuffle.  All copies are in :func:`group_members`.
     """
-    copies = _copies(postings)
-    giant = F.broadcast(_giant_keys(copies, giant_group))
-
-    best_first = F.sort_array(F.collect_list(F.struct("rank", "source")), asc=False)
-    normal = (
-        copies.join(giant, "canonical_key", "left_anti")
-        .groupBy("canonical_key")
-        .agg(
-            best_first.alias("ranked"),
-            F.max_by("dedup_key", "rank").alias("winner"),
-            F.min("seq").alias("first_seq"),
-        )
-        .withColumn(
-            "others",
-            F.filter("ranked", lambda x: x["source"] != F.col("ranked")[0]["source"])["source"],
-        )
-        .select(
-            F.col("ranked")[0]["rank"].alias("rank"),
-            "first_seq",
-            F.when(
-                F.size("others") > 0,
-                F.concat_ws("+", F.col("winner"), F.array_join("others", "+")),
-            )
-            .otherwise("")
-            .alias("canonical_group_id"),
-        )
-    )
-    huge = (
-        copies.join(giant, "canonical_key", "left_semi")
-        .groupBy("canonical_key")
+    by_source = (
+        _copies(postings)
+        .groupBy("canonical_key", "source")
         .agg(
             F.max("rank").alias("rank"),
+            F.max_by("dedup_key", "rank").alias("dedup_key"),
             F.min("seq").alias("first_seq"),
-            F.max_by("dedup_key", "rank").alias("winner"),
-            (F.min("source") != F.max("source")).alias("mixed"),
-        )
-        .select(
-            "rank",
-            "first_seq",
-            F.when(F.col("mixed"), F.concat("winner", F.lit("+*")))
-            .otherwise("")
-            .alias("canonical_group_id"),
         )
     )
-    winners = normal.unionByName(huge).select(
-        (F.lit(SEQ_MAX) - F.col("rank").bitwiseAND(F.lit(SEQ_MAX))).alias("seq"),
-        "canonical_group_id",
+    best_first = F.sort_array(F.collect_list(F.struct("rank", "source")), asc=False)
+    groups = by_source.groupBy("canonical_key").agg(
+        best_first.alias("ranked"),
+        F.max_by("dedup_key", "rank").alias("winner"),
+        F.min("first_seq").alias("first_seq"),
+    )
+    others = F.slice("ranked", 2, F.size("ranked"))["source"]
+    rank = F.col("ranked")[0]["rank"]
+    winners = groups.select(
+        (F.lit(SEQ_MAX) - rank.bitwiseAND(F.lit(SEQ_MAX))).alias("seq"),
+        F.when(F.size("ranked") > 1, F.concat_ws("+", F.col("winner"), F.array_join(others, "+")))
+        .otherwise("")
+        .alias("canonical_group_id"),
         (F.lit(_GROUPS_START) + F.col("first_seq")).alias("merge_order"),
     )
 
@@ -138,26 +99,18 @@ def merge_cross_platform(postings: DataFrame, giant_group: int = GIANT_GROUP) ->
     return alone.unionByName(merged)
 
 
-def group_members(postings: DataFrame, giant_group: int = GIANT_GROUP) -> DataFrame:
+def group_members(postings: DataFrame) -> DataFrame:
     """Every copy of every canonical key with its position, the best copy being 1.
 
-    The long form of ``canonical_group_id``.  Giant groups are numbered by a
-    distributed prefix count, so that one spreads over many tasks; for all the
-    others a window is enough.
+    The long form of ``canonical_group_id``, repeats of a source included.
+    Positions are a distributed prefix count, so that a group spreads over tasks.
     """
-    copies = _copies(postings)
-    giant = F.broadcast(_giant_keys(copies, giant_group))
-    best_first = Window.partitionBy("canonical_key").orderBy(F.col("rank").desc())
-    normal = copies.join(giant, "canonical_key", "left_anti").withColumn(
-        "position", F.row_number().over(best_first).cast("bigint")
-    )
     ahead = preceding_sum(
-        copies.join(giant, "canonical_key", "left_semi").withColumn("_order", -F.col("rank")),
+        _copies(postings).withColumn("_order", -F.col("rank")),
         F.lit(1),
         order="_order",
         group=["canonical_key"],
         name="_ahead",
     )
-    huge = ahead.withColumn("position", (F.col("_ahead") + 1).cast("bigint"))
-    columns = ["canonical_key", "position", "dedup_key", "source"]
-    return normal.select(*columns).unionByName(huge.select(*columns))
+    position = (F.col("_ahead") + 1).cast("bigint").alias("position")
+    return ahead.select("canonical_key", position, "dedup_key", "source")

@@ -9,14 +9,13 @@ from pyspark.sql import functions as F
 
 from siftline.functions import rules as R
 from siftline.functions.freshness import as_timestamp
-from siftline.functions.text import cut, normalize_company
+from siftline.functions.text import normalize_company
 from siftline.operators.skew import lookup
 
 # Searches per run, and marks of how a class came about.
 MAX_SEARCHES = 20
 VERIFIED, PATTERN_MATCH, UNVERIFIED = "verified", "pattern_match", "unverified"
 FROM_SEARCH, FROM_PATTERN, FROM_DEFAULT = "tavily", "pattern", "default"
-SNIPPET_LENGTH = 500
 
 
 def with_company_columns(postings: DataFrame, rules: R.Rules = R.EMPLOYER_RULES) -> DataFrame:
@@ -53,8 +52,9 @@ def company_verdicts(
     """Class, confidence and origin per company in ``postings``.
 
     A cache entry wins.  Otherwise the pattern of the first posting is checked
-    against ``snippets(normalized_name, snippets)``, for the first
-    ``max_searches`` companies that have any; the rest keep the bare pattern.
+    against ``snippets(normalized_name, snippet)``, any number of rows for a
+    company, for the first ``max_searches`` companies that have any; the rest
+    keep the bare pattern.  A keyword counts inside one snippet, not across two.
     """
     known = cache.select(
         "normalized_name",
@@ -72,15 +72,19 @@ def company_verdicts(
     if snippets is None:
         judged = named.withColumn("_confirmed", F.lit(None).cast("boolean"))
     else:
-        searched = (
+        # At most max_searches names, so they are broadcast to all evidence.
+        chosen = (
             named.where(~F.col("cached") & matched)
-            .join(snippets, "normalized_name")
+            .join(snippets.select("normalized_name"), "normalized_name", "left_semi")
             .orderBy("first_order")
             .limit(max_searches)
-            .select(
-                "normalized_name",
-                R.evidence_confirms(F.col("_pattern"), F.col("snippets")).alias("_confirmed"),
-            )
+            .select("normalized_name", "_pattern")
+        )
+        confirms = R.evidence_confirms(F.col("_pattern"), F.lower("snippet"))
+        searched = (
+            snippets.join(F.broadcast(chosen), "normalized_name")
+            .groupBy("normalized_name")
+            .agg(F.max(confirms).alias("_confirmed"))
         )
         judged = named.join(F.broadcast(searched), "normalized_name", "left")
 
@@ -115,7 +119,7 @@ def company_verdicts(
         company_type.alias("company_type"),
         confidence.alias("company_type_confidence"),
         origin.alias("company_type_source"),
-        cut(note, SNIPPET_LENGTH).alias("raw_search_snippet"),
+        note.alias("raw_search_snippet"),
     )
 
 

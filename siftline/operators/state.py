@@ -12,9 +12,6 @@ from siftline.functions.freshness import as_timestamp, iso_text
 from siftline.functions.text import cut
 from siftline.schemas import RUNS, SEEN, SEEN_BASE, UPDATED_COLUMNS, ColumnSpec
 
-# Length of the job text kept in history.
-KEPT_TEXT = 5000
-
 
 def add_missing_columns(df: DataFrame, spec: Sequence[ColumnSpec]) -> DataFrame:
     """Add the columns of ``spec`` that ``df`` lacks, filled with their default."""
@@ -53,19 +50,23 @@ def add_keys(rows: DataFrame, table: str, buckets: int, **options: str) -> None:
 
 
 def apply_updates(
-    seen: DataFrame, updates: DataFrame, as_of: datetime | str | Column
+    seen: DataFrame,
+    updates: DataFrame,
+    as_of: datetime | str | Column,
+    kept_text: int | None = None,
 ) -> DataFrame:
     """Overwrite the processed columns of history rows that ``updates`` has.
 
     Keys that history lacks are ignored; identity, first sight, status and notes
-    are left alone.  Columns missing from ``updates`` keep their value.
+    are left alone.  Columns missing from ``updates`` keep their value.  Job texts
+    are kept whole, or cut to ``kept_text`` code points.
     """
     given = [c for c in UPDATED_COLUMNS if c in updates.columns]
     fresh = updates.select("dedup_key", F.struct(*given).alias("_new"))
     hit = F.col("_new").isNotNull()
     new = {c: F.col("_new")[c] for c in given}
-    if "jd_text" in new:
-        new["jd_text"] = cut(new["jd_text"], KEPT_TEXT)
+    if "jd_text" in new and kept_text is not None:
+        new["jd_text"] = cut(new["jd_text"], kept_text)
     if "effective_date" in new and {"posted_date", "scraped_at"} <= set(given):
         new["effective_date"] = F.coalesce(
             F.nullif(new["effective_date"], F.lit("")),
@@ -93,9 +94,21 @@ def set_score(seen: DataFrame, scores: DataFrame) -> DataFrame:
     )
 
 
-def replace_rows(table: DataFrame, updates: DataFrame, key: str) -> DataFrame:
-    """Rows of ``updates`` take the place of those with the same key, or are added."""
-    return table.join(updates.select(key), key, "left_anti").unionByName(updates)
+def replace_rows(
+    table: DataFrame, updates: DataFrame, key: str, newest: str | None = None
+) -> DataFrame:
+    """Rows of ``updates`` take the place of those with the same key, or are added.
+
+    One row per key: among several updates of a key the one with the largest
+    ``newest`` column wins, and the largest row where that ties or none is named.
+    """
+    row = F.struct(*table.columns)
+    last = F.col(newest) if newest else F.lit(0)
+    ranked = table.select(F.lit(0).alias("_new"), last.alias("_last"), key, row.alias("_row")).unionByName(
+        updates.select(*table.columns).select(F.lit(1).alias("_new"), last.alias("_last"), key, row.alias("_row"))
+    )
+    best = F.max(F.struct("_new", "_last", "_row"))["_row"]
+    return ranked.groupBy(key).agg(best.alias("_row")).select("_row.*")
 
 
 def next_run_id(runs: DataFrame) -> DataFrame:

@@ -31,7 +31,7 @@ from siftline.operators.scoring import (
     spend_budget,
     with_keyword_score,
 )
-from siftline.operators.state import KEPT_TEXT, apply_updates, first_sight, run_row
+from siftline.operators.state import apply_updates, first_sight, run_row
 from siftline.plans.marts import AsOf
 from siftline.schemas import SEEN_COLUMNS, SOURCE_ORDER
 from siftline.session import stage as stage_table
@@ -112,16 +112,20 @@ def run_daily(
     budget_usd: float = DAILY_BUDGET_USD,
     max_searches: int = C.MAX_SEARCHES,
     max_recommendations: int = MAX_RECOMMENDATIONS,
+    kept_text: int | None = None,
     duration_seconds: float = 0.0,
     stage: Callable[[DataFrame, str], DataFrame] = stage_table,
 ) -> DailyRun:
     """New keys -> merge -> age cutoff -> employer class -> scores -> shortlist.
 
     ``stage`` writes an intermediate table once and reads it back.  The tables
-    that are needed more than once are staged; none of them has job texts.
+    that are needed more than once are staged, the batch first: payloads and
+    pages are parsed once, and its later readers take only the columns they need.
+    ``kept_text`` cuts the job texts that go into history.
     """
     if "dedup_key" not in postings.columns:
         postings = with_dedup_key(postings)
+    postings = stage(postings, "batch")
     features = posting_features(postings, profile, as_of, employer_rules, min_score)
     fresh = stage(new_rows(features, seen), "fresh")
 
@@ -167,8 +171,9 @@ def run_daily(
         .withColumns({c: F.coalesce(F.col(c), F.lit("")) for c in extra})
     )
     numbered = first_sight(fresh, as_of, keep=["seq"])
-    # The one shuffle of job texts: those of processed postings, cut, by seq.
-    texts = postings.select("seq", cut(F.col("jd_text"), KEPT_TEXT).alias("_text")).join(
+    # The one shuffle of job texts: those of processed postings, by seq.
+    text = F.col("jd_text") if kept_text is None else cut(F.col("jd_text"), kept_text)
+    texts = postings.select("seq", text.alias("_text")).join(
         scored.select("seq"), "seq", "left_semi"
     )
     history = (

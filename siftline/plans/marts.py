@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from siftline.functions import rules as R
 from siftline.functions import scores as S
-from siftline.functions.freshness import age_in_days, days_back, parse_iso
+from siftline.functions.freshness import age_in_days, days_back, parse_instant
 from siftline.operators.ranking import MAX_RECOMMENDATIONS
 from siftline.operators.scoring import ENRICH_MIN, FIT_MIN
 
@@ -162,7 +162,7 @@ def weekly_source(seen: DataFrame, as_of: AsOf) -> DataFrame:
             _count_if(F.col("prefilter_passed") == 1).alias("passed_prefilter"),
             _count_if(F.col("ai_match_score") >= FIT_MIN).alias("recommended"),
             _avg1("ai_match_score").alias("avg_score"),
-            _avg1(age_in_days(parse_iso(F.col("posted_date")), as_of)).alias("avg_posting_days"),
+            _avg1(age_in_days(parse_instant(F.col("posted_date")), as_of)).alias("avg_posting_days"),
         )
     )
 

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -32,31 +31,26 @@ def build_session(app_name: str = "siftline", **settings: str) -> SparkSession:
 def shared_dir(spark: SparkSession) -> str:
     """Folder every executor can reach: the one named in ``spark.checkpoint.dir``.
 
-    Only where the session names none (tests, a laptop) a local one is made.
+    Where the session names none, it lies beside the tables of the warehouse,
+    which is on shared storage by nature.  Never a folder of one machine.
     """
-    named = spark.conf.get("spark.checkpoint.dir", None)
-    if not named:
-        named = spark.sparkContext.getCheckpointDir()
-    if not named:
-        named = tempfile.mkdtemp(prefix="siftline-")
-        spark.sparkContext.setCheckpointDir(named)
-    return named.rstrip("/")
+    named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    return (named or spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_work").rstrip("/")
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Deal out the rows of a table that lies in a single file.
+def run_folder(spark: SparkSession) -> str:
+    """Folder of this application's intermediate tables."""
+    return f"{shared_dir(spark)}/siftline/{spark.sparkContext.applicationId}"
 
-    A row group is read by one task, so a small table in one file leaves all but
-    one core idle in front of expressions on long texts.  Tables in more files,
-    that is all large ones, are left as they are.
-    """
-    if len(df.inputFiles()) != 1:
-        return df
-    return df.repartition(df.sparkSession.sparkContext.defaultParallelism, df.columns[0])
+
+def drop_stages(spark: SparkSession) -> None:
+    """Delete the intermediate tables of this application; call it when its results are written."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(run_folder(spark))
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def stage_path(spark: SparkSession, name: str) -> str:
-    return f"{shared_dir(spark)}/siftline/{uuid.uuid4().hex}/{name}"
+    return f"{run_folder(spark)}/{uuid.uuid4().hex}/{name}"
 
 
 def stage(df: DataFrame, name: str) -> DataFrame:

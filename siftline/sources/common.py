@@ -27,7 +27,15 @@ _PARTITION_BITS, _ROW_BITS = 20, 14
 
 
 def document_seq(document: Column, position: Column) -> Column:
-    return F.shiftleft(document.cast("bigint"), _POSITION_BITS) + position
+    """Number of a posting by document and place; fails rather than hand one out twice."""
+    document = document.cast("bigint")
+    fits = document.between(0, (1 << _SOURCE_BITS - _POSITION_BITS) - 1) & position.between(
+        0, (1 << _POSITION_BITS) - 1
+    )
+    return F.when(fits, F.shiftleft(document, _POSITION_BITS) + position).when(
+        document.isNotNull() & position.isNotNull(),
+        F.raise_error(F.lit("document or position too large for a sequence number")),
+    )
 
 
 def read_order_number() -> Column:

@@ -7,9 +7,11 @@ with irregular markup can go through :func:`extract_with` instead.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from datetime import datetime
+from html.entities import name2codepoint
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -23,11 +25,8 @@ from siftline.sources.common import as_postings, document_seq
 EXPERIENCE_WORDS = ("경력", "신입")
 REGION_WORDS = ("서울", "경기", "부산", "대구", "인천", "전국", "대전", "광주", "울산", "세종")
 
-# Character references that occur in labels.
-ENTITIES = (
-    ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&nbsp;", " "),
-    ("&amp;", "&"),
-)
+_REFERENCE = r"&(#\d{1,7}|#[xX][0-9a-fA-F]{1,6}|[A-Za-z][A-Za-z0-9]{1,31});"
+_AMPERSANDS = ("&amp;", "&#38;", "&#x26;")
 
 _LINK = r"(?is)<a\b[^>]*>.*?</a>"
 _SPAN = r"(?is)<span\b[^>]*>(.*?)</span>"
@@ -50,6 +49,7 @@ class ListLayout:
     item: str
     container: str | None = None
     title_box: str | None = None
+    company_box: str | None = None
     company_link: str | None = None
     label: str | None = None
     date_box: str | None = None
@@ -62,6 +62,7 @@ LIST_PAGE = ListLayout(
     container=_tag("div", "cBbslist_contenst"),
     item=_tag("li", "c_col"),
     title_box=_tag("div", "cell_mid"),
+    company_box=_tag("div", "cell_first"),
     company_link=_tag("a", "cpname"),
     label=_tag("span", "cl_md"),
     date_box=_tag("div", "cell_last"),
@@ -75,19 +76,87 @@ CARD_ID = r"GI_Read/(\d+)"
 MIN_TITLE, MIN_COMPANY = 5, 1
 
 
+def unescaped(text: Column) -> Column:
+    """Character references, numeric and named, as the characters they stand for.
+
+    Unknown ones stay as they are.  References to the ampersand come last, so
+    that what they produce is not read as a reference again.
+    """
+    named = F.create_map(*[F.lit(x) for k, v in sorted(name2codepoint.items()) for x in (k, chr(v))])
+
+    def char(reference: Column) -> Column:
+        body = F.substring(reference, 2, F.length(reference) - 2)
+        digits = F.when(
+            F.lower(F.substring(body, 1, 2)) == "#x",
+            F.conv(F.substring(body, 3, F.length(body)), 16, 10),
+        ).when(F.startswith(body, F.lit("#")), F.substring(body, 2, F.length(body)))
+        number = digits.cast("bigint")
+        valid = number.between(1, 0x10FFFF) & ~number.between(0xD800, 0xDFFF)
+        numeric = F.decode(F.unhex(F.lpad(F.hex(number), 8, "0")), "UTF-32")
+        return F.when(digits.isNull(), F.coalesce(F.try_element_at(named, body), reference)).when(
+            valid, numeric
+        ).otherwise(reference)
+
+    found = F.array_distinct(F.regexp_extract_all(text, F.lit(_REFERENCE), F.lit(0)))
+    last = F.array(*[F.lit(x) for x in _AMPERSANDS])
+    ordered = F.concat(F.array_except(found, last), F.array_intersect(found, last))
+    replaced = F.aggregate(ordered, text, lambda done, x: F.replace(done, x, char(x)))
+    return F.when(F.contains(text, F.lit("&")), replaced).otherwise(text)
+
+
+def element(fragment: Column, name: str) -> Column:
+    """What stands before the closing tag that matches an opening one just before ``fragment``.
+
+    Tags of that name are walked once, counting how deep they are nested; without
+    a matching closing tag it is all of ``fragment``.
+    """
+    tag = rf"(?is)</?{name}\b[^>]*>"
+    steps = F.zip_with(
+        F.split(fragment, tag),
+        F.regexp_extract_all(fragment, F.lit(tag), F.lit(0)),
+        lambda text, t: F.struct(
+            F.length(text).alias("text"),
+            F.length(t).alias("tag"),
+            F.when(F.startswith(t, F.lit("</")), -1).otherwise(1).alias("turn"),
+        ),
+    )
+    start = F.struct(F.lit(1).alias("depth"), F.lit(0).alias("at"))
+    end = F.aggregate(
+        # The piece after the last tag has none.
+        F.filter(steps, lambda x: x["tag"].isNotNull()),
+        start,
+        lambda done, x: F.when(done["depth"] == 0, done).otherwise(
+            F.struct(
+                (done["depth"] + x["turn"]).alias("depth"),
+                F.when(done["depth"] + x["turn"] == 0, done["at"] + x["text"])
+                .otherwise(done["at"] + x["text"] + x["tag"])
+                .alias("at"),
+            )
+        ),
+    )
+    return F.when(end["depth"] == 0, F.substring(fragment, F.lit(1), end["at"])).otherwise(fragment)
+
+
+def first_element(html: Column, opening: str) -> Column:
+    """Content of the first element whose opening tag matches; NULL when there is none."""
+    return element(F.get(F.split(html, f"(?i){opening}", 2), F.lit(1)), tag_name(opening))
+
+
+def tag_name(opening: str) -> str:
+    """Name in the pattern of an opening tag."""
+    return re.search(r"<(\w+)", opening)[1]
+
+
 def inner_text(fragment: Column) -> Column:
     """Text of a fragment; each piece between tags is trimmed, then all joined."""
-    text = F.regexp_replace(fragment, f"{SPACE}*<[^>]*>{SPACE}*", "")
-    for entity, char in ENTITIES:
-        text = F.replace(text, F.lit(entity), F.lit(char))
-    return strip(text)
+    return strip(unescaped(F.regexp_replace(fragment, f"{SPACE}*<[^>]*>{SPACE}*", "")))
 
 
 def attribute(tag: Column, name: str) -> Column:
     """Value of an attribute of the first tag in ``tag``; blank when absent."""
     pattern = rf"""(?is)^<[^>]*?\s{name}\s*=\s*(?:"([^"]*)"|'([^']*)')"""
     value = F.concat(F.regexp_extract(tag, pattern, 1), F.regexp_extract(tag, pattern, 2))
-    return F.replace(value, F.lit("&amp;"), F.lit("&"))
+    return unescaped(value)
 
 
 def _first(found: Column) -> Column:
@@ -111,11 +180,15 @@ def _containing(texts: Column, words: tuple[str, ...]) -> Column:
 
 
 def _pieces(pages: DataFrame, html: Column, opening: str) -> DataFrame:
-    """One row per card: from its opening tag up to the next one."""
+    """One row per card: the content of each element that an opening tag begins.
+
+    An element inside another of the kind ends the outer one.
+    """
     cards = F.split(html, opening)
     return (
-        pages.select("page_id", F.posexplode(cards).alias("_pos", "card"))
+        pages.select("page_id", F.posexplode(cards).alias("_pos", "_rest"))
         .where(F.col("_pos") > 0)
+        .withColumn("card", element(F.col("_rest"), tag_name(opening)))
         .withColumn("seq", document_seq(F.col("page_id"), F.col("_pos")))
     )
 
@@ -136,23 +209,25 @@ def html_list_postings(
     """
     html = F.col("html")
     if layout.container:
-        html = F.get(F.split(html, f"(?i){layout.container}", 2), F.lit(1))
+        html = first_element(html, layout.container)
     card = F.col("card")
     box = card
     if layout.title_box:
-        next_cell = r"""(?=<div\b[^>]*\bclass\s*=\s*["'][^"']*cell_|\z)"""
-        box = F.regexp_extract(card, f"(?is){layout.title_box}(.*?){next_cell}", 1)
+        box = F.coalesce(first_element(card, layout.title_box), F.lit(""))
     link = F.regexp_extract(F.col("_box"), _LINK, 0)
     company = F.lit("")
     if layout.company_link:
-        company = inner_text(F.regexp_extract(card, f"(?is){layout.company_link}(.*?)</a>", 1))
+        around = card
+        if layout.company_box:
+            around = F.coalesce(first_element(card, layout.company_box), F.lit(""))
+        company = inner_text(F.regexp_extract(around, f"(?is){layout.company_link}(.*?)</a>", 1))
     experience = F.lit("")
     if layout.label:
         labels = _all(F.col("_box"), f"(?is){layout.label}(.*?)</span>", 1)
         experience = _containing(F.transform(labels, inner_text), EXPERIENCE_WORDS)
     posted = F.lit("")
     if layout.date_box:
-        posted = inner_text(F.regexp_extract(card, f"(?is){layout.date_box}(.*?)</div>", 1))
+        posted = F.coalesce(inner_text(first_element(card, layout.date_box)), F.lit(""))
     number = F.nullif(F.regexp_extract("_href", layout.id_pattern, 1), F.lit(""))
     rows = (
         _pieces(pages, html, f"(?i){layout.item}")

@@ -172,14 +172,14 @@ def test_employer_bonus(frame):
 
 def test_evidence(frame):
     df = frame(
-        [(R.FOREIGN, ["A Multinational"]), (R.FOREIGN, ["x" * 300 + "multinational"]), (R.STARTUP, []),
-         (R.STARTUP, ["", "Venture"]), (R.GENERAL, ["global company"])],
-        "t string, s array<string>",
+        [(R.FOREIGN, "A Multinational"), (R.FOREIGN, "x" * 9000 + "multinational"), (R.STARTUP, ""),
+         (R.STARTUP, "Venture"), (R.GENERAL, "global company")],
+        "t string, s string",
     )
-    rows = df.select("t", F.col("s"), R.evidence_confirms(F.col("t"), F.col("s")).alias("ok")).collect()
+    rows = df.select("t", "s", R.evidence_confirms(F.col("t"), F.lower("s")).alias("ok")).collect()
     assert {(r.t, len(r.s), r.ok) for r in rows} == {
-        (R.FOREIGN, 1, True), (R.FOREIGN, 1, False), (R.STARTUP, 0, False), (R.STARTUP, 2, True),
-        (R.GENERAL, 1, False),
+        (R.FOREIGN, 15, True), (R.FOREIGN, 9013, True), (R.STARTUP, 0, False), (R.STARTUP, 7, True),
+        (R.GENERAL, 14, False),
     }
 
 
@@ -188,3 +188,11 @@ def test_trend_helpers(frame):
     n, b = F.col("n"), F.col("b")
     got = {tuple(r) for r in df.select("n", "b", S.change_pct(n, b), S.direction(n, b), S.ratio(n, b, 3)).collect()}
     assert got == {(1.0, 0.0, None, "up", 0.0), (1.0, 2.0, -50.0, "down", 0.5), (3.0, 3.0, 0.0, "flat", 1.0)}
+
+
+def test_dates_with_an_offset_count_where_asked_for(values):
+    given = ["2024-01-01T09:00:00+09:00", "2024-01-01 00:00:00,5Z", "2024-01-01", "x", "2024-01-01T09:00"]
+    assert values(F.unix_micros(D.parse_instant(F.col("x"))), given) == [
+        1704067200_000000, 1704067200_500000, 1704067200_000000, None, 1704099600_000000,
+    ]
+    assert values(D.parse_iso(F.col("x")).isNull(), given) == [True, True, False, True, False]

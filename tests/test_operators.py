@@ -80,7 +80,7 @@ def merged_by_hand(rows):
             result[seq] = ""
     for members in groups.values():
         best, *rest = sorted(members)
-        others = [s for _, _, s in rest if s != best[2]]
+        others = list(dict.fromkeys(s for _, _, s in rest if s != best[2]))
         result[best[1]] = "+".join([f"{best[2]}:{best[1]}", *others]) if others else ""
     return result, groups
 
@@ -104,21 +104,24 @@ def test_merge_against_brute_force(postings):
     assert order == sorted(order, key=lambda s: (keys[s] != "", first.get(keys[s], s)))
 
 
-def test_merge_giant_groups_point_to_the_member_list(postings):
+def test_members_of_every_group_in_order(postings):
     rows, df = postings
-    want, groups = merged_by_hand(rows)
-    got = {r.seq: r for r in canonical.merge_cross_platform(df, giant_group=40).collect()}
-    assert set(got) == set(want)
-    for seq, r in got.items():
-        hot = len(groups.get(r.canonical_key, [])) > 40
-        assert r.canonical_group_id == (f"{r.dedup_key}+*" if hot else want[seq])
-    for limit in (40, 1000):
-        members = defaultdict(list)
-        found = canonical.group_members(df, giant_group=limit).collect()
-        for r in sorted(found, key=lambda r: r.position):
-            members[r.canonical_key].append((r.position, r.dedup_key))
-        for key, group in groups.items():
-            assert members[key] == [(i + 1, f"{s}:{q}") for i, (_, q, s) in enumerate(sorted(group))]
+    _, groups = merged_by_hand(rows)
+    members = defaultdict(list)
+    for r in sorted(canonical.group_members(df).collect(), key=lambda r: r.position):
+        members[r.canonical_key].append((r.position, r.dedup_key))
+    for key, group in groups.items():
+        assert members[key] == [(i + 1, f"{s}:{q}") for i, (_, q, s) in enumerate(sorted(group))]
+
+
+def test_merge_of_one_key_on_nearly_all_rows(spark):
+    """A cell has each source once, however many copies there are."""
+    df = spark.range(20_000).selectExpr(
+        "id AS seq", "concat('s', id % 3) AS source", "IF(id < 19990, 'hot', concat('k', id)) AS canonical_key",
+        "CAST(id % 4 AS INT) AS completeness", "CAST(id AS STRING) AS dedup_key",
+    )
+    got = {r.canonical_key: r.canonical_group_id for r in canonical.merge_cross_platform(df).collect()}
+    assert got["hot"] == "3+s1+s2" and len(got) == 11
 
 
 def test_completeness_and_keys(frame):
@@ -144,8 +147,8 @@ def test_first_posting_decides_for_the_company(frame, spark):
     )
     cache = frame([("known", "일반", "old", "cache")], "normalized_name string, company_type string, confidence string, source string")
     snippets = frame(
-        [("", ["venture fund"]), ("glob", []), ("third", ["nothing"]), ("fourth", ["startup"])],
-        "normalized_name string, snippets array<string>",
+        [("", "none"), ("", "Venture fund"), ("glob", ""), ("third", "start"), ("third", "up"), ("fourth", "startup")],
+        "normalized_name string, snippet string",
     )
     verdicts = companies.company_verdicts(df, cache, snippets, max_searches=3)
     got = {
@@ -251,9 +254,11 @@ def test_updates_leave_identity_alone_and_ignore_unknown_keys(spark, frame):
         "dedup_key string, title string, ai_match_score double, jd_text string, effective_date string, posted_date string",
     ).withColumn("scraped_at", F.lit(AS_OF).cast("timestamp"))
     got = {r.dedup_key: r for r in state.apply_updates(seen, updates, AS_OF).collect()}
+    cut = state.apply_updates(seen, updates, AS_OF, kept_text=5000).where("dedup_key = 's:1'").first()
+    assert len(cut.jd_text) == 5000
     assert set(got) == {"s:0", "s:1", "s:2"}
     hit, miss = got["s:1"], got["s:0"]
-    assert (hit.title, hit.match_score, len(hit.jd_text), hit.effective_date) == ("old title", 70.0, 5000, "~06.30")
+    assert (hit.title, hit.match_score, len(hit.jd_text), hit.effective_date) == ("old title", 70.0, 6000, "~06.30")
     assert (hit.first_seen.day, hit.last_seen.day) == (1, 31)
     assert (miss.match_score, miss.company_type_confidence, miss.last_seen.day) == (0.0, "unverified", 1)
 
@@ -262,6 +267,12 @@ def test_replace_rows_and_run_numbers(frame):
     table = frame([("a", 1), ("b", 2)], "k string, v int")
     got = state.replace_rows(table, frame([("b", 3), ("c", 4)], "k string, v int"), "k")
     assert {tuple(r) for r in got.collect()} == {("a", 1), ("b", 3), ("c", 4)}
+    rows = [("a", 2, 10), ("a", 3, 20), ("c", 5, 1), ("c", 4, 1), ("b", 9, 0)]
+    got = state.replace_rows(
+        frame([("a", 1, 99), ("b", 2, 99), ("d", 7, 1)], "k string, v int, at int"),
+        frame(rows, "k string, v int, at int"), "k", newest="at",
+    )
+    assert {(r.k, r.v) for r in got.collect()} == {("a", 3), ("b", 9), ("c", 5), ("d", 7)}
     assert state.next_run_id(frame([(4,), (9,)], "run_id long")).collect()[0][0] == 10
     assert state.next_run_id(frame([(4,)], "run_id long").where("false")).collect()[0][0] == 1
     row = state.run_row(frame([(5, 0, 3)], "run_id long, jobs_new long, jobs_recommended long", 1)).collect()[0]

@@ -3,6 +3,7 @@
 import csv
 import glob
 
+import pytest
 from pyspark.sql import functions as F
 
 from siftline.sources import common as C
@@ -164,3 +165,31 @@ def test_csv_sink(spark, tmp_path):
     (part,) = glob.glob(f"{path}/*.csv")
     with open(part, encoding="utf-8", newline="") as f:
         assert list(csv.reader(f)) == [["n", "t"], ["1", 'a | "b", c'], ["2", ""]]
+
+
+def test_elements_end_at_their_own_closing_tag(spark):
+    lists = (
+        '<div class="cBbslist_contenst"><div>ad</div>'
+        + list_item("/v?job=1", "In the list").replace('class="cell_mid">', 'class="cell_mid"><div><div></div></div>')
+        + '</div><div class="side">' + list_item("/v?job=2", "Beside it") + "</div>"
+    )
+    pages = spark.createDataFrame([(0, lists), (1, '<div class="cBbslist_contenst">' + list_item("/v?job=3", "Never closed"))], "page_id long, html string")
+    assert [r.source_id for r in H.html_list_postings(pages, AS_OF).orderBy("seq").collect()] == ["1", "3"]
+    cards = (
+        '<div class="shadow-list"><div><a href="/GI_Read/7">Title only</a></div></div>'
+        '<div><a href="/GI_Read/7">Other company</a><span>서울</span><span>경력</span></div>'
+    )
+    (card,) = H.html_card_postings(spark.createDataFrame([(0, cards)], "page_id long, html string"), AS_OF).collect()
+    assert (card.title, card.company, card.location, card.experience_required) == ("Title only", "", "", "")
+
+
+def test_character_references(values):
+    given = ["&middot; &#44032;&#xAC00; &amp;lt; &lt; &nope; &#0; &#x110000; &#38;gt;&amp;", "plain", "a & b"]
+    assert values(H.unescaped(F.col("x")), given) == ["· 가가 &lt; < &nope; &#0; &#x110000; &gt;&", "plain", "a & b"]
+
+
+def test_sequence_numbers_never_collide(spark):
+    df = spark.createDataFrame([(1, 1 << 20), (2, 0)], "d long, p long")
+    with pytest.raises(Exception, match="too large"):
+        df.select(C.document_seq(F.col("d"), F.col("p"))).collect()
+    assert df.where("d = 2").select(C.document_seq(F.col("d"), F.col("p"))).first()[0] == 2 << 20
