@@ -11,7 +11,6 @@ from pyspark.sql import functions as F
 from siftline.functions import rules as R
 from siftline.functions import scores as S
 from siftline.functions.text import people_search_url
-from siftline.operators.skew import preceding_sum
 
 # Thresholds and the daily budget in US dollars.
 PREFILTER_MIN = 2.0
@@ -83,16 +82,42 @@ def attach_responses(postings: DataFrame, responses: DataFrame) -> DataFrame:
     return postings.join(read_responses(responses), "dedup_key", "left")
 
 
+# The order number is narrowed down by so many bits at a time.
+_ORDER_BITS = (46, 30, 14, 0)
+
+
+def budget_border(priced: DataFrame, units: int, order: str = "seq") -> tuple[float, int] | None:
+    """Keyword score and order of the posting whose ``_cost`` crosses the budget.
+
+    The running sum never falls, so one row says all.  It is found on sums: by
+    score, then by ever finer ranges of ``order`` within the range before.  No
+    step shuffles postings, and none has more than 2^16 ranges.
+    """
+    scope, left, border = priced, units, []
+    for bits in (None, *_ORDER_BITS):
+        key = F.col("keyword_score") if bits is None else F.shiftright(order, bits)
+        sums = scope.groupBy(key.alias("_key")).agg(F.sum("_cost").alias("_sum"))
+        first = F.col("_key").desc() if bits is None else F.col("_key").asc()
+        running = F.sum("_sum").over(Window.orderBy(first).rowsBetween(Window.unboundedPreceding, 0))
+        crossing = (
+            sums.select("_key", "_sum", running.alias("_running"))
+            .where((F.col("_running") > left) & (F.col("_running") - F.col("_sum") <= left))
+            .first()
+        )
+        if crossing is None:
+            return None
+        scope, left = scope.where(key == crossing["_key"]), left - (crossing["_running"] - crossing["_sum"])
+        border.append(crossing["_key"])
+    return border[0], border[-1]
+
+
 def spend_budget(
-    attached: DataFrame,
-    budget_usd: float = DAILY_BUDGET_USD,
-    order: str = "seq",
-    group: tuple[str, ...] = (),
+    attached: DataFrame, budget_usd: float = DAILY_BUDGET_USD, order: str = "seq"
 ) -> DataFrame:
     """Settle scores of :func:`attach_responses` output within the budget.
 
-    Reads its input twice (running totals per block, then the rows), so stage
-    it where it is costly.
+    Looks for the border of the budget first, so stage the input where it is
+    costly; the postings themselves are then settled in one pass where they lie.
     """
     passed = F.col("prefilter_passed") == 1
     fallback = S.keyword_fallback(F.col("keyword_score"))
@@ -100,22 +125,20 @@ def spend_budget(
     priced = attached.withColumn("_usable", usable).withColumn(
         "_cost", F.when(F.col("_usable"), F.col("cost_units")).otherwise(F.lit(0))
     )
-    spent = preceding_sum(
-        priced,
-        F.col("_cost"),
-        order=order,
-        lead=[("keyword_score", True)],
-        group=group,
-        name="_spent_before",
-    )
-    counted = F.col("_usable") & (F.col("_spent_before") <= S.usd_to_units(budget_usd))
+    border = budget_border(priced.where("_usable"), S.usd_to_units(budget_usd), order)
+    counted = F.col("_usable")
+    if border is not None:
+        score, place = border
+        counted &= (F.col("keyword_score") > score) | (
+            (F.col("keyword_score") == score) & (F.col(order) <= place)
+        )
     score = (
         F.when(F.col("_counted") & (F.col("response_score") != 0), F.col("response_score"))
         .when(passed, fallback)
         .otherwise(0.0)
     )
     given = {"match_reasons": "reasons", "positioning_advice": "positioning"}
-    return spent.withColumn("_counted", counted).select(
+    return priced.withColumn("_counted", counted).select(
         *[c for c in attached.columns if c not in RESPONSE_COLUMNS],
         score.alias("ai_match_score"),
         *[F.when(F.col("_counted"), F.col(c)).otherwise("").alias(n) for n, c in given.items()],
@@ -128,7 +151,6 @@ def score_postings(
     responses: DataFrame | None = None,
     budget_usd: float = DAILY_BUDGET_USD,
     order: str = "seq",
-    group: tuple[str, ...] = (),
 ) -> DataFrame:
     """Attach the fit score, reasons, advice and the cost actually spent.
 
@@ -138,7 +160,7 @@ def score_postings(
     falls back on keywords.  Rows that did not pass the prefilter score 0.
     """
     if responses is not None:
-        return spend_budget(attach_responses(postings, responses), budget_usd, order, group)
+        return spend_budget(attach_responses(postings, responses), budget_usd, order)
     fallback = S.keyword_fallback(F.col("keyword_score"))
     return (
         postings.withColumn(

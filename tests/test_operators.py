@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from siftline.functions import rules as R
 from siftline.operators import canonical, companies, dedup, ranking, scoring, skew, state
 from siftline.schemas import SEEN, SEEN_COLUMNS, struct_of
+from siftline.session import stage
 from tests.conftest import AS_OF
 
 
@@ -203,6 +204,9 @@ def test_budget_against_brute_force(frame, budget):
     want = scored_by_hand(rows, responses, round(budget * 10_000_000))
     got = scoring.score_postings(postings, texts, budget)
     assert {r.seq: r.ai_match_score for r in got.collect()} == want
+    attached = stage(scoring.attach_responses(postings, texts), "attached")
+    text = scoring.spend_budget(attached, budget)._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in text and "Window" not in text
 
 
 def test_ranking_and_top_k(frame):
