@@ -12,13 +12,12 @@
 4. Among those that meet, the joint likelihood of all registers, given both set
    sizes, says which similarities are possible.  Only pairs for which the
    threshold is out of the question are set aside.
-5. The others are clusters.  Members of a cluster are compared on full sets, in
-   blocks of bounded size, and only what connects parts not yet connected is
-   verified.  Links are real; which of a clique's links are listed doesn't matter
-   for components.
+5. The others form clusters.  Members of a cluster are compared on full sets, and
+   those that are similar make up the components.
 
-No group is held in one task: buckets and clusters are cut into blocks; block
-members are represented by leaders in later rounds.
+No group is held in one task: buckets and clusters are cut into blocks of bounded
+size.  No group hands on all its pairs: what hangs together is handed on as a
+star, and only parts that don't yet hang together are compared further.
 
 Defined results: null and empty texts, and texts without words, have the empty
 set, are linked with nothing, and are kept.  A null doc_id is in the component
@@ -50,6 +49,9 @@ RATE = 20.0
 DOUBT = 12.0  # a pair is set aside when the threshold is exp(12) times less likely than the best estimate
 BLOCK_SETS = 512
 BLOCK_SHINGLES = 1 << 20
+BLOCK_HEADS = 64
+COLUMNS = 4096
+FAR = 8.0  # standard deviations of the number of equal registers
 
 SIGNED_SCHEMA = "doc_id long, n_shingles long, digest binary, sketch array<long>"
 
@@ -114,34 +116,48 @@ def _chance(x: np.ndarray) -> np.ndarray:
 
 def possible(
     sketches: np.ndarray, sizes: np.ndarray, other: np.ndarray, other_size: np.ndarray | int, threshold: float
-) -> tuple[np.ndarray, np.ndarray]:
-    """For each row, whether similarity ``threshold`` with the other is possible, and the likeliest one.
+) -> np.ndarray:
+    """For each row, whether similarity ``threshold`` with the other is possible.
 
-    The other is one sketch, or one for each row.
+    The other is one sketch, or one for each row.  Sizes alone, and far too few
+    equal registers, rule out most rows; the others are judged by likelihood.
+    """
+    other_size = np.broadcast_to(other_size, sizes.shape)
+    equal = (sketches == other).sum(axis=1)
+    least = REGISTERS * threshold - FAR * math.sqrt(REGISTERS * threshold * (1 - threshold))
+    fits = (np.minimum(sizes, other_size) >= threshold * np.maximum(sizes, other_size) - 1e-9) & (equal >= least)
+    at = np.flatnonzero(fits)
+    if len(at):
+        other = other[at] if other.ndim == 2 else other
+        larger, smaller = (sketches[at] > other).sum(axis=1), (sketches[at] < other).sum(axis=1)
+        fits[at] = likely(larger, smaller, sizes[at], other_size[at], threshold)[0]
+    return fits
+
+
+def likely(
+    larger: np.ndarray, smaller: np.ndarray, sizes: np.ndarray, other_sizes: np.ndarray, threshold: float
+) -> tuple[np.ndarray, np.ndarray]:
+    """Whether similarity ``threshold`` is not out of the question, and the likeliest one.
 
     Counts of registers that are larger, smaller and equal have a joint
     likelihood in the similarity j: shares of the union that one side alone has
     are u - v j and v - u j, where u and v are the shares of the sizes in their sum.
     """
-    larger = (sketches > other).sum(axis=1)[:, None]
-    smaller = (sketches < other).sum(axis=1)[:, None]
+    larger, smaller = larger[:, None], smaller[:, None]
     equal = REGISTERS - larger - smaller
-    u = (sizes / (sizes + other_size))[:, None]
+    u = (sizes / (sizes + other_sizes))[:, None]
     v = 1 - u
     most = np.minimum(u / v, v / u)
     grid = np.linspace(0.0, 1.0, 65)[None, :] * most
-    border = np.minimum(threshold, most)
 
     def likelihood(j: np.ndarray) -> np.ndarray:
         up, down = _chance(np.maximum(u - v * j, 0)), _chance(np.maximum(v - u * j, 0))
         return larger * np.log(up) + smaller * np.log(down) + equal * np.log(np.maximum(1 - up - down, 1e-12))
 
     values = likelihood(grid)
-    best = values.max(axis=1)
+    at_least = np.maximum(np.where(grid >= threshold, values, -np.inf).max(axis=1), likelihood(np.minimum(threshold, most))[:, 0])
     j = np.take_along_axis(grid, values.argmax(axis=1)[:, None], axis=1)[:, 0]
-    at_least = np.maximum(np.where(grid >= threshold, values, -np.inf).max(axis=1), likelihood(border)[:, 0])
-    fits = (np.minimum(sizes, other_size) >= threshold * np.maximum(sizes, other_size) - 1e-9) & (best - at_least <= DOUBT)
-    return fits, j
+    return values.max(axis=1) - at_least <= DOUBT, j
 
 
 def _registers(column: pa.ChunkedArray) -> np.ndarray:
@@ -149,149 +165,167 @@ def _registers(column: pa.ChunkedArray) -> np.ndarray:
     return np.ascontiguousarray(bands, "<i8").view("<u2").reshape(-1, REGISTERS)
 
 
-def _lead(groups: Groups, slack: float, threshold: float) -> dict[str, list[np.ndarray]]:
-    """a, b: connected sets; row, leader: rows of the leaders."""
-    ids, sizes = groups.column("rep"), groups.column("n_shingles")
+def unite(part: np.ndarray, row: int, near: np.ndarray) -> None:
+    """Puts the parts of the rows ``near`` into that of ``row``."""
+    hit = np.unique(part[near])
+    if len(hit):
+        part[np.isin(part, hit)] = part[row]
+
+
+def stars(ids: np.ndarray, part: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Each row but the smallest of its part, and the smallest."""
+    _, at = np.unique(part, return_inverse=True)
+    least = np.full(at.max() + 1, np.iinfo(np.int64).max)
+    np.minimum.at(least, at, ids)
+    far = ids != least[at]
+    return ids[far], least[at][far]
+
+
+def _meeting_parts(groups: Groups, threshold: float) -> list[tuple[np.ndarray, np.ndarray]]:
+    """Stars of rows that hang together by possible similarity, in each group.
+
+    Rows of one label hang together already; only rows of different parts are
+    compared.
+    """
+    ids, sizes, labels = (groups.column(c) for c in ("rep", "n_shingles", "label"))
     regs = _registers(groups.table["sketch"])
     starts, counts = groups.bounds[:-1], np.diff(groups.bounds)
     # Buckets of two, nearly all of them, in one go.
     two = starts[counts == 2]
-    near, j = possible(regs[two], sizes[two], regs[two + 1], sizes[two + 1], slack)
-    links, leaders = [(ids[two][near], ids[two + 1][near])], [two, two[~near | (j < threshold)] + 1]
+    near = possible(regs[two], sizes[two], regs[two + 1], sizes[two + 1], threshold)
+    out = [(ids[two][near], ids[two + 1][near])]
     for start, count in zip(starts[counts > 2], counts[counts > 2], strict=True):
-        own, own_sizes, own_ids = regs[start : start + count], sizes[start : start + count], ids[start : start + count]
-        free = np.ones(count, bool)
+        own, own_sizes, part = regs[start : start + count], sizes[start : start + count], labels[start : start + count].copy()
         for i in range(count):
-            if not free[i]:
-                continue
-            near, j = possible(own, own_sizes, own[i], own_sizes[i], slack)
-            free &= ~(near & (j >= threshold))
-            near[i] = free[i] = False
-            links.append((np.full(near.sum(), own_ids[i]), own_ids[near]))
-            leaders.append(np.array([start + i]))
-    return {
-        "a": np.concatenate([x for x, _ in links]),
-        "b": np.concatenate([y for _, y in links]),
-        "leader": np.concatenate(leaders),
-    }
+            other = np.flatnonzero(part != part[i])
+            if not len(other):
+                break
+            unite(part, i, other[possible(own[other], own_sizes[other], own[i], own_sizes[i], threshold)])
+        out.append(stars(ids[start : start + count], part))
+    return out
 
 
-LED_SCHEMA = "a long, b long, band int, key long, leads boolean"
+def _meet(met: DataFrame, classes: DataFrame, keys: list[str], threshold: float) -> DataFrame:
+    """a, b: stars of the members of each group of ``keys`` that may be similar."""
 
+    def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for groups in whole_groups(batches, keys):
+            for a, b in _meeting_parts(groups, threshold):
+                yield pa.record_batch([pa.array(a), pa.array(b)], names=["a", "b"])
 
-def _meet(met: DataFrame, keys: list[str], slack: float, threshold: float) -> DataFrame:
-    """Stars around leaders in each group of ``keys``, and the leaders themselves."""
+    rows = met.select(*keys, "rep", "label").join(classes, "rep")
+    return rows.repartition(*keys).sortWithinPartitions(*keys, "rep").mapInArrow(meet, "a long, b long").distinct()
 
-    def lead(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for groups in whole_groups(batches, keys):
-            found = _lead(groups, slack, threshold)
-            n, chosen = len(found["a"]), found["leader"]
-            leaders = groups.column("rep")[chosen]
-            yield pa.record_batch(
-                [
-                    pa.array(np.concatenate([found["a"], leaders])),
-                    pa.array(np.concatenate([found["b"], leaders])),
-                    pa.array(np.concatenate([np.zeros(n, np.int32), groups.column("band")[chosen]]), pa.int32()),
-                    pa.array(np.concatenate([np.zeros(n, np.int64), groups.column("key")[chosen]])),
-                    pa.array(np.arange(n + len(chosen)) >= n),
-                ],
-                names=["a", "b", "band", "key", "leads"],
-            )
 
-    return met.repartition(*keys).sortWithinPartitions(*keys, "rep").mapInArrow(lead, LED_SCHEMA)
+def labelled(rows: DataFrame, links: DataFrame) -> DataFrame:
+    """``rows`` with label: the component of rep so far."""
+    named = components(links).select(F.col("node").alias("rep"), "component")
+    return rows.join(named, "rep", "left").withColumn("label", F.coalesce("component", "rep")).drop("component")
 
 
-def meetings(classes: DataFrame, threshold: float) -> DataFrame:
-    """a, b: sets that share a band and may be similar, as stars around leaders.
+def in_blocks(rows: DataFrame, keys: list[str]) -> DataFrame:
+    """``rows`` with blocks, how many blocks their group of ``keys`` has, and block."""
+    blocks_ = rows.groupBy(*keys).agg(F.ceil(F.count("*") / BLOCK_SETS).alias("blocks"))
+    return rows.join(blocks_, keys).withColumn("block", F.pmod(F.xxhash64("rep"), F.col("blocks")))
 
-    A bucket is cut into blocks.  In a block, the first set not yet near a leader
-    becomes one, and each set is connected with every leader that it may
-    resemble, so two similar sets are connected through the leader that either
-    is near.  Leaders of a bucket of several blocks then meet, block by block.
-    """
-    # Two sets near one another are at most so far from each other's leader.
-    slack = max(0.0, 1 - 2 * (1 - threshold))
-    keyed = classes.select("rep", F.posexplode("sketch").alias("band", "key"))
-    shared = keyed.groupBy("band", "key").agg(F.count("*").alias("size")).filter("size > 1")
-    met = stage(
-        keyed.join(shared, ["band", "key"]).withColumn("block", F.pmod(F.xxhash64("rep"), F.ceil(F.col("size") / BLOCK_SETS))),
-        "met",
-    )
-    led = stage(_meet(met.join(classes, "rep"), ["band", "key", "block"], slack, threshold), "led")
-    links = led.filter("not leads").select("a", "b")
 
-    leaders = led.filter("leads").select(F.col("a").alias("rep"), "band", "key")
-    large = met.filter(f"size > {BLOCK_SETS}").select("band", "key").distinct()
-    leaders = stage(leaders.join(large, ["band", "key"], "left_semi"), "leaders")
-    if leaders.isEmpty():
-        return links
-    blocks_ = leaders.groupBy("band", "key").agg(F.ceil(F.count("*") / BLOCK_SETS).alias("blocks"))
-    paired = (
-        leaders.join(blocks_, ["band", "key"])
-        .withColumn("block", F.pmod(F.xxhash64("rep"), F.col("blocks")))
-        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-        .select("rep", "band", "key", F.least("block", "other").alias("x"), F.greatest("block", "other").alias("y"))
-    )
-    again = _meet(stage(paired, "paired").join(classes, "rep"), ["band", "key", "x", "y"], slack, threshold)
-    return links.unionByName(again.filter("not leads").select("a", "b"))
+def crossed(rows: DataFrame) -> DataFrame:
+    """``rows`` once for each pair (x, y) of their block with one of the group."""
+    other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
+    return rows.withColumn("other", other).withColumn("x", F.least("block", "other")).withColumn("y", F.greatest("block", "other"))
 
 
-def _verify(groups: Groups, threshold: float) -> tuple[list[int], list[int]]:
-    """Links that connect the rows of each group as far as their sets are similar.
+def meetings(classes: DataFrame, threshold: float) -> DataFrame:
+    """a, b: connects all sets that share a band and may be similar, with few links.
 
-    Where rows of a group differ in ``side``, only those are compared.
+    Buckets are cut into blocks, and the members of a block compared.  Then one
+    member of each part that came out, for all blocks of a bucket; buckets that
+    are still in parts are compared block by block.
     """
-    ids, sizes, side = groups.column("rep"), groups.column("n_shingles"), groups.column("side")
-    regs = _registers(groups.table["sketch"])
+    bucket = ["band", "key"]
+    keyed = classes.select("rep", F.posexplode("sketch").alias("band", "key"))
+    shared = keyed.groupBy(*bucket).agg(F.count("*").alias("size")).filter("size > 1")
+    met = keyed.join(shared, bucket).withColumn("block", F.pmod(F.xxhash64("rep"), F.ceil(F.col("size") / BLOCK_SETS)))
+    met = stage(met.withColumn("label", F.col("rep")), "met")
+    links = stage(_meet(met, classes, [*bucket, "block"], threshold), "links")
+
+    large = met.filter(f"size > {BLOCK_SETS}").select("rep", *bucket)
+    if large.isEmpty():
+        return links
+    heads = stage(labelled(large, links).groupBy(*bucket, "label").agg(F.min("rep").alias("rep")), "heads")
+    links = stage(links.unionByName(_meet(in_blocks(heads, bucket), classes, [*bucket, "block"], threshold)), "links")
+    now = stage(labelled(large, links), "labelled")
+    apart = now.groupBy(*bucket).agg(F.min("label").alias("p"), F.max("label").alias("q")).filter("p < q").select(*bucket)
+    left = stage(crossed(in_blocks(now.join(apart, bucket, "left_semi"), bucket)), "left")
+    return stage(links.unionByName(_meet(left, classes, [*bucket, "x", "y"], threshold)), "links")
+
+
+def shared_counts(sets: list[np.ndarray], rows: np.ndarray) -> np.ndarray:
+    """How many members each of the sets ``rows`` has in common with each other set."""
+    owner = np.repeat(np.arange(len(sets)), [len(x) for x in sets])
+    _, member, count = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    several = count[member] > 1
+    owner, member = owner[several], (np.cumsum(count > 1) - 1)[member[several]]
+    order = np.argsort(member, kind="stable")
+    owner, member = owner[order], member[order]
+    out = np.zeros((len(rows), len(sets)), np.float64)
+    for first in range(0, int((count > 1).sum()), COLUMNS):
+        a, b = np.searchsorted(member, [first, first + COLUMNS])
+        has = np.zeros((len(sets), COLUMNS), np.float32)
+        has[owner[a:b], member[a:b] - first] = 1
+        out += has[rows] @ has.T
+    return out
+
+
+def _verified_parts(groups: Groups, threshold: float) -> list[tuple[np.ndarray, np.ndarray]]:
+    """Stars of rows that hang together by similarity of their full sets, in each group."""
+    ids, sizes, labels = (groups.column(c) for c in ("rep", "n_shingles", "label"))
     members = groups.table["members"].combine_chunks()
-    share = round(100 * threshold)
-    a, b = [], []
+    share, out = round(100 * threshold), []
     for start, end in zip(groups.bounds[:-1], groups.bounds[1:], strict=True):
+        if end - start < 2:
+            continue
         sets = [np.frombuffer(members[k].as_py(), "<u8") for k in range(start, end)]
-        own, own_sizes, own_side = regs[start:end], sizes[start:end], side[start:end]
-        crossing = own_side[0] != own_side[-1]
-        part = np.arange(end - start)
-        for i in range(1, end - start):
-            near, j = possible(own[:i], own_sizes[:i], own[i], own_sizes[i], threshold)
-            if crossing:
-                near &= own_side[:i] != own_side[i]
-            at = np.flatnonzero(near)
-            for k in at[np.argsort(-j[at], kind="stable")]:
-                if part[k] == part[i]:
-                    continue
-                both = len(np.intersect1d(sets[k], sets[i], assume_unique=True))
-                if 100 * both >= share * (len(sets[k]) + len(sets[i]) - both):
-                    part[part == part[k]] = part[i]
-                    a.append(ids[start + k])
-                    b.append(ids[start + i])
-    return a, b
-
-
-def _linked(groups: DataFrame, threshold: float) -> DataFrame:
-    """Verified links inside each group of (cluster, x, y)."""
-    keys = ["cluster", "x", "y"]
+        own, n = labels[start:end], sizes[start:end]
+        _, part, count = np.unique(own, return_inverse=True, return_counts=True)
+        # Rows of the label that most have hang together already.
+        rows = np.flatnonzero(part != count.argmax())
+        if not len(rows):
+            continue
+        both = shared_counts(sets, rows)
+        linked = 100 * both >= share * (n[rows][:, None] + n[None, :] - both)
+        for row, near in zip(rows, linked, strict=True):
+            unite(part, row, near)
+        out.append(stars(ids[start:end], part))
+    return out
+
+
+def _link(rows: DataFrame, full: DataFrame, keys: list[str], threshold: float) -> DataFrame:
+    """a, b: stars of the members of each group of ``keys`` that are similar."""
 
     def link(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for whole in whole_groups(batches, keys):
-            a, b = _verify(whole, threshold)
-            yield pa.record_batch([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
+        for groups in whole_groups(batches, keys):
+            for a, b in _verified_parts(groups, threshold):
+                yield pa.record_batch([pa.array(a), pa.array(b)], names=["a", "b"])
 
-    return groups.repartition(*keys).sortWithinPartitions(*keys, "side", "rep").mapInArrow(link, "a long, b long")
+    joined = rows.select(*keys, "rep", "label").join(full, "rep")
+    return joined.repartition(*keys).sortWithinPartitions(*keys, "rep").mapInArrow(link, "a long, b long").distinct()
 
 
 def verified(docs: DataFrame, classes: DataFrame, clusters: DataFrame, shingle: int, threshold: float) -> DataFrame:
-    """Links on full sets between the members of each cluster.
+    """a, b: connects the members of each cluster as far as their full sets are similar.
 
-    Clusters are cut into blocks by size.  Blocks are linked inside, then one
-    member of each part that came out, for all blocks of a cluster together;
-    clusters that are still in several parts are compared block by block.
+    The same three rounds as for buckets: in blocks, one member of each part, and
+    block by block where parts are left.
     """
-    sized = clusters.select(F.col("node").alias("rep"), F.col("component").alias("cluster")).join(classes, "rep")
+    sized = clusters.select(F.col("node").alias("rep"), F.col("component").alias("cluster")).join(
+        classes.select("rep", "n_shingles"), "rep"
+    )
     totals = sized.groupBy("cluster").agg(F.sum("n_shingles").alias("total"), F.count("*").alias("count"))
     parts = F.ceil(F.greatest(F.col("total") / BLOCK_SHINGLES, F.col("count") / BLOCK_SETS))
     dealt = stage(
         sized.join(totals, "cluster").select(
-            "rep", "cluster", "n_shingles", "sketch", parts.alias("blocks"), F.pmod(F.xxhash64("rep"), parts).alias("block")
+            "rep", "cluster", parts.alias("blocks"), F.pmod(F.xxhash64("rep"), parts).alias("block"), F.col("rep").alias("label")
         ),
         "dealt",
     )
@@ -299,37 +333,39 @@ def verified(docs: DataFrame, classes: DataFrame, clusters: DataFrame, shingle:
     def members(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for block in blocks(batch.column("text")):
-                sets = [s.tobytes() for s in sets_of(block, shingle)]
-                yield pa.record_batch([batch.column("doc_id").slice(block.first, len(sets)), pa.array(sets, pa.binary())], names=["rep", "members"])
+                sets = list(sets_of(block, shingle))
+                yield pa.record_batch(
+                    [
+                        batch.column("doc_id").slice(block.first, len(sets)),
+                        pa.array([digest(x) for x in sets], pa.binary()),
+                        pa.array([len(x) for x in sets], pa.int64()),
+                        pa.array([x.tobytes() for x in sets], pa.binary()),
+                    ],
+                    names=["rep", "digest", "n_shingles", "members"],
+                )
 
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    needed = texts.join(dealt.select(F.col("rep").alias("doc_id")), "doc_id", "left_semi")
-    sets = needed.mapInArrow(members, "rep long, members binary")
-    full = stage(sets.join(dealt, "rep").dropDuplicates(["rep"]), "full_sets")
-
-    def group(rows: DataFrame, x, y, side) -> DataFrame:
-        return rows.select("cluster", x.alias("x"), y.alias("y"), side.alias("side"), "rep", "n_shingles", "sketch", "members")
-
-    block, zero = F.col("block"), F.lit(0).cast("long")
-    links = stage(_linked(group(full, block, block, zero), threshold), "links")
-    several = dealt.filter("blocks > 1").select("rep", "cluster", "block", "blocks")
+    # The same join at every size: texts are sorted once, never broadcast against.
+    needed = texts.join(dealt.select(F.col("rep").alias("doc_id")).hint("merge"), "doc_id", "left_semi")
+    sets = needed.mapInArrow(members, "rep long, digest binary, n_shingles long, members binary")
+    # Rows that repeat an id may have other sets.
+    own = dealt.select("rep").join(classes.select("rep", "digest"), "rep")
+    full = stage(sets.join(own, ["rep", "digest"], "left_semi").dropDuplicates(["rep"]).drop("digest"), "full_sets")
+
+    links = stage(_link(dealt, full, ["cluster", "block"], threshold), "links")
+    several = dealt.filter("blocks > 1").drop("label")
     if several.isEmpty():
         return links
-
-    def labelled(links: DataFrame) -> DataFrame:
-        named = components(links).withColumnRenamed("node", "rep")
-        return stage(several.join(named, "rep", "left").withColumn("part", F.coalesce("component", "rep")), "parts")
-
-    # One member of each block, compared with those of some hundred other blocks.
-    heads = labelled(links).groupBy("cluster", "block").agg(F.min("part").alias("rep")).select("rep")
-    some = F.pmod(F.xxhash64("block"), F.ceil(F.col("blocks") / BLOCK_SETS))
-    between = _linked(group(full.join(heads, "rep", "left_semi"), some, some, zero), threshold)
-    links = stage(links.unionByName(between), "links")
-    left = labelled(links).groupBy("cluster").agg(F.min("part").alias("p"), F.max("part").alias("q")).filter("p < q").select("cluster")
-    crossed = full.join(left, "cluster", "left_semi").withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    crossed = crossed.filter("other <> block")
-    across = _linked(group(crossed, F.least("block", "other"), F.greatest("block", "other"), block), threshold)
-    return stage(links.unionByName(across), "links")
+    heads = stage(labelled(several, links).groupBy("cluster", "label", "blocks").agg(F.min("rep").alias("rep")), "heads")
+    heads = heads.withColumn("block", F.pmod(F.xxhash64("rep"), F.col("blocks")))
+    counted = heads.groupBy("cluster").agg(F.count("*").alias("heads"))
+    # As many blocks as before would keep the heads of all blocks apart.
+    heads = heads.join(counted, "cluster").withColumn("block", F.pmod("block", F.ceil(F.col("heads") / BLOCK_HEADS)))
+    links = stage(links.unionByName(_link(heads, full, ["cluster", "block"], threshold)), "links")
+    now = stage(labelled(several, links), "labelled")
+    apart = now.groupBy("cluster").agg(F.min("label").alias("p"), F.max("label").alias("q")).filter("p < q").select("cluster")
+    left = stage(crossed(now.join(apart, "cluster", "left_semi")), "left")
+    return stage(links.unionByName(_link(left, full, ["cluster", "x", "y"], threshold)), "links")
 
 
 def near_groups(docs: DataFrame, shingle: int = SHINGLE, threshold: float = THRESHOLD) -> DataFrame:
@@ -342,7 +378,7 @@ def near_groups(docs: DataFrame, shingle: int = SHINGLE, threshold: float = THRE
         "classes",
     )
     clusters = stage(components(meetings(classes.drop("digest"), threshold)), "clusters")
-    links = verified(docs, classes.drop("digest"), clusters, shingle, threshold)
+    links = verified(docs, classes.drop("sketch"), clusters, shingle, threshold)
     named = components(links)
     smallest = classes.join(named, F.col("rep") == F.col("node"), "left").select(
         F.col("digest").alias("set"), F.coalesce("component", "rep").alias("component")
