@@ -246,7 +246,9 @@ class Tables:
 
     @cached_property
     def scored_docs(self) -> DataFrame:
-        return self.documents.join(self.events, F.col("doc_id") == F.col("event_id"))
+        # Of the text only its first line is ever asked; the join moves no more.
+        narrow = self.documents.selectExpr("doc_id", "source", f"{FIRST_LINE} AS text")
+        return narrow.join(self.events, F.col("doc_id") == F.col("event_id"))
 
     @cached_property
     def postings(self) -> DataFrame:

@@ -4,18 +4,20 @@ from __future__ import annotations
 
 from functools import reduce
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from siftline.catalog import twins as X
 from siftline.catalog.fixtures import AS_OF, CLOCK, EMPLOYERS, PROFILE, ROLES, RUN_ID, SOURCES
-from siftline.catalog.q_marts import WEEK
-from siftline.catalog.registry import query, stamp, stamp_sql
+from siftline.catalog import q_marts  # noqa: F401  (its SQL is taken up here)
+from siftline.catalog.registry import SQL, query, stamp, stamp_sql
 from siftline.functions import freshness as D
+from siftline.functions.rules import EXPERIENCE_BANDS
 from siftline.operators import companies as C
 from siftline.operators.canonical import group_members, merge_cross_platform, with_merge_columns
 from siftline.operators.dedup import new_rows
 from siftline.plans.daily import posting_features, run_daily
-from siftline.plans.exports import daily_exports
+from siftline.plans.exports import daily_exports, export_order
 from siftline.plans.weekly import weekly_report
 from siftline.session import stage
 
@@ -58,7 +60,11 @@ def aged_postings(t):
 
 def _kept(t):
     features = posting_features(t.postings, PROFILE, AS_OF, EMPLOYERS)
-    merged = merge_cross_platform(stage(new_rows(features, t.history), "fresh"))
+    needed = features.select(
+        "seq", "source", "dedup_key", "canonical_key", "completeness", "freshness_days",
+        "normalized_name", "pattern_index",
+    )
+    merged = merge_cross_platform(stage(new_rows(needed, t.history), "fresh"))
     return stage(merged.where(D.within_age(F.col("freshness_days"))), "kept")
 
 
@@ -224,29 +230,46 @@ def _row_counts(frames):
     return reduce(lambda a, b: a.unionByName(b), counts)
 
 
-_RUN_WEEK = WEEK.replace("first_seen", "run_date")
+# Data set: its mart, what names a row, what it counts, and how it is sorted.
+_REPORT = {
+    "weekly_category_match": ("role_match", "role_family", "job_count", "job_count DESC, role_family"),
+    "weekly_company_type": (
+        "weekly_company_type", "company_type || '/' || confidence", "job_count",
+        "avg_ai_score DESC, company_type, confidence",
+    ),
+    "weekly_skills": ("skill_mentions", "skill", "mention_count", "mention_count DESC, skill"),
+    "weekly_source_quality": ("weekly_source", "source", "total", "total DESC, source"),
+    "weekly_experience": (
+        "experience_bands", "experience_range", "job_count",
+        f"""list_position([{', '.join(f"'{b}'" for b in EXPERIENCE_BANDS)}], experience_range)""",
+    ),
+    "weekly_trends": ("weekly_trends", "metric", "CAST(0 AS BIGINT)", "metric"),
+    "weekly_health": ("weekly_health", "'all'", "CAST(0 AS BIGINT)", "1"),
+}
 
 
 @query(
     "weekly_report",
-    f"""SELECT 'weekly_health' AS data_set, CAST(1 AS BIGINT) AS n_rows
-        UNION ALL SELECT 'weekly_trends', 4
-        UNION ALL SELECT 'weekly_category_match', count(DISTINCT {X.first_of('lower(title)', ROLES, 'other')})
-            FROM @seen WHERE {WEEK} AND ai_match_score > 0
-        UNION ALL SELECT 'weekly_company_type', count(DISTINCT company_type || company_type_confidence)
-            FROM @seen WHERE {WEEK} AND company_type <> ''
-        UNION ALL SELECT 'weekly_skills', count(DISTINCT k.skill) FROM @seen
-            JOIN (VALUES {', '.join(f"('{k}')" for k in PROFILE.high + PROFILE.medium)}) k(skill)
-            ON contains(lower(match_reasons), k.skill) WHERE {WEEK} AND ai_match_score >= 40
-        UNION ALL SELECT 'weekly_source_quality', count(DISTINCT source) FROM @seen WHERE {WEEK}
-        UNION ALL SELECT 'weekly_experience', count(DISTINCT CASE
-            WHEN experience_required IN ('신입', '10년') THEN 0
-            WHEN experience_required IN ('경력 3년', '5년 이상', '2~5년') THEN 1
-            WHEN experience_required = '6년' THEN 2 ELSE 3 END)
-            FROM @seen WHERE {WEEK} AND experience_required <> ''""",
+    " UNION ALL ".join(
+        f"""SELECT '{data_set}' AS data_set, row_number() OVER (ORDER BY {order}) AS position,
+            {name} AS name, {number} AS number FROM ({SQL[mart]}) m"""
+        for data_set, (mart, name, number, order) in _REPORT.items()
+    ),
 )
 def weekly(t):
-    return _row_counts(weekly_report(t.seen, t.runs, PROFILE, AS_OF, ROLES, "other"))
+    """Every row of the report in its place."""
+    frames = weekly_report(t.seen, t.runs, PROFILE, AS_OF, ROLES, "other")
+
+    def placed(data_set, df):
+        _, name, number, _ = _REPORT[data_set]
+        order = export_order(data_set, df) or [F.expr(name)]
+        position = F.row_number().over(Window.orderBy(*order)).cast("bigint")
+        return df.select(
+            F.lit(data_set).alias("data_set"), position.alias("position"),
+            F.expr(name).alias("name"), F.expr(number).alias("number"),
+        )
+
+    return reduce(lambda a, b: a.unionByName(b), (placed(n, df) for n, df in frames.items()))
 
 
 @query(

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from siftline.catalog import twins as X
 from siftline.catalog.fixtures import AS_OF
 from siftline.catalog.registry import query
+from siftline.session import stage_path
 from siftline.sources import html_postings as H
 from siftline.sources import json_postings as J
 from siftline.sources.common import document_seq, recent, union_sources
@@ -43,6 +44,36 @@ def nested_json_source(t):
     return rows.drop("source", "jd_text", "scraped_at")
 
 
+@query(
+    "payload_files",
+    """SELECT source_id, url, title, company, location, experience_required, salary_info
+       FROM @postings WHERE seq % 10 <> 4 AND seq % 9 <= 5""",
+)
+def payload_files(t):
+    """The payloads written to a file each, and read back."""
+    path = stage_path(t.spark, "payloads")
+    nested_payloads(t).select("payload").write.option("maxRecordsPerFile", 1).option("lineSep", " ").text(path)
+    rows = J.nested_json_postings(J.read_payloads(t.spark, path), AS_OF)
+    return rows.select(
+        "source_id", "url", "title", "company", "location", "experience_required", "salary_info"
+    )
+
+
+@query(
+    "page_reader",
+    r"""SELECT page_id, len(regexp_extract_all(html, '<li>')) AS items, len(regexp_extract_all(html, '<p>')) AS paragraphs
+        FROM pages""",
+)
+def page_reader(t):
+    """A user's own reader over Arrow batches of pages."""
+
+    def count(batches):
+        for b in batches:
+            yield b[["page_id"]].assign(items=b["html"].str.count("<li>"), paragraphs=b["html"].str.count("<p>"))
+
+    return H.extract_with(t.read("pages"), count, "page_id long, items long, paragraphs long")
+
+
 @query("rejected_payloads", "SELECT seq AS payload_id FROM @postings WHERE seq % 10 = 4")
 def rejected_payloads(t):
     return J.rejected_payloads(nested_payloads(t)).select("payload_id")

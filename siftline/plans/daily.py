@@ -6,8 +6,9 @@ from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType, TimestampType
 
 from siftline.functions import freshness as D
 from siftline.functions import rules as R
@@ -15,7 +16,7 @@ from siftline.functions import scores as S
 from siftline.functions.text import cut
 from siftline.operators import companies as C
 from siftline.operators.canonical import merge_cross_platform, with_merge_columns
-from siftline.operators.dedup import already_seen, new_rows, touch
+from siftline.operators.dedup import already_seen, latest_sightings, new_rows, touch
 from siftline.operators.ranking import (
     MAX_RECOMMENDATIONS,
     top_recommendations,
@@ -31,9 +32,9 @@ from siftline.operators.scoring import (
     spend_budget,
     with_keyword_score,
 )
-from siftline.operators.state import apply_updates, first_sight, run_row
+from siftline.operators.state import apply_updates, first_sight, replace_rows, run_row
 from siftline.plans.marts import AsOf
-from siftline.schemas import SEEN_COLUMNS, SOURCE_ORDER
+from siftline.schemas import COMPANY_CACHE, SEEN, SEEN_COLUMNS, SOURCE_ORDER, struct_of
 from siftline.session import stage as stage_table
 from siftline.sources.common import source_counts, with_dedup_key, zero_result_errors
 
@@ -221,6 +222,29 @@ def run_daily(
     )
 
 
+def load_state(spark: SparkSession, root: str, before_run: int) -> tuple[DataFrame, DataFrame]:
+    """History and employer cache as the runs below ``before_run`` left them.
+
+    A run that is repeated finds the state that it found the first time.  Keys
+    seen again have their last sight, and an employer its latest verdict.
+    """
+    seen, cache = struct_of(SEEN), struct_of(COMPANY_CACHE)
+    sight = StructType([seen["dedup_key"], StructField("seen_at", TimestampType())])
+
+    def table(name: str, schema: StructType) -> DataFrame:
+        path = f"{root.rstrip('/')}/{name}"
+        hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
+        if not hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hadoop):
+            return spark.createDataFrame([], schema)
+        stored = StructType([*schema.fields, StructField("batch", LongType())])
+        return spark.read.schema(stored).parquet(path).where(F.col("batch") < before_run).drop("batch")
+
+    known = replace_rows(
+        spark.createDataFrame([], cache), table("new_companies", cache), "normalized_name", newest="verified_at"
+    )
+    return latest_sightings(table("history", seen), table("sightings", sight)), known
+
+
 def save_run(result: DailyRun, root: str, run_id: int) -> None:
     """Append a run below ``root``: one folder per run and table.
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping
 from datetime import datetime
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from siftline.functions.rules import EXPERIENCE_BANDS, Profile
@@ -13,23 +13,32 @@ from siftline.plans import marts as M
 from siftline.plans.weekly import weekly_report
 from siftline.sources.csv_sink import write_csv
 
-def _ordered(name: str, df: DataFrame) -> DataFrame:
-    by = {
-        "jobs_current": ["ai_match_score"],
-        "daily_stats": ["run_date"],
-        "recommendations_today": ["ranking_score"],
-        "weekly_category_match": ["job_count"],
-        "weekly_company_type": ["avg_ai_score"],
-        "weekly_skills": ["mention_count"],
-    }.get(name)
-    if by:
-        return df.orderBy(*[F.col(c).desc() for c in by])
+
+# What an export is sorted by, the first column descending; ties go by the
+# others, so that an export is the same on every run.
+SORTED_BY = {
+    "jobs_current": ("ai_match_score", "dedup_key"),
+    "daily_stats": ("run_date", "run_id"),
+    "recommendations_today": ("ranking_score", "dedup_key"),
+    "weekly_category_match": ("job_count", "role_family"),
+    "weekly_company_type": ("avg_ai_score", "company_type", "confidence"),
+    "weekly_skills": ("mention_count", "skill"),
+    "weekly_source_quality": ("total", "source"),
+}
+
+
+def export_order(name: str, df: DataFrame) -> list[Column]:
+    """Sort keys of a data set; none where its order is of no account."""
     if name == "weekly_experience":
-        place = F.array_position(
-            F.array(*[F.lit(b) for b in EXPERIENCE_BANDS]), F.col("experience_range")
-        )
-        return df.orderBy(place)
-    return df
+        bands = F.array(*[F.lit(b) for b in EXPERIENCE_BANDS])
+        return [F.array_position(bands, F.col("experience_range"))]
+    first, *rest = [c for c in SORTED_BY.get(name, ()) if c in df.columns] or [None]
+    return [F.col(first).desc(), *[F.col(c) for c in rest]] if first else []
+
+
+def _ordered(name: str, df: DataFrame) -> DataFrame:
+    order = export_order(name, df)
+    return df.orderBy(*order) if order else df
 
 
 def daily_exports(seen: DataFrame, runs: DataFrame, as_of: M.AsOf) -> dict[str, DataFrame]:

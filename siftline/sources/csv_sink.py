@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from siftline.functions.text import csv_cell
@@ -15,10 +15,22 @@ def csv_cells(df: DataFrame) -> DataFrame:
 
 def write_csv(df: DataFrame, path: str, skip_empty: bool = True) -> bool:
     """Write ``df`` as CSV with a header under ``path``; an empty frame leaves
-    an earlier export in place when ``skip_empty``.  Returns whether it wrote."""
-    if skip_empty and df.isEmpty():
-        return False
-    csv_cells(df).write.mode("overwrite").csv(
-        path, header=True, escape='"', emptyValue="", encoding="UTF-8"
+    an earlier export in place when ``skip_empty``.  Returns whether it wrote.
+
+    The plan runs once: rows are counted while they are written beside ``path``,
+    and the folder takes its place, or goes, afterwards.
+    """
+    seen = Observation()
+    beside = f"{path.rstrip('/')}.writing"
+    csv_cells(df).observe(seen, F.count(F.lit(1)).alias("rows")).write.mode("overwrite").csv(
+        beside, header=True, escape='"', emptyValue="", encoding="UTF-8"
     )
+    spark = df.sparkSession
+    new, old = (spark._jvm.org.apache.hadoop.fs.Path(p) for p in (beside, path))
+    files = new.getFileSystem(spark._jsc.hadoopConfiguration())
+    if skip_empty and not seen.get["rows"]:
+        files.delete(new, True)
+        return False
+    files.delete(old, True)
+    files.rename(new, old)
     return True

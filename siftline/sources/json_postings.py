@@ -24,18 +24,31 @@ _NUMBER_TYPE = r"^(BIGINT|DOUBLE|FLOAT|DECIMAL)"
 _EMBEDDED = r"(?s)window\.__NEXT_DATA__\s*=\s*(\{.*?\})\s*;?\s*</script>"
 
 
-def read_payloads(spark: SparkSession, path: str) -> DataFrame:
-    """One payload per file under ``path``; unreadable files are passed over."""
-    files = (
-        spark.read.option("ignoreCorruptFiles", "true")
-        .option("ignoreMissingFiles", "true")
-        .text(path, wholetext=True)
-    )
+def read_payloads(spark: SparkSession, path: str, pass_over: bool = False) -> DataFrame:
+    """One payload per file under ``path``.
+
+    A file that can't be read fails the job.  With ``pass_over`` it is left out,
+    and :func:`unread_payloads` tells which.
+    """
+    files = _files(spark, path, pass_over)
     return files.select(
         read_order_number().alias("payload_id"), F.col("value").alias("payload")
     )
 
 
+def unread_payloads(spark: SparkSession, path: str) -> DataFrame:
+    """The files under ``path`` that reading with ``pass_over`` leaves out, by path."""
+    there = spark.read.format("binaryFile").load(path).select("path")
+    read = _files(spark, path, True).select(F.col("_metadata.file_path").alias("read"), "value")
+    return there.join(read.select("read"), F.col("path") == F.col("read"), "left_anti")
+
+
+def _files(spark: SparkSession, path: str, pass_over: bool) -> DataFrame:
+    skip = str(pass_over).lower()
+    reader = spark.read.option("ignoreCorruptFiles", skip).option("ignoreMissingFiles", skip)
+    return reader.text(path, wholetext=True)
+
+
 def _parsed() -> Column:
     text = F.col("payload")
     return F.when(text.rlike(r"(?s)^\s*[\[{].*[\]}]\s*$"), F.try_parse_json(text))

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from siftline.functions.rules import Profile
 from siftline.plans import marts as M
-from siftline.plans.daily import run_daily, save_run
+from siftline.plans.daily import load_state, run_daily, save_run
 from siftline.plans.exports import daily_exports, exports_due, write_exports
 from siftline.plans.weekly import weekly_report
 from siftline.schemas import COMPANY_CACHE, POSTINGS, RUNS, SEEN, struct_of
@@ -85,8 +85,10 @@ def test_two_runs(spark, nothing, batch, tmp_path):
 
     save_run(day1, str(tmp_path), 1)
     save_run(day1, str(tmp_path), 1)  # a repeated run replaces its own output only
-    stored = spark.read.parquet(f"{tmp_path}/history").drop("batch")
+    assert load_state(spark, str(tmp_path), 1)[0].count() == 0  # a repeat finds what the run found
+    stored, cache = load_state(spark, str(tmp_path), 2)
     assert stored.count() == 5
+    assert {r.normalized_name for r in cache.collect()} == {r.normalized_name for r in day1.new_companies.collect()}
 
     responses = spark.createDataFrame([], "dedup_key string, response_text string, input_tokens long, output_tokens long")
     day2 = run_daily(batch, stored, cache, profile, "2024-02-01 00:00:00", 2, responses=responses)
@@ -96,3 +98,7 @@ def test_two_runs(spark, nothing, batch, tmp_path):
     after = {r.dedup_key: r for r in day2.seen.collect()}
     assert set(after) == set(state)
     assert all(r.last_seen.month == 2 and r.first_seen.month == 1 for r in after.values())
+    save_run(day2, str(tmp_path), 2)
+    later = {r.dedup_key: (r.first_seen, r.last_seen) for r in load_state(spark, str(tmp_path), 3)[0].collect()}
+    assert later == {k: (r.first_seen, r.last_seen) for k, r in after.items()}
+    assert day2.new_companies.count() == 0
