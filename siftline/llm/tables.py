@@ -16,15 +16,26 @@ def read(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
-def work_folder(spark: SparkSession, name: str) -> str:
-    """A new folder under ``spark.checkpoint.dir``.
+def _run_folder(spark: SparkSession) -> str:
+    """Folder of this application under ``spark.checkpoint.dir``.
 
     Where the session names none (tests, a laptop), it lies beside the warehouse.
     """
     top = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not top:
         top = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_work"
-    return f"{top.rstrip('/')}/llm/{uuid.uuid4().hex}/{name}"
+    return f"{top.rstrip('/')}/llm/{spark.sparkContext.applicationId}"
+
+
+def work_folder(spark: SparkSession, name: str) -> str:
+    """A new folder for one intermediate table."""
+    return f"{_run_folder(spark)}/{uuid.uuid4().hex}/{name}"
+
+
+def drop_work(spark: SparkSession) -> None:
+    """Delete the intermediate tables of this application; call it when its results are written."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(_run_folder(spark))
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def stage(df: DataFrame, name: str) -> DataFrame:

@@ -202,7 +202,7 @@ def write_archive(pages: DataFrame, folder: str, roll: int = ROLL_BYTES, revisit
     columns = "shard long, key long, page int, url string, html string, refers_to long"
     dealt = page.unionByName(verdict.distinct()).mapInArrow(deal, columns)
     shards = len(first_ids) + 1
-    sorted_ = dealt.repartition(shards, "shard").sortWithinPartitions("shard", "key", "page", "url", F.sha1("html"))
+    sorted_ = dealt.repartitionById(shards, F.col("shard").cast("int")).sortWithinPartitions("shard", "key", "page", "url", F.sha1("html"))
     written = sorted_.mapInArrow(write, WRITTEN_SCHEMA)
     written.write.mode("overwrite").parquet(f"{folder}/manifest")
     return pages.sparkSession.read.parquet(f"{folder}/manifest")
@@ -251,4 +251,5 @@ def read_archive(spark: SparkSession, folder: str) -> DataFrame:
                 yield pa.record_batch([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), kinds, strict=True)], names=names)
 
     files = spark.read.parquet(f"{folder}/manifest").select("file")
-    return files.repartition("file").mapInArrow(read, READ_SCHEMA)
+    # A file to a task; a number keeps small lists from being put together again.
+    return files.repartition(max(1, files.count())).mapInArrow(read, READ_SCHEMA)
