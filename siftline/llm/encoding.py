@@ -2,9 +2,10 @@
 
 Both vocabularies in use split a text at white space before they merge anything,
 so the ids of a text are those of its units, one after the other: a word with
-the blanks before it, or a word alone where the tokenizer drops blanks.  Prose
-repeats its words; each unit is encoded once per worker and then looked up.  Ids
-are kept as little-endian 32-bit bytes, which join without a loop.
+the blanks before it, or a word alone where the tokenizer drops blanks.  They
+also split a word between a letter and the punctuation at its end.  Prose
+repeats its words; each is encoded once per worker and then looked up.  Ids are
+kept as little-endian 32-bit bytes, which join without a loop.
 
 Blanks other than space, tab, LF, VT, FF and CR are left inside units, unless
 the tokenizer keeps blanks: then a text that holds any of them is encoded as one
@@ -15,17 +16,25 @@ from __future__ import annotations
 
 import os
 import re
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 
-MOST_UNITS = 400_000  # units a worker remembers; it forgets all and starts again beyond that
+MOST_UNITS = 600_000  # units a worker remembers; it forgets all and starts again beyond that
 BLOCK_ROWS = 512
 
-WORDS = re.compile(r"[^\x20\x09-\x0D]+")
-WORDS_WITH_BLANKS = re.compile(r"[\x20\x09-\x0D]*[^\x20\x09-\x0D]+|[\x20\x09-\x0D]+")
-OTHER_BLANKS = re.compile(r"[\x1c-\x1f\x85\xa0 ᠎ -​    　﻿]")
+WITH_BLANKS = re.compile(rb"[\x20\x09-\x0D]*[^\x20\x09-\x0D]+|[\x20\x09-\x0D]+")
+NEIGHBOURING_BLANKS = (b"  ", b" \n", b"\n ", b"\n\n", b"\t", b"\v", b"\f", b"\r")
+SEPARATORS = b"\x1c\x1d\x1e\x1f"  # the only other blanks of ASCII
+OTHER_BLANKS = re.compile(r"[\x1c-\x1f\x85\xa0\u1680\u180e\u2000-\u200b\u2028\u2029\u202f\u205f\u3000\ufeff]")
+# Between a letter or digit and these, tokenizers always split; an apostrophe is another matter.
+TAIL = re.compile(r"(.*[A-Za-z0-9\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f])([.,!?;:*%$&#]+)", re.DOTALL)
+
+# A unit with one space before it is known by the rest of it, and one with a line
+# feed by itself; what has nothing or other blanks before it is marked.
+MARK = b"\r"
 
 
 class Encoder:
@@ -37,24 +46,55 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.keeps_blanks = keeps_blanks
-        self.known: dict[str, bytes] = {}
+        self.known: dict[bytes, bytes] = {}
 
-    def units(self, text: str) -> list[str]:
+    def keys(self, text: str) -> list[bytes]:
+        """The units of a text as keys."""
+        data = text.encode()
         if not self.keeps_blanks:
-            return WORDS.findall(text)
-        return [text] if OTHER_BLANKS.search(text) else WORDS_WITH_BLANKS.findall(text)
+            return data.split()
+        if len(data.translate(None, SEPARATORS)) < len(data) if text.isascii() else OTHER_BLANKS.search(text):
+            return [MARK + data]
+        if any(blanks in data for blanks in NEIGHBOURING_BLANKS):
+            units = WITH_BLANKS.findall(data)
+            return [u[1:] if u[:1] == b" " and u[1:2] not in (b" ", b"\n", b"\t", b"\v", b"\f", b"\r", b"") else MARK + u for u in units]
+        units = data.replace(b"\n", b" \n").split(b" ")
+        units[0] = MARK + units[0]
+        return units
+
+    def unit(self, key: bytes) -> str:
+        if self.keeps_blanks:
+            key = key[1:] if key[:1] == MARK else key if key[:1] == b"\n" else b" " + key
+        return key.decode()
+
+    def parts(self, key: bytes) -> tuple[bytes, ...]:
+        """Keys whose ids make up those of ``key``."""
+        split = TAIL.fullmatch(key.decode())
+        if not split:
+            return (key,)
+        word, tail = split[1], split[2].encode()
+        if self.keeps_blanks:
+            return word.encode(), MARK + tail
+        # This one lowers letters; beyond Latin-1 that is left to it.
+        return (word.lower() if max(word) < "\u0100" else word).encode(), tail
+
+    def learn(self, keys: set[bytes]) -> None:
+        known, split = self.known, {key: self.parts(key) for key in keys}
+        new = [part for part in {p for parts in split.values() for p in parts} if part not in known]
+        for part, found in zip(new, self.tokenizer.encode_batch_fast([self.unit(p) for p in new], add_special_tokens=False), strict=True):
+            known[part] = array("I", found.ids).tobytes()
+        for key, parts in split.items():
+            if len(parts) > 1:
+                known[key] = known[parts[0]] + known[parts[1]]
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """The ids of each text, as bytes."""
-        split = [self.units(t) for t in texts]
-        known = self.known
-        new = list(set().union(*split).difference(known))
-        if len(known) + len(new) > MOST_UNITS:
-            known.clear()
-            new = list(set().union(*split))
-        for unit, found in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False), strict=True):
-            known[unit] = np.array(found.ids, "<u4").tobytes()
-        return [b"".join(map(known.__getitem__, units)) for units in split]
+        split = [self.keys(t) for t in texts]
+        if len(self.known) > MOST_UNITS:
+            self.known.clear()
+        self.learn(set().union(*split).difference(self.known))
+        find = self.known.__getitem__
+        return [b"".join(map(find, keys)) for keys in split]
 
 
 _ENCODERS: dict[tuple[str, bool], Encoder] = {}
