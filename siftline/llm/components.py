@@ -1,8 +1,9 @@
 """Connected components of a graph too large for one machine.
 
 Alternating large-star and small-star steps: each points nodes at smaller
-neighbours until every node points at the smallest of its component.  The number
-of rounds grows with the logarithm of the longest path.  Minima are partial
+neighbours until every node points at the smallest of its component, that is
+until the edges are stars.  The number of rounds grows with the logarithm of the
+longest path.  Minima are partial
 aggregates, and each step is a written table, so nodes with very many neighbours
 are no hot spot and lost executors cost no more than a step.
 """
@@ -29,6 +30,15 @@ def _small_star(edges: DataFrame) -> DataFrame:
     return moved.filter("a <> b").unionByName(least.select("a", F.col("m").alias("b"))).distinct()
 
 
+def _settled(edges: DataFrame) -> bool:
+    """Whether the edges (a, b) are stars: no node has two centres or is a leaf and a centre."""
+    ends = edges.select(F.col("a").alias("node"), F.lit(1).alias("leaf"), F.lit(0).alias("centre")).unionByName(
+        edges.select(F.col("b").alias("node"), F.lit(0).alias("leaf"), F.lit(1).alias("centre"))
+    )
+    roles = ends.groupBy("node").agg(F.sum("leaf").alias("leaf"), F.max("centre").alias("centre"))
+    return roles.filter("leaf + centre > 1").isEmpty()
+
+
 def components(links: DataFrame) -> DataFrame:
     """node, component: the smallest node reachable, for each node with a link.
 
@@ -37,13 +47,8 @@ def components(links: DataFrame) -> DataFrame:
     edges = stage(
         links.filter("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "edges"
     )
-    state = None
-    while True:
+    while not _settled(edges):
         edges = stage(_small_star(_large_star(edges)), "stars")
-        now = edges.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
-        if now == state or not now[0]:
-            break
-        state = now
     return edges.select(F.col("a").alias("node"), F.col("b").alias("component")).unionByName(
         edges.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct()
     )

@@ -47,10 +47,9 @@ REGISTERS = BANDS * BAND_ROWS
 BASE = 1.001
 RATE = 20.0
 DOUBT = 12.0  # a pair is set aside when the threshold is exp(12) times less likely than the best estimate
-BLOCK_SETS = 512
+BLOCK_SETS = 4096
 BLOCK_SHINGLES = 1 << 20
 BLOCK_HEADS = 64
-COLUMNS = 4096
 FAR = 8.0  # standard deviations of the number of equal registers
 
 SIGNED_SCHEMA = "doc_id long, n_shingles long, digest binary, sketch array<long>"
@@ -260,21 +259,30 @@ def meetings(classes: DataFrame, threshold: float) -> DataFrame:
     return stage(links.unionByName(_meet(left, classes, [*bucket, "x", "y"], threshold)), "links")
 
 
-def shared_counts(sets: list[np.ndarray], rows: np.ndarray) -> np.ndarray:
-    """How many members each of the sets ``rows`` has in common with each other set."""
-    owner = np.repeat(np.arange(len(sets)), [len(x) for x in sets])
-    _, member, count = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
-    several = count[member] > 1
-    owner, member = owner[several], (np.cumsum(count > 1) - 1)[member[several]]
-    order = np.argsort(member, kind="stable")
-    owner, member = owner[order], member[order]
-    out = np.zeros((len(rows), len(sets)), np.float64)
-    for first in range(0, int((count > 1).sum()), COLUMNS):
-        a, b = np.searchsorted(member, [first, first + COLUMNS])
-        has = np.zeros((len(sets), COLUMNS), np.float32)
-        has[owner[a:b], member[a:b] - first] = 1
-        out += has[rows] @ has.T
-    return out
+class Members:
+    """Which of some sets hold each member that several of them hold."""
+
+    def __init__(self, sets: list[np.ndarray]) -> None:
+        sizes = np.array([len(x) for x in sets])
+        owner = np.repeat(np.arange(len(sets)), sizes)
+        _, member, count = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+        several = count[member] > 1
+        owner, member = owner[several], (np.cumsum(count > 1) - 1)[member[several]]
+        self.n = len(sets)
+        self.member, self.of = member, np.searchsorted(owner, np.arange(len(sets) + 1))
+        order = np.argsort(member, kind="stable")
+        self.owner = owner[order]
+        self.lists = np.searchsorted(member[order], np.arange(int((count > 1).sum()) + 1))
+
+    def shared_with(self, row: int) -> np.ndarray:
+        """How many members each other set has in common with that of ``row``."""
+        own = self.member[self.of[row] : self.of[row + 1]]
+        first, lengths = self.lists[own], self.lists[own + 1] - self.lists[own]
+        if not len(own):
+            return np.zeros(self.n, np.int64)
+        ends = np.cumsum(lengths)
+        at = np.arange(ends[-1]) + np.repeat(first - ends + lengths, lengths)
+        return np.bincount(self.owner[at], minlength=self.n)
 
 
 def _verified_parts(groups: Groups, threshold: float) -> list[tuple[np.ndarray, np.ndarray]]:
@@ -285,17 +293,16 @@ def _verified_parts(groups: Groups, threshold: float) -> list[tuple[np.ndarray,
     for start, end in zip(groups.bounds[:-1], groups.bounds[1:], strict=True):
         if end - start < 2:
             continue
-        sets = [np.frombuffer(members[k].as_py(), "<u8") for k in range(start, end)]
-        own, n = labels[start:end], sizes[start:end]
-        _, part, count = np.unique(own, return_inverse=True, return_counts=True)
+        n = sizes[start:end]
+        _, part, count = np.unique(labels[start:end], return_inverse=True, return_counts=True)
         # Rows of the label that most have hang together already.
         rows = np.flatnonzero(part != count.argmax())
-        if not len(rows):
-            continue
-        both = shared_counts(sets, rows)
-        linked = 100 * both >= share * (n[rows][:, None] + n[None, :] - both)
-        for row, near in zip(rows, linked, strict=True):
-            unite(part, row, near)
+        held = Members([np.frombuffer(members[k].as_py(), "<u8") for k in range(start, end)])
+        for row in rows:
+            if (part == part[row]).all():
+                break
+            both = held.shared_with(row)
+            unite(part, row, 100 * both >= share * (n[row] + n - both))
         out.append(stars(ids[start:end], part))
     return out
 
