@@ -54,7 +54,8 @@ def signatures(docs: DataFrame, prefix: int = PREFIX) -> DataFrame:
 
 def _with_company(rows: DataFrame, keys: list[str], name: str) -> DataFrame:
     """The rows whose keys occur twice or more."""
-    shared = rows.groupBy(*keys).count().filter("count > 1").select(*keys)
+    # A written table, so that the join has a shuffle of its own and can split a hot key.
+    shared = stage(rows.groupBy(*keys).count().filter("count > 1").select(*keys), f"{name}_keys")
     return stage(rows.join(shared, keys, "left_semi"), name)
 
 
@@ -71,10 +72,11 @@ def exact_groups(docs: DataFrame, prefix: int = PREFIX) -> DataFrame:
 
     survivors = rows.join(same_prefix.select("row"), "row", "left_semi")
     best = F.struct("chars", (-F.col("doc_id")).alias("order"), (-F.col("row")).alias("row"))
-    groups = (
+    groups = stage(
         survivors.groupBy(F.col("text_sha256").alias("digest"))
         .agg(F.count("*").alias("size"), F.max(best).alias("best"))
-        .filter("size > 1")
+        .filter("size > 1"),
+        "groups",
     )
     alone = F.col("digest").isNull()
     return rows.join(groups, rows.text_sha256 == groups.digest, "left").select(
