@@ -37,6 +37,17 @@ TAIL = re.compile(r"(.*[A-Za-z0-9\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f])([.,!?
 MARK = b"\r"
 
 
+# A word of these alone is one piece to both tokenizers, and lower case is plain.
+LETTERS = re.compile("[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+")
+
+
+def byte_letters() -> dict[int, str]:
+    """The letters that stand for bytes in byte-level vocabularies: printable ones for themselves, the others from 256 on."""
+    printable = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    others = [b for b in range(256) if b not in printable]
+    return {b: chr(b) for b in printable} | {b: chr(256 + i) for i, b in enumerate(others)}
+
+
 class Encoder:
     """Encodes texts with one tokenizer file; one for each file and worker."""
 
@@ -45,6 +56,7 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.model, self.letters = self.tokenizer.model, byte_letters()
         self.keeps_blanks = keeps_blanks
         self.known: dict[bytes, bytes] = {}
 
@@ -78,11 +90,31 @@ class Encoder:
         # This one lowers letters; beyond Latin-1 that is left to it.
         return (word.lower() if max(word) < "\u0100" else word).encode(), tail
 
+    def piece(self, key: bytes) -> str | None:
+        """What the merges begin with, where a unit is a word of plain letters; it needs no more of the tokenizer."""
+        marked = key[:1] == MARK
+        word = key[1:] if marked else key
+        if not LETTERS.fullmatch(word.decode()):
+            return None
+        if not self.keeps_blanks:
+            word = word.decode().lower().encode()
+        elif not marked:
+            word = b" " + word
+        return word.decode("latin-1").translate(self.letters)
+
     def learn(self, keys: set[bytes]) -> None:
         known, split = self.known, {key: self.parts(key) for key in keys}
         new = [part for part in {p for parts in split.values() for p in parts} if part not in known]
-        for part, found in zip(new, self.tokenizer.encode_batch_fast([self.unit(p) for p in new], add_special_tokens=False), strict=True):
-            known[part] = array("I", found.ids).tobytes()
+        rest = []
+        for part in new:
+            piece = self.piece(part)
+            if piece is None:
+                rest.append(part)
+            else:
+                known[part] = array("I", [token.id for token in self.model.tokenize(piece)]).tobytes()
+        found = self.tokenizer.encode_batch_fast([self.unit(p) for p in rest], add_special_tokens=False)
+        for part, encoding in zip(rest, found, strict=True):
+            known[part] = array("I", encoding.ids).tobytes()
         for key, parts in split.items():
             if len(parts) > 1:
                 known[key] = known[parts[0]] + known[parts[1]]
