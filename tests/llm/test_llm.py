@@ -583,6 +583,39 @@ def test_near_vectors(spark, monkeypatch, neighbours, block):
     assert len(got) == len(data)
 
 
+def one_sided(n, pairs, mean, seed=8):
+    """Unit vectors of one label with a mean cosine, the last ``pairs`` partners of the first at 0.931."""
+    r = np.random.default_rng(seed)
+    unit = r.standard_normal((n, 32))
+    unit *= np.sqrt(1 - mean) / np.sqrt((unit * unit).sum(1, keepdims=True))
+    unit[:, 0] += np.sqrt(mean)
+    unit /= np.sqrt((unit * unit).sum(1, keepdims=True))
+    own, across = unit[:pairs], r.standard_normal((pairs, 32))
+    across -= (across * own).sum(1, keepdims=True) * own
+    across /= np.sqrt((across * across).sum(1, keepdims=True))
+    return np.concatenate([unit, 0.931 * own + np.sqrt(1 - 0.931**2) * across])
+
+
+@pytest.mark.parametrize("mean", [0, 0.7])
+def test_links_of_large_labels_are_found(spark, monkeypatch, mean):
+    """Windows so narrow that a fixed number of passes misses many; signs are told apart only about the mean."""
+    monkeypatch.setattr(embedding_dedup, "BLOCK_ROWS", 32)
+    unit = one_sided(6000, 300, mean).astype("f4")
+    exact = unit.astype("f8")
+    exact /= np.sqrt((exact * exact).sum(1, keepdims=True))
+    a, b = np.nonzero(np.triu(exact @ exact.T >= 0.93, 1))
+    true = reachable(range(len(unit)), zip(a.tolist(), b.tolist(), strict=True))
+    data = [(k, v.tolist(), 3) for k, v in enumerate(unit)]
+    frame = spark.createDataFrame(data, "vec_id long, embedding array<float>, label int").repartition(3)
+    got = {r.vec_id: r.component_id for r in embedding_dedup.near_vectors(frame, passes=4, neighbours=16).collect()}
+    assert sum(got[k] != true[k] for k in true) <= 0.005 * len(a)
+
+
+def test_passes_grow_with_the_label():
+    needed = [embedding_dedup.passes_needed(one_sided(1000, 1, 0.3)[:1000], n, 0.93, 512, 10**6) for n in (10**4, 10**6, 10**8)]
+    assert needed[0] < needed[1] < needed[2] < 10**6
+
+
 def test_no_vectors(spark):
     assert embedding_dedup.near_vectors(spark.createDataFrame([], VECTORS)).count() == 0
 
