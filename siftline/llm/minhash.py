@@ -21,7 +21,8 @@ star, and only parts that don't yet hang together are compared further.
 
 Defined results: null and empty texts, and texts without words, have the empty
 set, are linked with nothing, and are kept.  A null doc_id is in the component
-of its copies, never names one, and is not kept.
+of its copies, never names one, and is not kept.  Rows that repeat an id belong to
+the components of their own texts, each named by the least id in it.
 """
 
 from __future__ import annotations
@@ -31,12 +32,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from siftline.llm.components import components
 from siftline.llm.groups import Groups, whole_groups
-from siftline.llm.tables import stage
+from siftline.llm.tables import boxed, stage
 from siftline.llm.words import LOWER, Block, blocks, mix, split, window_hashes, word_hashes
 
 SHINGLE = 5
@@ -52,7 +53,7 @@ BLOCK_SHINGLES = 1 << 20
 BLOCK_HEADS = 64
 FAR = 8.0  # standard deviations of the number of equal registers
 
-SIGNED_SCHEMA = "doc_id long, n_shingles long, digest binary, sketch array<long>"
+SIGNED_SCHEMA = "doc_id long, text_key binary, n_shingles long, digest binary, sketch array<long>"
 
 _draw = np.random.default_rng(77)
 _FACTOR = _draw.integers(0, 2**31, REGISTERS, dtype=np.uint32) * np.uint32(2) + np.uint32(1)
@@ -89,8 +90,12 @@ def digest(members: np.ndarray) -> bytes:
         return np.array([one.sum(), two.sum()], "<u8").tobytes()
 
 
+def _text_key(text: str = "text") -> Column:
+    return F.unhex(F.md5(F.col(text)))
+
+
 def signed(docs: DataFrame, shingle: int) -> DataFrame:
-    """doc_id, n_shingles, digest, and the bands of the sketch; digest is null for the empty set."""
+    """doc_id, text_key, n_shingles, digest, and the bands of the sketch; digest is null for the empty set."""
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -101,11 +106,11 @@ def signed(docs: DataFrame, shingle: int) -> DataFrame:
                     digests.append(digest(members) if len(members) else None)
                     bands.append(sketch(members).view("<i8") if len(members) else None)
             yield pa.record_batch(
-                [batch.column("doc_id"), pa.array(sizes, pa.int64()), pa.array(digests, pa.binary()), pa.array(bands, pa.list_(pa.int64()))],
-                names=["doc_id", "n_shingles", "digest", "sketch"],
+                [batch.column("doc_id"), batch.column("text_key"), pa.array(sizes, pa.int64()), pa.array(digests, pa.binary()), pa.array(bands, pa.list_(pa.int64()))],
+                names=["doc_id", "text_key", "n_shingles", "digest", "sketch"],
             )
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(sign, SIGNED_SCHEMA)
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), _text_key().alias("text_key"), "text").mapInArrow(sign, SIGNED_SCHEMA)
 
 
 def _chance(x: np.ndarray) -> np.ndarray:
@@ -343,21 +348,22 @@ def verified(docs: DataFrame, classes: DataFrame, clusters: DataFrame, shingle:
                 sets = list(sets_of(block, shingle))
                 yield pa.record_batch(
                     [
-                        batch.column("doc_id").slice(block.first, len(sets)),
                         pa.array([digest(x) for x in sets], pa.binary()),
                         pa.array([len(x) for x in sets], pa.int64()),
                         pa.array([x.tobytes() for x in sets], pa.binary()),
                     ],
-                    names=["rep", "digest", "n_shingles", "members"],
+                    names=["digest", "n_shingles", "members"],
                 )
 
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    own = stage(dealt.select("rep").join(classes.select("rep", "digest", "doc_id"), "rep"), "own")
     # The same join at every size: texts are sorted once, never broadcast against.
-    needed = texts.join(dealt.select(F.col("rep").alias("doc_id")).hint("merge"), "doc_id", "left_semi")
-    sets = needed.mapInArrow(members, "rep long, digest binary, n_shingles long, members binary")
+    needed = texts.join(own.select("doc_id").hint("merge"), "doc_id", "left_semi").select("text")
+    if not own.filter("doc_id is null").isEmpty():
+        needed = needed.unionByName(texts.filter("doc_id is null").select("text").distinct())
+    sets = needed.mapInArrow(members, "digest binary, n_shingles long, members binary")
     # Rows that repeat an id may have other sets.
-    own = dealt.select("rep").join(classes.select("rep", "digest"), "rep")
-    full = stage(sets.join(own, ["rep", "digest"], "left_semi").dropDuplicates(["rep"]).drop("digest"), "full_sets")
+    full = stage(sets.join(own.select("rep", "digest"), "digest").dropDuplicates(["rep"]).drop("digest"), "full_sets")
 
     links = stage(_link(dealt, full, ["cluster", "block"], threshold), "links")
     several = dealt.filter("blocks > 1").drop("label")
@@ -375,28 +381,44 @@ def verified(docs: DataFrame, classes: DataFrame, clusters: DataFrame, shingle:
     return stage(links.unionByName(_link(left, full, ["cluster", "x", "y"], threshold)), "links")
 
 
-def near_groups(docs: DataFrame, shingle: int = SHINGLE, threshold: float = THRESHOLD) -> DataFrame:
-    """doc_id, n_shingles, component_id, kept: one row per row of ``docs``."""
+def _grouped(docs: DataFrame, shingle: int, threshold: float) -> DataFrame:
+    """doc_id, text_key, n_shingles, part, component: part numbers the component, which is named by its least id."""
     rows = stage(signed(docs, shingle), "signed")
+    # Sets are numbered, as ids may be null or repeated; written once, the numbers are fixed.
     classes = stage(
-        rows.filter("digest is not null and doc_id is not null")
+        rows.filter("digest is not null")
         .groupBy("digest")
-        .agg(F.min("doc_id").alias("rep"), F.first("n_shingles").alias("n_shingles"), F.first("sketch").alias("sketch")),
+        .agg(F.min("doc_id").alias("doc_id"), F.first("n_shingles").alias("n_shingles"), F.first("sketch").alias("sketch"))
+        .withColumn("rep", F.monotonically_increasing_id()),
         "classes",
     )
-    clusters = stage(components(meetings(classes.drop("digest"), threshold)), "clusters")
-    links = verified(docs, classes.drop("sketch"), clusters, shingle, threshold)
-    named = components(links)
-    smallest = classes.join(named, F.col("rep") == F.col("node"), "left").select(
-        F.col("digest").alias("set"), F.coalesce("component", "rep").alias("component")
+    clusters = stage(components(meetings(classes.drop("digest", "doc_id"), threshold)), "clusters")
+    named = components(verified(docs, classes.drop("sketch"), clusters, shingle, threshold))
+    sets = stage(
+        classes.join(named, F.col("rep") == F.col("node"), "left").select(
+            F.col("digest").alias("set"), "doc_id", F.coalesce("component", "rep").alias("part")
+        ),
+        "sets",
     )
+    least = sets.groupBy("part").agg(F.min("doc_id").alias("component"))
+    smallest = stage(sets.drop("doc_id").join(least, "part"), "named")
+    return rows.join(smallest, F.col("digest") == F.col("set"), "left").select("doc_id", "text_key", "n_shingles", "part", "component")
+
+
+def near_groups(docs: DataFrame, shingle: int = SHINGLE, threshold: float = THRESHOLD) -> DataFrame:
+    """doc_id, n_shingles, component_id, kept: one row per row of ``docs``."""
     component = F.coalesce("component", "doc_id")
-    return rows.join(stage(smallest, "named"), F.col("digest") == F.col("set"), "left").select(
+    return _grouped(docs, shingle, threshold).select(
         "doc_id", "n_shingles", component.alias("component_id"), F.coalesce(F.col("doc_id") == component, F.lit(False)).alias("kept")
     )
 
 
 def drop_near_copies(docs: DataFrame, shingle: int = SHINGLE, threshold: float = THRESHOLD) -> DataFrame:
-    """``docs`` with one document of each component; rows that repeat an id share its fate."""
-    gone = near_groups(docs, shingle, threshold).filter("not kept and doc_id is not null").select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti").select(docs.columns)
+    """``docs`` with one id and text of each component, a null id only where no other is in it."""
+    grouped = stage(_grouped(docs, shingle, threshold).filter("part is not null").select("part", "doc_id", "text_key"), "grouped")
+    best = F.min(F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "text_key")).alias("best")
+    stays = F.col("doc_id").eqNullSafe(F.col("best.doc_id")) & (F.col("text_key") == F.col("best.text_key"))
+    gone = grouped.join(grouped.groupBy("part").agg(best), "part").filter(~stays)
+    gone = stage(gone.select(F.col("doc_id").alias("gone_id"), F.col("text_key").alias("gone_key")).distinct(), "gone")
+    same = F.col("doc.doc_id").cast("long").eqNullSafe(F.col("gone_id")) & _text_key("doc.text").eqNullSafe(F.col("gone_key"))
+    return docs.select(boxed(docs)).join(gone, same, "left_anti").select("doc.*")

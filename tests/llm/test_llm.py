@@ -324,6 +324,23 @@ def test_drop_near_copies(docs):
     assert {r.doc_id for r in kept.collect()} - {None} == set(named.values())
 
 
+def test_near_copies_of_repeated_and_null_ids(frame):
+    a, b, c, d = (prose(200 + k, 100) for k in range(4))
+    near = {k: " ".join(["other", *w[1:]]) for k, w in zip("abcd", (a, b, c, d), strict=True)}
+    a, b, c, d = (" ".join(w) for w in (a, b, c, d))
+    # Id 7 repeats with two texts, each with a near copy; c has one with a null id, d has nulls alone.
+    data = [(7, a), (7, b), (8, near["a"]), (9, near["b"]), (6, c), (None, near["c"]), (None, d), (None, near["d"])]
+    docs = frame(data, "doc_id long, text string")
+    got = sorted(minhash.near_groups(docs).select("doc_id", "component_id", "kept").collect(), key=str)
+    want = [(7, 7, True)] * 2 + [(8, 7, False), (9, 7, False), (6, 6, True), (None, 6, False)] + [(None, None, False)] * 2
+    assert sorted(map(tuple, got), key=str) == sorted(want, key=str)
+    # Id 4 repeats with a near copy of 3 and a clean text, which stays.
+    docs = frame([*data, (3, a + " end"), (4, near["a"] + " end"), (4, "quite another text of its own")], "doc_id long, text string")
+    kept = [tuple(r) for r in minhash.drop_near_copies(docs).collect()]
+    assert len(kept) == 5 and sum(t in (d, near["d"]) for _, t in kept) == 1
+    assert {(3, a + " end"), (7, b), (6, c), (4, "quite another text of its own")} <= set(kept)
+
+
 @pytest.mark.parametrize("seed", range(3))
 def test_components(frame, seed):
     r = random.Random(seed)
