@@ -1,4 +1,4 @@
-"""Registered queries of the ten operators, each over its whole table."""
+"""Registered queries of the operators, each over its whole table."""
 
 from __future__ import annotations
 
@@ -13,8 +13,11 @@ from siftline.llm import (
     minhash,
     mixing,
     packing,
+    phrases,
+    prefix_trie,
     quality,
     secret_scan,
+    sharding,
     substring_dedup,
     token_output,
     warc,
@@ -78,6 +81,18 @@ def op10_quality(spark: SparkSession, folder: str) -> DataFrame:
     return scored.select("doc_id", quality.held_out().alias("held_out"), "score", F.col("predicted"))
 
 
+def op11_collocations(spark: SparkSession, folder: str) -> DataFrame:
+    return phrases.collocations(read(spark, folder, "documents"))
+
+
+def op12_sharding(spark: SparkSession, folder: str) -> DataFrame:
+    return sharding.in_shards(read(spark, folder, "documents"), shards=8)
+
+
+def op13_conversation_trie(spark: SparkSession, folder: str) -> DataFrame:
+    return prefix_trie.conversation_trie(read(spark, folder, "conversations"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -91,5 +106,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_packing,
         op9_secret_scan,
         op10_quality,
+        op11_collocations,
+        op12_sharding,
+        op13_conversation_trie,
     )
 }

@@ -140,6 +140,104 @@ SELECT v.vec_id, coalesce(n.n, 0) AS n_links, coalesce(c.component, v.vec_id) AS
 FROM v LEFT JOIN n ON n.a = v.vec_id LEFT JOIN c ON c.node = v.vec_id
 """
 
+# Words follow each other inside pieces; a phrase as its words joined by a space, which no word holds.
+COLLOCATIONS = r"""
+WITH p AS (
+  SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS words
+  FROM (SELECT coalesce(lang, 'und') AS lang,
+               unnest(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                            '[.,;:!?\x0A-\x0D]')) AS piece
+        FROM documents)),
+w AS (SELECT lang, words, unnest(range(1, len(words) + 1)) AS i FROM p),
+e AS (SELECT lang, words[i] AS w1, words[i + 1] AS w2, words[i + 2] AS w3 FROM w),
+f1 AS (SELECT lang, w1 AS phrase, count(*) AS f FROM e GROUP BY ALL),
+f2 AS (SELECT lang, w1, w2, w1 || ' ' || w2 AS phrase, count(*) AS f FROM e WHERE w2 IS NOT NULL GROUP BY ALL HAVING count(*) >= 10),
+f3 AS (SELECT lang, w1, w2, w3, count(*) AS f FROM e WHERE w3 IS NOT NULL GROUP BY ALL HAVING count(*) >= 10),
+c AS (
+  SELECT lang, phrase, f AS a, 1 AS cut, w1 AS lft, w2 AS rgt FROM f2
+  UNION ALL SELECT lang, w1 || ' ' || w2 || ' ' || w3, f, 1, w1, w2 || ' ' || w3 FROM f3
+  UNION ALL SELECT lang, w1 || ' ' || w2 || ' ' || w3, f, 2, w1 || ' ' || w2, w3 FROM f3),
+f AS (SELECT * FROM f1 UNION ALL SELECT lang, phrase, f FROM f2),
+s AS (
+  SELECT c.lang, c.phrase, a, cut, x.f AS l, y.f AS r, ((1000000::HUGEINT * a * a) // (x.f::HUGEINT * y.f))::BIGINT AS score
+  FROM c JOIN f AS x ON x.lang = c.lang AND x.phrase = lft JOIN f AS y ON y.lang = c.lang AND y.phrase = rgt),
+b AS (SELECT *, row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut) AS pick FROM s),
+g AS (
+  SELECT lang, phrase, max(f) AS longer
+  FROM (SELECT lang, w1 || ' ' || w2 AS phrase, f FROM f3 UNION ALL SELECT lang, w2 || ' ' || w3, f FROM f3) GROUP BY ALL),
+q AS (
+  SELECT b.*, row_number() OVER (PARTITION BY b.lang ORDER BY score DESC, a DESC, encode(b.phrase)) AS rank
+  FROM b LEFT JOIN g ON g.lang = b.lang AND g.phrase = b.phrase
+  WHERE pick = 1 AND (longer IS NULL OR 100 * longer < 50 * a))
+SELECT lang, rank, phrase, a, l, r, n, score
+FROM q JOIN (SELECT lang, sum(f)::BIGINT AS n FROM f1 GROUP BY lang) USING (lang)
+WHERE rank <= 2000
+"""
+
+# The digest of bytes by a table that follows from its polynomial.
+CRC_TABLE = """(SELECT list_transform(range(256), lambda c: list_reduce(range(8), lambda a, i:
+           CASE WHEN a & 1 = 1 THEN xor(a >> 1, 3988292384) ELSE a >> 1 END, c)) AS crcs)"""
+
+
+def crc32(octets: str) -> str:
+    """Digest of a list of hexadecimal bytes."""
+    return f"""xor(list_reduce(list_transform({octets}, lambda x: ('0x' || x)::BIGINT),
+           lambda a, x: xor(a >> 8, crcs[(xor(a & 255, x) + 1)::INT]), 4294967295), 4294967295)"""
+
+
+# The generator in 128-bit numbers, a row for each step of a key.
+SHARDING = rf"""
+WITH RECURSIVE d AS (
+  SELECT row_number() OVER () AS row, doc_id, coalesce(text, '') AS text,
+         ('0x' || substr(md5(coalesce(CAST(doc_id AS VARCHAR), chr(0))), 1, 16))::UBIGINT AS key
+  FROM documents),
+j AS (
+  SELECT row, key AS state, -1::BIGINT AS b, 0::BIGINT AS j FROM d
+  UNION ALL
+  SELECT row, next, j, floor((j + 1)::DOUBLE * (2147483648.0::DOUBLE / ((next >> 33) + 1)::DOUBLE))::BIGINT
+  FROM (SELECT row, j, ((state::UHUGEINT * 2862933555777941757 + 1) % 18446744073709551616)::UBIGINT AS next FROM j WHERE j < 8)),
+s AS (SELECT row, max(b)::INT AS shard, max(j) AS reach FROM j GROUP BY row),
+t AS {CRC_TABLE},
+c AS (
+  SELECT row, {crc32('bytes')} AS crc
+  FROM (SELECT row, regexp_extract_all(hex(encode(text)), '..') AS bytes FROM d), t)
+SELECT doc_id, octet_length(encode(text)) + 1 AS size, crc AS text_crc32, 'key' AS law, shard,
+       row_number() OVER (PARTITION BY shard ORDER BY doc_id NULLS FIRST, octet_length(encode(text)), crc) - 1 AS slot,
+       CASE WHEN reach = 8 THEN 8 ELSE shard END AS grown_shard
+FROM d JOIN s USING (row) JOIN c USING (row)
+"""
+
+# Nodes are prefixes in letters; each adds to all prefixes of its smallest member.
+CONVERSATION_TRIE = rf"""
+WITH t AS {CRC_TABLE},
+o AS (
+  SELECT conv_id AS c, list(struct_pack(role := coalesce(role, ''), text := coalesce(text, ''))
+                            ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS turns
+  FROM conversations WHERE conv_id IS NOT NULL GROUP BY conv_id),
+h AS (SELECT c, turns, c - c % 5 AS base, {crc32("regexp_extract_all(hex(encode(CAST(c AS VARCHAR))), '..')")} % 9 AS h FROM o, t),
+r AS (
+  SELECT h.c, CASE WHEN h.c = base THEN h.turns
+                   ELSE list_concat(coalesce(b.turns[1:h], []), h.turns[h + 1:]) END AS turns
+  FROM h LEFT JOIN o AS b ON b.c = base AND h.c <> base),
+p AS (
+  SELECT c, d, md5(CAST(turns[1:d] AS VARCHAR)) AS key, d = len(turns) AS ends,
+         CASE WHEN d = 0 THEN 0 ELSE octet_length(encode(turns[d].text)) END AS bytes
+  FROM (SELECT c, turns, unnest(range(0, len(turns) + 1)) AS d FROM r)),
+n AS (
+  SELECT key, d AS depth, min(c) AS conv_id, count(*) AS n_convs, (count(*) - 1) * any_value(bytes) AS own,
+         sha256(coalesce(string_agg(CAST(c AS VARCHAR), ',' ORDER BY c) FILTER (ends), '')) AS ends_sha256
+  FROM p GROUP BY key, d),
+m AS (SELECT n.key, p.key AS parent FROM n JOIN p ON p.c = n.conv_id AND p.d = n.depth - 1),
+k AS (SELECT parent, count(*) AS n_children FROM m GROUP BY parent),
+u AS (
+  SELECT p.key, sum(n.own)::BIGINT AS saved_tokens, count(*) FILTER (k.parent IS NULL) AS n_leaves
+  FROM n LEFT JOIN k ON k.parent = n.key JOIN p ON p.c = n.conv_id AND p.d <= n.depth GROUP BY p.key)
+SELECT n.conv_id, n.depth, q.conv_id AS parent_conv_id, n.n_convs, coalesce(k.n_children, 0) AS n_children,
+       u.n_leaves, u.saved_tokens, n.ends_sha256
+FROM n LEFT JOIN m ON m.key = n.key LEFT JOIN n AS q ON q.key = m.parent
+  LEFT JOIN k ON k.parent = n.key JOIN u ON u.key = n.key
+"""
+
 SQL = {
     "op1_exact_dedup": EXACT_DEDUP,
     "op2_mix_sources": MIXING,
@@ -147,4 +245,7 @@ SQL = {
     "op4_warc": WARC,
     "op5_substring_dedup": SUBSTRING_DEDUP,
     "op7_embedding_dedup": EMBEDDING_DEDUP,
+    "op11_collocations": COLLOCATIONS,
+    "op12_sharding": SHARDING,
+    "op13_conversation_trie": CONVERSATION_TRIE,
 }

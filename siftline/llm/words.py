@@ -92,8 +92,9 @@ class Words(NamedTuple):
     bounds: np.ndarray
 
 
-def split(block: Block) -> Words:
-    inside = ~BLANK[block.data]
+def split(block: Block, blank: np.ndarray = BLANK) -> Words:
+    """The words that bytes marked in ``blank`` leave."""
+    inside = ~blank[block.data]
     if not len(inside):
         none = np.zeros(0, np.int64)
         return Words(none, none, np.zeros(block.rows + 1, np.int64))
