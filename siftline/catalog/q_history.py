@@ -9,11 +9,22 @@ from siftline.catalog.fixtures import AS_OF, CLOCK, SOURCES
 from siftline.catalog.registry import query, stamp, stamp_sql
 from siftline.operators import dedup as O
 from siftline.operators import state as H
+from siftline.operators.history import KeyedHistory
 from siftline.plans.marts import spend_on
 from siftline.schemas import SEEN
+from siftline.session import stage, stage_path
 from siftline.sources.common import source_counts, zero_result_errors
 
 
+def kept_history(t, *columns):
+    """The given history, or the key and some columns of it, as a log-structured table."""
+    rows = t.history.select("dedup_key", *columns) if columns else t.history
+    buckets = int(t.spark.conf.get("spark.sql.shuffle.partitions"))
+    store = KeyedHistory(t.spark, stage_path(t.spark, "kept_history"), buckets, rows.schema)
+    store.insert(rows, 0)
+    return store
+
+
 @query(
     "keep_first_event",
     """SELECT user_id, event_type, event_id, value FROM (SELECT *, row_number() OVER
@@ -49,9 +60,9 @@ def known_keys(t):
         FROM @history h LEFT JOIN @postings p ON h.dedup_key = p.dedup_key""",
 )
 def touched_history(t):
-    return O.touch(t.history, t.postings, AS_OF).select(
-        "dedup_key", stamp("first_seen"), stamp("last_seen")
-    )
+    store = kept_history(t, "first_seen", "last_seen")
+    store.touch(t.postings, AS_OF, 1)
+    return store.read().select("dedup_key", stamp("first_seen"), stamp("last_seen"))
 
 
 @query(
@@ -95,12 +106,45 @@ def updated_history(t):
     known = t.history.select("dedup_key")
     texts = t.postings.select("dedup_key", "jd_text").join(known, "dedup_key", "left_semi")
     updates = _scored_all(t).join(texts, "dedup_key").withColumn("effective_date", F.lit(""))
-    return H.apply_updates(t.history, updates, AS_OF).select(
+    store = kept_history(t)
+    store.update(updates, AS_OF, 1)
+    return store.read().select(
         "dedup_key", *_UPDATED, stamp("first_seen"), F.md5("jd_text").alias("text_md5"),
         stamp("last_seen"),
     )
 
 
+@query(
+    "history_after_days",
+    f"""SELECT h.dedup_key, CASE WHEN s.score IS NOT NULL THEN s.score ELSE h.match_score END AS match_score,
+        strftime(CASE WHEN p.seq % 10 >= 4 THEN {CLOCK} WHEN p.seq IS NOT NULL AND h.old THEN TIMESTAMP '2024-01-30 00:00:00'
+                      ELSE h.last_seen END, '%Y-%m-%d %H:%M:%S') AS last_seen, md5(h.jd_text) AS text_md5
+        FROM (SELECT dedup_key, match_score, last_seen, jd_text, true AS old FROM @history
+              UNION ALL SELECT dedup_key, 0.0E0, {CLOCK}, '', false FROM @postings
+                        WHERE dedup_key NOT IN (SELECT dedup_key FROM @history)) h
+        LEFT JOIN @postings p ON h.dedup_key = p.dedup_key
+        LEFT JOIN (SELECT doc_id, CASE quality WHEN 1 THEN 80.0E0 ELSE 20.0E0 END AS score FROM labels
+                   WHERE quality IS NOT NULL) s ON s.doc_id = p.seq""",
+)
+def history_after_days(t):
+    """Two days of touches, new rows and scores, a compaction between them, and a day that is run twice."""
+    columns = ["match_score", "last_seen", "jd_text"]
+    store = kept_history(t, *columns)
+    batch = t.postings.select("dedup_key", "seq")
+    scores = t.read("labels").join(batch, F.col("doc_id") == F.col("seq")).select(
+        "dedup_key", F.when(F.col("quality") == 1, 80.0).when(F.col("quality") == 0, 20.0).alias("score")
+    )
+    store.touch(batch, "2024-01-30 00:00:00", 1)
+    store.set_scores(scores.withColumn("score", F.lit(1.0)), 1)
+    store.compact(1)
+    for _ in range(2):
+        fresh = stage(H.first_sight(O.new_rows(t.postings, store.keys(before=2)), AS_OF), "fresh").select("dedup_key", *columns)
+        store.insert(fresh, 2)
+        store.touch(batch.where("seq % 10 >= 4"), AS_OF, 2)
+        store.set_scores(scores, 2)
+    return store.read().select("dedup_key", "match_score", stamp("last_seen"), F.md5("jd_text").alias("text_md5"))
+
+
 @query(
     "unscored_rows",
     "SELECT dedup_key FROM @features WHERE NOT keyword_score >= 2",

@@ -13,7 +13,6 @@ from siftline.catalog.registry import query
 from siftline.functions import scores as S
 from siftline.operators import scoring as O
 from siftline.operators.ranking import top_recommendations, with_ranking_score
-from siftline.operators.state import set_score
 from siftline.plans.daily import posting_features
 from siftline.session import stage
 
@@ -149,5 +148,9 @@ def ranking_scores(t):
        FROM @history h LEFT JOIN @scored_all s ON h.dedup_key = s.dedup_key""",
 )
 def score_updates(t):
+    from siftline.catalog.q_history import kept_history
+
     scores = _scored_all(t).select("dedup_key", F.col("ai_match_score").alias("score"))
-    return set_score(t.history, scores).select("dedup_key", "match_score")
+    store = kept_history(t, "match_score")
+    store.set_scores(scores, 1)
+    return store.read().select("dedup_key", "match_score")

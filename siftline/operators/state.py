@@ -49,6 +49,30 @@ def add_keys(rows: DataFrame, table: str, buckets: int, **options: str) -> None:
     writer.bucketBy(buckets, "dedup_key").sortBy("dedup_key").saveAsTable(table)
 
 
+def update_columns(
+    updates: DataFrame, as_of: datetime | str | Column, kept_text: int | None = None
+) -> dict[str, Column]:
+    """What an update gives to history, by column, in terms of the columns of ``updates``.
+
+    Identity, first sight, status and notes are left alone.  Job texts are kept
+    whole, or cut to ``kept_text`` code points.
+    """
+    given = {c: F.col(c) for c in UPDATED_COLUMNS if c in updates.columns}
+    new = dict(given)
+    if "jd_text" in new and kept_text is not None:
+        new["jd_text"] = cut(new["jd_text"], kept_text)
+    if {"effective_date", "posted_date", "scraped_at"} <= set(given):
+        new["effective_date"] = F.coalesce(
+            F.nullif(given["effective_date"], F.lit("")),
+            F.nullif(given["posted_date"], F.lit("")),
+            iso_text(given["scraped_at"]),
+        )
+    if "ai_match_score" in new:
+        new["match_score"] = given["ai_match_score"]
+    new["last_seen"] = as_timestamp(as_of)
+    return new
+
+
 def apply_updates(
     seen: DataFrame,
     updates: DataFrame,
@@ -57,28 +81,15 @@ def apply_updates(
 ) -> DataFrame:
     """Overwrite the processed columns of history rows that ``updates`` has.
 
-    Keys that history lacks are ignored; identity, first sight, status and notes
-    are left alone.  Columns missing from ``updates`` keep their value.  Job texts
-    are kept whole, or cut to ``kept_text`` code points.
+    Keys that history lacks are ignored.  Columns missing from ``updates`` keep
+    their value.
     """
-    given = [c for c in UPDATED_COLUMNS if c in updates.columns]
-    fresh = updates.select("dedup_key", F.struct(*given).alias("_new"))
+    given = {c: v for c, v in update_columns(updates, as_of, kept_text).items() if c in seen.columns}
+    fresh = updates.select("dedup_key", F.struct(*[v.alias(c) for c, v in given.items()]).alias("_new"))
     hit = F.col("_new").isNotNull()
-    new = {c: F.col("_new")[c] for c in given}
-    if "jd_text" in new and kept_text is not None:
-        new["jd_text"] = cut(new["jd_text"], kept_text)
-    if "effective_date" in new and {"posted_date", "scraped_at"} <= set(given):
-        new["effective_date"] = F.coalesce(
-            F.nullif(new["effective_date"], F.lit("")),
-            F.nullif(new["posted_date"], F.lit("")),
-            iso_text(new["scraped_at"]),
-        )
-    if "ai_match_score" in new:
-        new["match_score"] = F.col("_new")["ai_match_score"]
-    new["last_seen"] = as_timestamp(as_of)
     return seen.join(fresh, "dedup_key", "left").select(
         *[
-            F.when(hit, new[c]).otherwise(F.col(c)).alias(c) if c in new else F.col(c)
+            F.when(hit, F.col("_new")[c]).otherwise(F.col(c)).alias(c) if c in given else F.col(c)
             for c in seen.columns
         ]
     )
