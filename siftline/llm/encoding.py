@@ -29,8 +29,9 @@ WITH_BLANKS = re.compile(rb"[\x20\x09-\x0D]*[^\x20\x09-\x0D]+|[\x20\x09-\x0D]+")
 NEIGHBOURING_BLANKS = (b"  ", b" \n", b"\n ", b"\n\n", b"\t", b"\v", b"\f", b"\r")
 SEPARATORS = b"\x1c\x1d\x1e\x1f"  # the only other blanks of ASCII
 OTHER_BLANKS = re.compile(r"[\x1c-\x1f\x85\xa0\u1680\u180e\u2000-\u200b\u2028\u2029\u202f\u205f\u3000\ufeff]")
-# Between a letter or digit and these, tokenizers always split; an apostrophe is another matter.
-TAIL = re.compile(r"(.*[A-Za-z0-9\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f])([.,!?;:*%$&#]+)", re.DOTALL)
+# Between a letter or digit and these, tokenizers always split; an apostrophe is another
+# matter, and so is the dotted capital I, whose lower case ends in a combining dot.
+TAIL = re.compile(r"(.*[A-Za-z0-9\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u024f])([.,!?;:*%$&#]+)", re.DOTALL)
 
 # A unit with one space before it is known by the rest of it, and one with a line
 # feed by itself; what has nothing or other blanks before it is marked.

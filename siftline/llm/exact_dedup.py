@@ -71,19 +71,19 @@ def exact_groups(docs: DataFrame, prefix: int = PREFIX) -> DataFrame:
     same_prefix = _with_company(same_length, ["norm_length", "prefix_hash"], "same_prefix")
 
     survivors = rows.join(same_prefix.select("row"), "row", "left_semi")
-    best = F.struct("chars", (-F.col("doc_id")).alias("order"), (-F.col("row")).alias("row"))
+    order = F.struct((-F.col("chars")).alias("chars"), F.col("doc_id").isNull().alias("unnamed"), "doc_id", "row")
     groups = stage(
         survivors.groupBy(F.col("text_sha256").alias("digest"))
-        .agg(F.count("*").alias("size"), F.max(best).alias("best"))
+        .agg(F.count("*").alias("size"), F.min(order).alias("best"))
         .filter("size > 1"),
         "groups",
     )
     alone = F.col("digest").isNull()
     return rows.join(groups, rows.text_sha256 == groups.digest, "left").select(
         "doc_id",
-        F.when(alone, F.col("doc_id")).otherwise(-F.col("best.order")).alias("keep_id"),
+        F.when(alone, F.col("doc_id")).otherwise(F.col("best.doc_id")).alias("keep_id"),
         F.coalesce("size", F.lit(1)).cast("long").alias("group_size"),
-        (alone | (F.col("row") == -F.col("best.row"))).alias("kept"),
+        (alone | (F.col("row") == F.col("best.row"))).alias("kept"),
         "text_sha256",
     )
 

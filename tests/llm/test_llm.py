@@ -150,6 +150,12 @@ def test_exact_groups_of_one_prefix_and_length(frame):
     assert as_tuples(got, "doc_id", "keep_id", "group_size", "kept") == [(0, 0, 2, True), (1, 3, 2, False), (2, 0, 2, False), (3, 3, 2, True)]
 
 
+def test_exact_groups_of_the_least_and_greatest_ids(frame):
+    ids = [-(2**63), 2**63 - 1, None]
+    got = exact_dedup.exact_groups(frame([(i, "same") for i in ids], "doc_id long, text string")).collect()
+    assert {(r.doc_id, r.keep_id, r.group_size, r.kept) for r in got} == {(i, -(2**63), 3, i == -(2**63)) for i in ids}
+
+
 def test_drop_copies_keeps_columns_and_one_row(docs, nothing):
     kept = exact_dedup.drop_copies(docs)
     assert kept.columns == docs.columns
@@ -482,6 +488,14 @@ def test_units_encode_like_whole_texts(name, keeps, monkeypatch):
     assert got == [ids[:-1] for ids in reference_ids(name, texts, 0)]
 
 
+@pytest.mark.parametrize(("name", "keeps"), [(BYTES, True), (WORDS, False)])
+def test_every_letter_before_every_mark(name, keeps):
+    letters = [chr(c) for c in range(0x30, 0x250) if chr(c).isalnum()]
+    texts = [f"a {x}{mark} {x}a{x}{mark}{mark} b" for x in letters for mark in ".,!?;:*%$&#"]
+    got = Encoder(tokenizers.path(name), keeps).encode(texts)
+    assert [np.frombuffer(x, "<u4").tolist() for x in got] == [ids[:-1] for ids in reference_ids(name, texts, 0)]
+
+
 @pytest.mark.parametrize("encoding", ["delta", "dictionary"])
 def test_token_files(spark, docs, encoding):
     path = work_folder(spark, "tokens")
