@@ -49,8 +49,8 @@ COVER = 50  # per cent of a phrase's occurrences inside a longer one that make i
 TOP = 2000
 SCALE = 1_000_000
 
-BLOCK_BYTES = 16 << 20
-ROUTE_BYTES = 64 << 20
+BLOCK_BYTES = 4 << 20
+ROUTE_BYTES = 16 << 20
 HOT = 1024
 SAMPLE_ROWS = 16_384
 SMALL = 1 << 13  # parts of so few pointers are finished by one sort
@@ -321,14 +321,14 @@ def _counted(routed: DataFrame, longest: int, least: int, hot: np.ndarray, route
         for batch in batches:
             for kind, data, words, langs, n in zip(*(batch.column(c) for c in ("kind", "data", "words", "langs", "n")), strict=True):
                 if kind.as_py() == SUFFIXES:
-                    parts.append(np.frombuffer(data.as_buffer(), np.uint64).reshape(longest + 1, -1).copy())
+                    parts.append(np.frombuffer(data.as_buffer(), np.uint64).reshape(longest + 1, -1))
                 elif kind.as_py() == WORDS:
                     ids = np.frombuffer(data.as_buffer(), np.int64).tolist()
                     vocabulary.update(zip(ids, zip(langs.as_py(), words.as_py().split(b" "), strict=True), strict=True))
                 else:
                     yield _words(TOTAL, [None], [n.as_py()], langs.as_py(), [None])
         table = np.concatenate([np.zeros((longest + 1, 0), np.uint64), *parts], axis=1)
-        parts.clear()
+        parts.clear()  # and the batches they lie in
         columns, weights = list(table[:longest]), table[longest].view(np.int64)
         frequent = hot
         order = multikey(columns, weights, least)
