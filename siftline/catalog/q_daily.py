@@ -17,7 +17,7 @@ from siftline.operators import companies as C
 from siftline.operators.canonical import group_members, merge_cross_platform, with_merge_columns
 from siftline.operators.dedup import new_rows
 from siftline.plans.daily import posting_features, run_daily
-from siftline.plans.exports import daily_exports, export_order
+from siftline.plans.exports import daily_exports, export_order, ordered_marts
 from siftline.plans.weekly import weekly_report
 from siftline.session import stage
 
@@ -222,14 +222,6 @@ def daily_new_companies(t):
     )
 
 
-def _row_counts(frames):
-    counts = [
-        df.groupBy().agg(F.count("*").alias("n_rows")).select(F.lit(name).alias("data_set"), "n_rows")
-        for name, df in frames.items()
-    ]
-    return reduce(lambda a, b: a.unionByName(b), counts)
-
-
 # Data set: its mart, what names a row, what it counts, and how it is sorted.
 _REPORT = {
     "weekly_category_match": ("role_match", "role_family", "job_count", "job_count DESC, role_family"),
@@ -243,8 +235,18 @@ _REPORT = {
         "experience_bands", "experience_range", "job_count",
         f"""list_position([{', '.join(f"'{b}'" for b in EXPERIENCE_BANDS)}], experience_range)""",
     ),
-    "weekly_trends": ("weekly_trends", "metric", "CAST(0 AS BIGINT)", "metric"),
-    "weekly_health": ("weekly_health", "'all'", "CAST(0 AS BIGINT)", "1"),
+    # Averages have one decimal place.
+    "weekly_trends": (
+        "weekly_trends",
+        "metric || ' ' || direction || ' ' || CAST(CAST(ROUND(prev_week * 10) AS BIGINT) AS STRING)",
+        "CAST(ROUND(this_week * 10) AS BIGINT)", "metric",
+    ),
+    "weekly_health": (
+        "weekly_health",
+        "CAST(unique_new AS STRING) || '/' || CAST(recommended AS STRING) || '/' || CAST(error_runs AS STRING) || ' ' "
+        "|| COALESCE(failed_sources, '')",
+        "total_scraped", "1",
+    ),
 }
 
 
@@ -258,27 +260,62 @@ _REPORT = {
 )
 def weekly(t):
     """Every row of the report in its place."""
-    frames = weekly_report(t.seen, t.runs, PROFILE, AS_OF, ROLES, "other")
+    return _placed(weekly_report(t.seen, t.runs, PROFILE, AS_OF, ROLES, "other"), _REPORT)
+
+
+def _placed(frames, measures):
+    """Place, name and number of every row of each data set."""
 
     def placed(data_set, df):
-        _, name, number, _ = _REPORT[data_set]
+        name, number = measures[data_set][1:3]
         order = export_order(data_set, df) or [F.expr(name)]
         position = F.row_number().over(Window.orderBy(*order)).cast("bigint")
         return df.select(
             F.lit(data_set).alias("data_set"), position.alias("position"),
-            F.expr(name).alias("name"), F.expr(number).alias("number"),
+            F.expr(name).alias("name"), F.expr(number).cast("bigint").alias("number"),
         )
 
     return reduce(lambda a, b: a.unionByName(b), (placed(n, df) for n, df in frames.items()))
 
 
-@query(
-    "daily_exports",
-    f"""SELECT 'jobs_current' AS data_set, count(*) AS n_rows FROM @seen
-            WHERE first_seen >= CAST({CLOCK} AS DATE) - INTERVAL 30 DAY
-        UNION ALL SELECT 'daily_stats', count(*) FROM @runs
-        UNION ALL SELECT 'recommendations_today', LEAST(10, count(*)) FROM @seen
-            WHERE ai_match_score >= 40 AND last_seen >= CAST({CLOCK} AS DATE)""",
-)
+_DAY = "CAST(year(run_date) * 10000 + month(run_date) * 100 + day(run_date) AS STRING)"
+_EXPORTS = {
+    "jobs_current": (
+        f"SELECT * FROM @seen WHERE first_seen >= CAST({CLOCK} AS DATE) - INTERVAL 30 DAY",
+        "dedup_key || ' ' || company_type", "CAST(ROUND(ai_match_score * 100) AS BIGINT)", "ai_match_score DESC, dedup_key",
+    ),
+    "daily_stats": ("SELECT * FROM @runs", _DAY, "jobs_scraped", "run_date DESC"),
+    "recommendations_today": (
+        f"""SELECT * FROM @seen WHERE ai_match_score >= 40 AND last_seen >= CAST({CLOCK} AS DATE)
+            ORDER BY ranking_score DESC, dedup_key LIMIT 10""",
+        "dedup_key || ' ' || title", "CAST(ROUND(ranking_score * 100) AS BIGINT)", "ranking_score DESC, dedup_key",
+    ),
+}
+_ORDERED = {
+    "cross_platform": (
+        SQL["cross_platform"], "canonical_key || ' ' || sources", "CAST(ROUND(best_score * 100) AS BIGINT)",
+        "best_score DESC, canonical_key",
+    ),
+    "weekly_experience_labels": (
+        SQL["weekly_experience"], "experience_required", "job_count", "job_count DESC, experience_required",
+    ),
+}
+
+
+def _placed_sql(measures):
+    return " UNION ALL ".join(
+        f"""SELECT '{data_set}' AS data_set, row_number() OVER (ORDER BY {order}) AS position,
+            {name} AS name, CAST({number} AS BIGINT) AS number FROM ({rows}) m"""
+        for data_set, (rows, name, number, order) in measures.items()
+    )
+
+
+@query("daily_exports", _placed_sql(_EXPORTS))
 def exports(t):
-    return _row_counts(daily_exports(t.seen, t.runs, AS_OF))
+    """Every row of the daily exports in its place."""
+    return _placed(daily_exports(t.seen, t.runs, AS_OF), _EXPORTS)
+
+
+@query("ordered_marts", _placed_sql(_ORDERED))
+def marts_in_order(t):
+    return _placed(ordered_marts(t.seen, AS_OF), _ORDERED)

@@ -7,10 +7,10 @@ from pyspark.sql import functions as F
 from siftline.catalog import twins as X
 from siftline.catalog.fixtures import AS_OF
 from siftline.catalog.registry import query
-from siftline.session import stage_path
+from siftline.session import stage, stage_path
 from siftline.sources import html_postings as H
 from siftline.sources import json_postings as J
-from siftline.sources.common import document_seq, recent, union_sources
+from siftline.sources.common import document_seq, numbered, recent, union_sources
 from siftline.operators.dedup import cap_per_source
 
 _JSON_ITEM = """to_json(named_struct('id', seq, 'url', url,
@@ -32,6 +32,11 @@ def nested_payloads(t):
     )
 
 
+def packed(rows):
+    """``seq`` of one source as a number, for documents and places as small as these."""
+    return rows.withColumn("seq", F.col("seq.document") * 1048576 + F.col("seq.position"))
+
+
 @query(
     "nested_json_source",
     """SELECT seq * 1048576 AS seq, source_id, url, title, company, location, experience_required,
@@ -41,7 +46,7 @@ def nested_payloads(t):
 )
 def nested_json_source(t):
     rows = J.nested_json_postings(nested_payloads(t), AS_OF)
-    return rows.drop("source", "jd_text", "scraped_at")
+    return packed(rows).drop("source", "jd_text", "scraped_at")
 
 
 @query(
@@ -59,6 +64,33 @@ def payload_files(t):
     )
 
 
+@query(
+    "payload_file_reports",
+    """SELECT file_id, CASE file_id % 7 WHEN 0 THEN 'not UTF-8' WHEN 1 THEN 'empty' WHEN 2 THEN 'truncated' END AS reason,
+       CASE WHEN file_id % 7 > 2 THEN postings ELSE 0 END AS postings
+       FROM (SELECT seq // 20 AS file_id, count(*) AS postings FROM @postings GROUP BY 1) f""",
+)
+def payload_file_reports(t):
+    """Files of twenty postings each, some of them wrongly encoded, blank or cut short, read without failing."""
+    root = stage_path(t.spark, "payload_files")
+    items = F.concat(F.lit('{"jobs": {"job": ['), F.array_join(F.collect_list("item"), ", "), F.lit("]}}"))
+    files = t.postings.withColumn("item", F.expr(_JSON_ITEM)).groupBy(F.expr("seq div 20").alias("file_id")).agg(items.alias("payload"))
+    kind = F.col("file_id") % 7
+    files = files.repartition("file_id").select("file_id", "payload")
+    plain = files.where(kind > 0).withColumn("payload", F.when(kind > 2, F.col("payload")).otherwise(F.lit(" "))).where(kind != 2)
+    plain.write.partitionBy("file_id").option("lineSep", " ").text(f"{root}/plain")
+    # Bytes that are no UTF-8, and the first ones of a compressed file, with nothing after them.
+    odd = {"wide": (kind == 0, F.col("payload"), "UTF-16"), "cut": (kind == 2, F.lit("\x1f\x8b\x08\x08"), "ISO-8859-1")}
+    for name, (chosen, payload, encoding) in odd.items():
+        written = files.where(chosen).withColumn("payload", payload).write.partitionBy("file_id")
+        plainly = {"ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
+        written.options(sep="\x01", quote="", encoding=encoding, **plainly).csv(f"{root}/{name}")
+    found = J.payload_files(t.spark, f"{root}/*")
+    file_id = F.regexp_extract("path", r"file_id=(\d+)", 1).cast("long")
+    jobs = F.size(F.try_variant_get(F.try_parse_json("payload"), "$.jobs.job", "array<variant>"))
+    return found.select(file_id.alias("file_id"), "reason", F.coalesce(F.when(F.col("payload").isNotNull(), jobs), F.lit(0)).cast("long").alias("postings"))
+
+
 @query(
     "page_reader",
     r"""SELECT page_id, len(regexp_extract_all(html, '<li>')) AS items, len(regexp_extract_all(html, '<p>')) AS paragraphs
@@ -99,7 +131,7 @@ _POLY = """CASE event_id % 4
 )
 def polymorphic_json_source(t):
     payloads = t.events.selectExpr("event_id AS payload_id", f"{_POLY} AS payload")
-    return J.polymorphic_json_postings(payloads, AS_OF).select(
+    return packed(J.polymorphic_json_postings(payloads, AS_OF)).select(
         "seq", "source_id", "url", "title", "company", "location"
     )
 
@@ -136,7 +168,7 @@ def embedded_json_source(t):
             ).alias("html"),
         )
     )
-    return J.embedded_json_postings(pages, AS_OF).select("seq", "source_id", "title", "company")
+    return packed(J.embedded_json_postings(pages, AS_OF)).select("seq", "source_id", "title", "company")
 
 
 _STRIP = "regexp_replace({c}, '^{w}|{w}$', '', 'g')"
@@ -189,7 +221,7 @@ def list_pages(t):
         FROM @postings""",
 )
 def html_list_source(t):
-    return H.html_list_postings(list_pages(t), AS_OF).select(
+    return packed(H.html_list_postings(list_pages(t), AS_OF)).select(
         "seq", "source_id", "url", "title", "company", "experience_required", "posted_date"
     )
 
@@ -248,7 +280,7 @@ _T, _C = _stripped("title"), _stripped("company")
         FROM @postings WHERE length({_T}) > 5 OR length({_C}) > 5""",
 )
 def html_card_source(t):
-    return H.html_card_postings(card_pages(t), AS_OF).select(
+    return packed(H.html_card_postings(card_pages(t), AS_OF)).select(
         "seq", "source_id", "url", "title", "company", "location", "experience_required"
     )
 
@@ -286,7 +318,22 @@ UNION ALL SELECT 54043195528445952 + page_id, 'wanted', CAST(page_id AS STRING),
     "source_union", f"SELECT *, source || ':' || source_id AS dedup_key FROM ({_UNION}) u"
 )
 def source_union(t):
-    return union_sources(_four_sources(t)).select("seq", "source", "source_id", "url", "dedup_key")
+    return _ranked(union_sources(_four_sources(t))).select("seq", "source", "source_id", "url", "dedup_key")
+
+
+def _ranked(batch):
+    """``seq`` as a number, for ranks, documents and places as small as these."""
+    own = F.when(F.col("source") == "incruit", F.col("seq.document") * 1048576 + F.col("seq.position"))
+    return batch.withColumn("seq", F.col("seq.rank") * (1 << 54) + F.coalesce(own, F.col("seq.document")))
+
+
+@query(
+    "numbered_union",
+    f"""SELECT row_number() OVER (ORDER BY seq) - 1 AS seq, source, source_id FROM ({_UNION}) u""",
+)
+def numbered_union(t):
+    """The batch of all sources with whole numbers from 0 in order of arrival."""
+    return numbered(stage(union_sources(_four_sources(t)), "union")).select("seq", "source", "source_id")
 
 
 @query(
@@ -295,7 +342,7 @@ def source_union(t):
         ORDER BY seq) AS n FROM ({_UNION}) u) v WHERE n <= 50""",
 )
 def source_union_capped(t):
-    return cap_per_source(union_sources(_four_sources(t)), 50).select("source", "source_id", "seq")
+    return _ranked(cap_per_source(union_sources(_four_sources(t)), 50)).select("source", "source_id", "seq")
 
 
 @query(

@@ -17,6 +17,7 @@ from siftline.functions.text import cut
 from siftline.operators import companies as C
 from siftline.operators.canonical import merge_cross_platform, with_merge_columns
 from siftline.operators.dedup import already_seen, latest_sightings, new_rows, touch
+from siftline.operators.history import KeyedHistory
 from siftline.operators.ranking import (
     MAX_RECOMMENDATIONS,
     top_recommendations,
@@ -36,7 +37,7 @@ from siftline.operators.state import apply_updates, first_sight, replace_rows, r
 from siftline.plans.marts import AsOf
 from siftline.schemas import COMPANY_CACHE, SEEN, SEEN_COLUMNS, SOURCE_ORDER, struct_of
 from siftline.session import stage as stage_table
-from siftline.sources.common import source_counts, with_dedup_key, zero_result_errors
+from siftline.sources.common import numbered, source_counts, with_dedup_key, zero_result_errors
 
 # Age in days beyond which a posting is dropped.
 MAX_AGE_DAYS = 30
@@ -128,7 +129,7 @@ def run_daily(
         postings = with_dedup_key(postings)
     postings = stage(postings, "batch")
     features = posting_features(postings, profile, as_of, employer_rules, min_score)
-    fresh = stage(new_rows(features, seen), "fresh")
+    fresh = numbered(stage(new_rows(features, seen), "fresh"), stage)
 
     merged = merge_cross_platform(fresh).where(
         D.within_age(F.col("freshness_days"), max_age_days)
@@ -171,15 +172,15 @@ def run_daily(
         .withColumn("positioning_advice", F.coalesce("_advice", "positioning_advice"))
         .withColumns({c: F.coalesce(F.col(c), F.lit("")) for c in extra})
     )
-    numbered = first_sight(fresh, as_of, keep=["seq"])
-    # The one shuffle of job texts: those of processed postings, by seq.
+    first_rows = first_sight(fresh, as_of, keep=["arrival"])
+    # The one shuffle of job texts: those of processed postings, by arrival.
     text = F.col("jd_text") if kept_text is None else cut(F.col("jd_text"), kept_text)
-    texts = postings.select("seq", text.alias("_text")).join(
-        scored.select("seq"), "seq", "left_semi"
+    texts = postings.select(F.col("seq").alias("arrival"), text.alias("_text")).join(
+        scored.select("arrival"), "arrival", "left_semi"
     )
     history = (
-        apply_updates(numbered, updates, as_of)
-        .join(texts, "seq", "left")
+        apply_updates(first_rows, updates, as_of)
+        .join(texts, "arrival", "left")
         .withColumn("jd_text", F.coalesce("_text", "jd_text"))
         .select(*SEEN_COLUMNS)
     )
@@ -222,6 +223,15 @@ def run_daily(
     )
 
 
+def keep_run(result: DailyRun, history: KeyedHistory, as_of: AsOf, run_id: int) -> None:
+    """Add a run to a history that is kept in buckets: its new rows, and a touch for the keys seen again.
+
+    A repeated run replaces its own part; ``seen`` of the next one is ``history.read()``.
+    """
+    history.insert(result.history, run_id)
+    history.touch(result.sightings, as_of, run_id)
+
+
 def load_state(spark: SparkSession, root: str, before_run: int) -> tuple[DataFrame, DataFrame]:
     """History and employer cache as the runs below ``before_run`` left them.
 

@@ -20,6 +20,8 @@ SORTED_BY = {
     "jobs_current": ("ai_match_score", "dedup_key"),
     "daily_stats": ("run_date", "run_id"),
     "recommendations_today": ("ranking_score", "dedup_key"),
+    "cross_platform": ("best_score", "canonical_key"),
+    "weekly_experience_labels": ("job_count", "experience_required"),
     "weekly_category_match": ("job_count", "role_family"),
     "weekly_company_type": ("avg_ai_score", "company_type", "confidence"),
     "weekly_skills": ("mention_count", "skill"),
@@ -49,6 +51,14 @@ def daily_exports(seen: DataFrame, runs: DataFrame, as_of: M.AsOf) -> dict[str,
     }
 
 
+def ordered_marts(seen: DataFrame, as_of: M.AsOf) -> dict[str, DataFrame]:
+    """The marts that have an order but are in no export."""
+    return {
+        "cross_platform": M.cross_platform(seen),
+        "weekly_experience_labels": M.weekly_experience(seen, as_of),
+    }
+
+
 def exports_due(
     seen: DataFrame, runs: DataFrame, profile: Profile, as_of: datetime | str
 ) -> dict[str, DataFrame]:

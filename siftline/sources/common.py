@@ -2,53 +2,27 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from datetime import datetime
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from siftline.functions.freshness import as_timestamp, days_back
 from siftline.functions.text import dedup_key
 from siftline.operators.dedup import cap_per_source
+from siftline.operators.numbering import dense_numbers
 from siftline.schemas import POSTING_TEXTS, SOURCE_ORDER
+from siftline.session import stage as stage_table
 
 # Rows read per source and run, and days a source looks back.
 MAX_PER_SOURCE = 50
 RECENT_DAYS = 30
 
-# seq = source rank (3 bits) | document number (34 bits) | position in it (20 bits)
-_POSITION_BITS = 20
-_SOURCE_BITS = 54
-_MAX_SOURCES = 8
-
-# A document number made while reading = partition (20 bits) | row in it (14 bits)
-_PARTITION_BITS, _ROW_BITS = 20, 14
-
-
 def document_seq(document: Column, position: Column) -> Column:
-    """Number of a posting by document and place; fails rather than hand one out twice."""
-    document = document.cast("bigint")
-    fits = document.between(0, (1 << _SOURCE_BITS - _POSITION_BITS) - 1) & position.between(
-        0, (1 << _POSITION_BITS) - 1
-    )
-    return F.when(fits, F.shiftleft(document, _POSITION_BITS) + position).when(
-        document.isNotNull() & position.isNotNull(),
-        F.raise_error(F.lit("document or position too large for a sequence number")),
-    )
-
-
-def read_order_number() -> Column:
-    """Number of a document in the order of reading, short enough for ``seq``.
-
-    Fails rather than hand out a number twice.
-    """
-    raw = F.monotonically_increasing_id()  # partition << 33 | row
-    partition, row = F.shiftright(raw, 33), raw.bitwiseAND(F.lit((1 << 33) - 1))
-    fits = (partition < (1 << _PARTITION_BITS)) & (row < (1 << _ROW_BITS))
-    return F.when(fits, F.shiftleft(partition, _ROW_BITS) + row).otherwise(
-        F.raise_error(F.lit("too many documents per partition to number them while reading"))
-    )
+    """Where a posting stands: document and place in it, as one sortable value of any size."""
+    return F.struct(document.cast("bigint").alias("document"), position.cast("bigint").alias("position"))
 
 
 def as_postings(
@@ -74,15 +48,13 @@ def union_sources(
     order: Sequence[str] = SOURCE_ORDER,
     max_per_source: int | None = None,
 ) -> DataFrame:
-    """One batch from all sources; ``seq`` follows source order, then position."""
-    if len(order) > _MAX_SOURCES:
-        raise ValueError(f"at most {_MAX_SOURCES} sources per batch")
+    """One batch from all sources; ``seq`` follows source order, then position.
+
+    It is a sortable value (rank, document, position); :func:`numbered` makes
+    whole numbers of it.
+    """
     ranked = [
-        frames[name].withColumn(
-            "seq", F.col("seq") + F.lit(rank << _SOURCE_BITS).cast("bigint")
-        )
-        for rank, name in enumerate(order)
-        if name in frames
+        _placed(frames[name], rank) for rank, name in enumerate(order) if name in frames
     ]
     batch = ranked[0]
     for frame in ranked[1:]:
@@ -91,6 +63,26 @@ def union_sources(
     return batch if max_per_source is None else cap_per_source(batch, max_per_source)
 
 
+def _placed(frame: DataFrame, rank: int) -> DataFrame:
+    """``frame`` with the rank of its source before its own order, which may be plain numbers."""
+    own = F.col("seq")
+    if not isinstance(frame.schema["seq"].dataType, T.StructType):
+        own = document_seq(own, F.lit(0))
+    place = F.struct(F.lit(rank).alias("rank"), own["document"].alias("document"), own["position"].alias("position"))
+    return frame.withColumn("seq", place)
+
+
+def numbered(postings: DataFrame, stage: Callable[[DataFrame, str], DataFrame] = stage_table) -> DataFrame:
+    """``postings`` with ``seq`` as whole numbers from 0 in the order it gave, which goes to ``arrival``.
+
+    Plain numbers are taken as they are.
+    """
+    placed = postings.withColumn("arrival", F.col("seq"))
+    if not isinstance(postings.schema["seq"].dataType, T.StructType):
+        return placed
+    return dense_numbers(placed.drop("seq"), ["arrival"], "seq", stage)
+
+
 def recent(
     postings: DataFrame,
     as_of: datetime | str | Column,

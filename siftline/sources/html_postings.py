@@ -1,35 +1,32 @@
 """Postings in HTML pages: list items, and cards read by position.
 
-A page frame has ``page_id`` (a whole number giving the order) and ``html``.
-Markup is cut up by JVM regular expressions, so no page leaves the JVM.  Pages
-with irregular markup can go through :func:`extract_with` instead.
+A page frame has ``page_id`` (a whole number giving the order) and ``html``.  A
+page is read once, in an Arrow batch: each card is found by its opening tag, ends
+at the closing tag that matches, and gives all its fields at once.  Pages with
+irregular markup can go through :func:`extract_with` instead.
 """
 
 from __future__ import annotations
 
-import re
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from datetime import datetime
-from html.entities import name2codepoint
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from siftline.functions.text import SPACE, strip
 from siftline.operators.dedup import keep_first
+from siftline.sources import markup as M
 from siftline.sources.common import as_postings, document_seq
 
 # Words that mark an experience label or a location label.
 EXPERIENCE_WORDS = ("경력", "신입")
 REGION_WORDS = ("서울", "경기", "부산", "대구", "인천", "전국", "대전", "광주", "울산", "세종")
 
-_REFERENCE = r"&(#\d{1,7}|#[xX][0-9a-fA-F]{1,6}|[A-Za-z][A-Za-z0-9]{1,31});"
-_AMPERSANDS = ("&amp;", "&#38;", "&#x26;")
-
-_LINK = r"(?is)<a\b[^>]*>.*?</a>"
-_SPAN = r"(?is)<span\b[^>]*>(.*?)</span>"
+_LINK = r"<a\b[^>]*>.*?</a>"
+_SPAN = r"<span\b[^>]*>(.*?)</span>"
 
 
 def _tag(name: str, token: str) -> str:
@@ -39,7 +36,7 @@ def _tag(name: str, token: str) -> str:
 
 @dataclass(frozen=True)
 class ListLayout:
-    """Where a list page keeps its parts, as regular expressions for opening tags.
+    """Where a list page keeps its parts, as regular expressions for opening tags (see ``markup.pattern``).
 
     A part left ``None`` is not looked for, except that a missing ``title_box``
     means the title link may stand anywhere in the item.
@@ -70,131 +67,93 @@ LIST_PAGE = ListLayout(
 
 # The card page of another.
 CARD_HOST = "https://www.jobkorea.co.kr"
-CARD_OPEN = r"""(?i)<div\b[^>]*\bclass\s*=\s*["'][^"']*shadow-list[^"']*["'][^>]*>"""
+CARD_OPEN = r"""<div\b[^>]*\bclass\s*=\s*["'][^"']*shadow-list[^"']*["'][^>]*>"""
 CARD_LINK_MARK = "GI_Read"
 CARD_ID = r"GI_Read/(\d+)"
 MIN_TITLE, MIN_COMPANY = 5, 1
 
 
-def unescaped(text: Column) -> Column:
-    """Character references, numeric and named, as the characters they stand for.
-
-    Unknown ones stay as they are.  References to the ampersand come last, so
-    that what they produce is not read as a reference again.
-    """
-    named = F.create_map(*[F.lit(x) for k, v in sorted(name2codepoint.items()) for x in (k, chr(v))])
-
-    def char(reference: Column) -> Column:
-        body = F.substring(reference, 2, F.length(reference) - 2)
-        digits = F.when(
-            F.lower(F.substring(body, 1, 2)) == "#x",
-            F.conv(F.substring(body, 3, F.length(body)), 16, 10),
-        ).when(F.startswith(body, F.lit("#")), F.substring(body, 2, F.length(body)))
-        number = digits.cast("bigint")
-        valid = number.between(1, 0x10FFFF) & ~number.between(0xD800, 0xDFFF)
-        numeric = F.decode(F.unhex(F.lpad(F.hex(number), 8, "0")), "UTF-32")
-        return F.when(digits.isNull(), F.coalesce(F.try_element_at(named, body), reference)).when(
-            valid, numeric
-        ).otherwise(reference)
-
-    found = F.array_distinct(F.regexp_extract_all(text, F.lit(_REFERENCE), F.lit(0)))
-    last = F.array(*[F.lit(x) for x in _AMPERSANDS])
-    ordered = F.concat(F.array_except(found, last), F.array_intersect(found, last))
-    replaced = F.aggregate(ordered, text, lambda done, x: F.replace(done, x, char(x)))
-    return F.when(F.contains(text, F.lit("&")), replaced).otherwise(text)
-
-
-def element(fragment: Column, name: str) -> Column:
-    """What stands before the closing tag that matches an opening one just before ``fragment``.
-
-    Tags of that name are walked once, counting how deep they are nested; without
-    a matching closing tag it is all of ``fragment``.
-    """
-    tag = rf"(?is)</?{name}\b[^>]*>"
-    steps = F.zip_with(
-        F.split(fragment, tag),
-        F.regexp_extract_all(fragment, F.lit(tag), F.lit(0)),
-        lambda text, t: F.struct(
-            F.length(text).alias("text"),
-            F.length(t).alias("tag"),
-            F.when(F.startswith(t, F.lit("</")), -1).otherwise(1).alias("turn"),
-        ),
-    )
-    start = F.struct(F.lit(1).alias("depth"), F.lit(0).alias("at"))
-    end = F.aggregate(
-        # The piece after the last tag has none.
-        F.filter(steps, lambda x: x["tag"].isNotNull()),
-        start,
-        lambda done, x: F.when(done["depth"] == 0, done).otherwise(
-            F.struct(
-                (done["depth"] + x["turn"]).alias("depth"),
-                F.when(done["depth"] + x["turn"] == 0, done["at"] + x["text"])
-                .otherwise(done["at"] + x["text"] + x["tag"])
-                .alias("at"),
-            )
-        ),
-    )
-    return F.when(end["depth"] == 0, F.substring(fragment, F.lit(1), end["at"])).otherwise(fragment)
-
-
-def first_element(html: Column, opening: str) -> Column:
-    """Content of the first element whose opening tag matches; NULL when there is none."""
-    return element(F.get(F.split(html, f"(?i){opening}", 2), F.lit(1)), tag_name(opening))
-
-
-def tag_name(opening: str) -> str:
-    """Name in the pattern of an opening tag."""
-    return re.search(r"<(\w+)", opening)[1]
-
-
-def inner_text(fragment: Column) -> Column:
-    """Text of a fragment; each piece between tags is trimmed, then all joined."""
-    return strip(unescaped(F.regexp_replace(fragment, f"{SPACE}*<[^>]*>{SPACE}*", "")))
-
+CARD_FIELDS = ("source_id", "url", "title", "company", "location", "experience_required", "posted_date")
+_ROWS = "page_id long, position long, " + ", ".join(f"{c} string" for c in CARD_FIELDS) + ", complete boolean"
 
-def attribute(tag: Column, name: str) -> Column:
-    """Value of an attribute of the first tag in ``tag``; blank when absent."""
-    pattern = rf"""(?is)^<[^>]*?\s{name}\s*=\s*(?:"([^"]*)"|'([^']*)')"""
-    value = F.concat(F.regexp_extract(tag, pattern, 1), F.regexp_extract(tag, pattern, 2))
-    return unescaped(value)
+# Fields of a card by name, and whether it is a posting.
+Card = tuple[dict[str, str], bool]
 
 
-def _first(found: Column) -> Column:
-    return F.coalesce(F.get(found, F.lit(0)), F.lit(""))
+def absolute_url(href: str, host: str) -> str:
+    return href if href.startswith("http") else host + href
 
 
-def _all(text: Column, pattern: str, group: int) -> Column:
-    return F.regexp_extract_all(text, F.lit(pattern), F.lit(group))
-
-
-def _containing(texts: Column, words: tuple[str, ...]) -> Column:
-    """First text with one of ``words`` in it, else blank."""
-
-    def hit(t: Column) -> Column:
-        found = F.contains(t, F.lit(words[0]))
-        for w in words[1:]:
-            found = found | F.contains(t, F.lit(w))
-        return found
-
-    return _first(F.filter(texts, hit))
+def _read_cards(pages: DataFrame, cards: Callable[[str], Iterator[Card]]) -> DataFrame:
+    """One row per card of each page, as ``cards`` reads them, with the place on its page from 1."""
 
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = [
+                (page, position, *[fields.get(c, "") for c in CARD_FIELDS], complete)
+                for page, html in zip(batch.column("page_id").to_pylist(), batch.column("html"), strict=True)
+                for position, (fields, complete) in enumerate(cards(html.as_py() or ""), 1)
+            ]
+            columns = list(zip(*rows, strict=True)) or [()] * (len(CARD_FIELDS) + 3)
+            kinds = [pa.int64(), pa.int64(), *[pa.string()] * len(CARD_FIELDS), pa.bool_()]
+            yield pa.record_batch(
+                [pa.array(c, k) for c, k in zip(columns, kinds, strict=True)],
+                names=["page_id", "position", *CARD_FIELDS, "complete"],
+            )
 
-def _pieces(pages: DataFrame, html: Column, opening: str) -> DataFrame:
-    """One row per card: the content of each element that an opening tag begins.
+    numbered = pages.select(F.col("page_id").cast("long").alias("page_id"), "html")
+    return numbered.mapInArrow(read, _ROWS).withColumn("seq", document_seq(F.col("page_id"), F.col("position")))
 
-    An element inside another of the kind ends the outer one.
-    """
-    cards = F.split(html, opening)
-    return (
-        pages.select("page_id", F.posexplode(cards).alias("_pos", "_rest"))
-        .where(F.col("_pos") > 0)
-        .withColumn("card", element(F.col("_rest"), tag_name(opening)))
-        .withColumn("seq", document_seq(F.col("page_id"), F.col("_pos")))
-    )
 
-
-def absolute_url(href: Column, host: str) -> Column:
-    return F.when(href.startswith("http"), href).otherwise(F.concat(F.lit(host), href))
+def list_cards(html: str, layout: ListLayout) -> Iterator[Card]:
+    """The items of a list page."""
+    if layout.container:
+        html = M.first_element(html, layout.container) or ""
+    for card in M.elements(html, layout.item):
+        box = card
+        if layout.title_box:
+            box = M.first_element(card, layout.title_box) or ""
+        found = M.pattern(_LINK).search(box)
+        link = found[0] if found else ""
+        href, title = M.attribute(link, "href"), M.inner_text(link)
+        fields = {"url": absolute_url(href, layout.host), "title": title}
+        number = M.pattern(layout.id_pattern).search(href)
+        fields["source_id"] = number[1] if number else href
+        if layout.company_link:
+            around = M.first_element(card, layout.company_box) or "" if layout.company_box else card
+            company = M.pattern(f"{layout.company_link}(.*?)</a>").search(around)
+            fields["company"] = M.inner_text(company[1]) if company else ""
+        if layout.label:
+            labels = [M.inner_text(x[1]) for x in M.pattern(f"{layout.label}(.*?)</span>").finditer(box)]
+            fields["experience_required"] = M.first_with(labels, EXPERIENCE_WORDS)
+        if layout.date_box:
+            fields["posted_date"] = M.inner_text(M.first_element(card, layout.date_box) or "")
+        yield fields, bool(href and title)
+
+
+def position_cards(html: str) -> Iterator[Card]:
+    """The cards of a page whose parts are told apart by length and position."""
+    for card in M.elements(html, CARD_OPEN):
+        links = []
+        for link in M.pattern(_LINK).finditer(card):
+            href = M.attribute(link[0], "href")
+            if CARD_LINK_MARK in href:
+                links.append((href, M.inner_text(link[0])))
+        number = next((x for x in (M.pattern(CARD_ID).search(href) for href, _ in links) if x), None)
+        title_at = next((i for i, (_, text) in enumerate(links) if len(text) > MIN_TITLE), None)
+        complete = number is not None and title_at is not None
+        spans = [M.inner_text(x[1]) for x in M.pattern(_SPAN).finditer(card)]
+        after = [] if title_at is None else [text for _, text in links[title_at + 1 :] if len(text) > MIN_COMPANY]
+        fields = {
+            # Only a complete card takes its id; the others share the blank one.
+            "source_id": number[1] if complete else "",
+            "url": absolute_url(number.string, CARD_HOST) if number else "",
+            "title": links[title_at][1] if title_at is not None else "",
+            "company": after[0] if after else "",
+            "location": M.first_with(spans, REGION_WORDS),
+            "experience_required": M.first_with(spans, EXPERIENCE_WORDS),
+        }
+        yield fields, complete
 
 
 def html_list_postings(
@@ -205,51 +164,11 @@ def html_list_postings(
 ) -> DataFrame:
     """One posting per list item that has a link with an address and a text.
 
-    The id is the number in the address, else the address itself.
+    The id is the number in the address, else the address itself.  It counts as
+    taken even when its item turns out to have no title.
     """
-    html = F.col("html")
-    if layout.container:
-        html = first_element(html, layout.container)
-    card = F.col("card")
-    box = card
-    if layout.title_box:
-        box = F.coalesce(first_element(card, layout.title_box), F.lit(""))
-    link = F.regexp_extract(F.col("_box"), _LINK, 0)
-    company = F.lit("")
-    if layout.company_link:
-        around = card
-        if layout.company_box:
-            around = F.coalesce(first_element(card, layout.company_box), F.lit(""))
-        company = inner_text(F.regexp_extract(around, f"(?is){layout.company_link}(.*?)</a>", 1))
-    experience = F.lit("")
-    if layout.label:
-        labels = _all(F.col("_box"), f"(?is){layout.label}(.*?)</span>", 1)
-        experience = _containing(F.transform(labels, inner_text), EXPERIENCE_WORDS)
-    posted = F.lit("")
-    if layout.date_box:
-        posted = F.coalesce(inner_text(first_element(card, layout.date_box)), F.lit(""))
-    number = F.nullif(F.regexp_extract("_href", layout.id_pattern, 1), F.lit(""))
-    rows = (
-        _pieces(pages, html, f"(?i){layout.item}")
-        .withColumn("_box", box)
-        .withColumn("_link", link)
-        .withColumn("_href", attribute(F.col("_link"), "href"))
-        .select(
-            "seq",
-            F.coalesce(number, F.col("_href")).alias("source_id"),
-            absolute_url(F.col("_href"), layout.host).alias("url"),
-            inner_text(F.col("_link")).alias("title"),
-            company.alias("company"),
-            experience.alias("experience_required"),
-            posted.alias("posted_date"),
-            (F.col("_href") != "").alias("_linked"),
-        )
-    )
-    # An id counts as taken even when its item turns out to have no title.  Items
-    # without an address are dropped only here: a filter before the window would
-    # be pushed down and run the expressions above a second time.
-    kept = keep_first(rows, key="source_id").where(F.col("_linked") & (F.col("title") != ""))
-    return as_postings(kept, source, as_of)
+    rows = _read_cards(pages, lambda html: list_cards(html, layout))
+    return as_postings(keep_first(rows, key="source_id").where("complete"), source, as_of)
 
 
 def html_card_postings(
@@ -260,48 +179,8 @@ def html_card_postings(
     Of the links to the posting, the first text longer than 5 is the title and
     the next one longer than 1 the company.
     """
-    anchors = F.filter(
-        _all(F.col("card"), _LINK, 0),
-        lambda a: F.contains(attribute(a, "href"), F.lit(CARD_LINK_MARK)),
-    )
-    links = F.transform(
-        anchors, lambda a: F.struct(attribute(a, "href").alias("href"), inner_text(a).alias("text"))
-    )
-    numbered = F.filter("_links", lambda x: x["href"].rlike(CARD_ID))
-    long_enough = F.transform(
-        "_links", lambda x: F.length(x["text"]) > MIN_TITLE
-    )
-    title_at = F.array_position(long_enough, F.lit(True))  # 1-based, 0 when absent
-    after_title = F.slice(
-        F.col("_links"),
-        (F.col("_title_at") + 1).cast("int"),
-        F.greatest(F.size("_links") - F.col("_title_at").cast("int"), F.lit(0)),
-    )
-    company = F.filter(after_title, lambda x: F.length(x["text"]) > MIN_COMPANY)
-    complete = (F.col("_title_at") > 0) & (F.col("_href") != "")
-    rows = (
-        _pieces(pages, F.col("html"), CARD_OPEN)
-        .withColumn("_links", links)
-        .withColumn("_title_at", title_at)
-        .withColumn("_href", F.coalesce(F.get(numbered, F.lit(0))["href"], F.lit("")))
-        .withColumn("_spans", F.transform(_all(F.col("card"), _SPAN, 1), inner_text))
-        .select(
-            "seq",
-            # Only a complete card takes its id; the others share the blank one.
-            F.when(complete, F.regexp_extract("_href", CARD_ID, 1))
-            .otherwise("")
-            .alias("source_id"),
-            absolute_url(F.col("_href"), CARD_HOST).alias("url"),
-            F.coalesce(
-                F.get("_links", F.col("_title_at").cast("int") - 1)["text"], F.lit("")
-            ).alias("title"),
-            F.coalesce(F.get(company, F.lit(0))["text"], F.lit("")).alias("company"),
-            _containing(F.col("_spans"), REGION_WORDS).alias("location"),
-            _containing(F.col("_spans"), EXPERIENCE_WORDS).alias("experience_required"),
-            complete.alias("_complete"),
-        )
-    )
-    return as_postings(keep_first(rows, key="source_id").where("_complete"), source, as_of)
+    rows = _read_cards(pages, position_cards)
+    return as_postings(keep_first(rows, key="source_id").where("complete"), source, as_of)
 
 
 def extract_with(

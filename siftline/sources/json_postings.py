@@ -7,14 +7,17 @@ postings and no error; :func:`rejected_payloads` lists them.
 
 from __future__ import annotations
 
+import zlib
+from collections.abc import Iterator
 from datetime import datetime
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from siftline.functions.freshness import epoch_to_iso
 from siftline.operators.dedup import keep_first
-from siftline.sources.common import as_postings, document_seq, read_order_number
+from siftline.sources.common import as_postings, document_seq
 
 # Experience limit in years, and the address of a posting.
 MAX_YEARS = 5
@@ -25,28 +28,65 @@ _EMBEDDED = r"(?s)window\.__NEXT_DATA__\s*=\s*(\{.*?\})\s*;?\s*</script>"
 
 
 def read_payloads(spark: SparkSession, path: str, pass_over: bool = False) -> DataFrame:
-    """One payload per file under ``path``.
+    """One payload per file under ``path``, numbered in the order of reading.
 
-    A file that can't be read fails the job.  With ``pass_over`` it is left out,
-    and :func:`unread_payloads` tells which.
+    A file that can't be read, or is no UTF-8, fails the job.  With ``pass_over``
+    it is left out, and :func:`unread_payloads` tells which.
     """
-    files = _files(spark, path, pass_over)
-    return files.select(
-        read_order_number().alias("payload_id"), F.col("value").alias("payload")
-    )
+    if pass_over:
+        files = payload_files(spark, path).where("reason IS NULL").select("payload")
+    else:
+        files = spark.read.text(path, wholetext=True).select(F.col("value").alias("payload"))
+    return files.select(F.monotonically_increasing_id().alias("payload_id"), "payload")
 
 
 def unread_payloads(spark: SparkSession, path: str) -> DataFrame:
-    """The files under ``path`` that reading with ``pass_over`` leaves out, by path."""
-    there = spark.read.format("binaryFile").load(path).select("path")
-    read = _files(spark, path, True).select(F.col("_metadata.file_path").alias("read"), "value")
-    return there.join(read.select("read"), F.col("path") == F.col("read"), "left_anti")
+    """path, reason of the files under ``path`` that give no payload."""
+    return payload_files(spark, path).where("reason IS NOT NULL").select("path", "reason")
+
+
+def payload_files(spark: SparkSession, path: str) -> DataFrame:
+    """path, payload, reason: one row per file under ``path``; those without a payload say why.
+
+    No file fails its task: bytes are read as they are and decoded here, and a
+    file that can't be read at all is found missing in the end.  Spark passes over
+    files of no bytes.
+    """
+    reader = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
+    files = reader.option("ignoreCorruptFiles", "true").option("ignoreMissingFiles", "true").load(path)
+    read = files.select("path", "content").mapInArrow(_decoded, "path string, payload string, reason string")
+    lost = files.select("path").join(read.select("path"), "path", "left_anti")  # known by name, but not read
+    return read.unionByName(lost.select("path", F.lit(None).cast("string").alias("payload"), F.lit("unreadable").alias("reason")))
+
+
+def _decoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        found = [_text_of(content.as_py() or b"") for content in batch.column("content")]
+        yield pa.record_batch(
+            [batch.column("path"), pa.array([t for t, _ in found], pa.string()), pa.array([r for _, r in found], pa.string())],
+            names=["path", "payload", "reason"],
+        )
 
 
-def _files(spark: SparkSession, path: str, pass_over: bool) -> DataFrame:
-    skip = str(pass_over).lower()
-    reader = spark.read.option("ignoreCorruptFiles", skip).option("ignoreMissingFiles", skip)
-    return reader.text(path, wholetext=True)
+def _text_of(content: bytes) -> tuple[str | None, str | None]:
+    """The text of a file, or why it has none."""
+    if content[:2] == b"\x1f\x8b":
+        parts = []
+        while content:
+            member = zlib.decompressobj(31)
+            try:
+                parts.append(member.decompress(content))
+            except zlib.error:
+                return None, "damaged"
+            if not member.eof:
+                return None, "truncated"
+            content = member.unused_data
+        content = b"".join(parts)
+    try:
+        text = content.decode("utf-8-sig")
+    except UnicodeDecodeError:
+        return None, "not UTF-8"
+    return (text, None) if text.strip() else (None, "empty")
 
 
 def _parsed() -> Column:

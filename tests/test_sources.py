@@ -2,6 +2,7 @@
 
 import csv
 import glob
+import gzip
 
 import pytest
 from pyspark.sql import functions as F
@@ -9,7 +10,9 @@ from pyspark.sql import functions as F
 from siftline.sources import common as C
 from siftline.sources import csv_sink
 from siftline.sources import html_postings as H
+from siftline.operators.numbering import dense_numbers
 from siftline.sources import json_postings as J
+from siftline.sources import markup
 from tests.conftest import AS_OF
 
 
@@ -60,14 +63,59 @@ def test_payload_files(spark, tmp_path):
     assert J.rejected_payloads(payloads).count() == 1
 
 
-def test_read_order_numbers_are_short_and_checked(spark):
-    import pytest
+def test_file_reports(spark, tmp_path):
+    whole = b'{"data": [{"id": "1", "title": "t"}]}'
+    given = {
+        "good.json": whole,
+        "good.gz": gzip.compress(whole) + gzip.compress(b" "),
+        "mark.json": b"\xef\xbb\xbf" + whole,
+        "cut.gz": gzip.compress(whole)[:-9],
+        "bad.gz": b"\x1f\x8b" + b"\x00" * 30,
+        "latin.json": "caf\u00e9".encode("latin-1"),
+        "nothing.json": b"",
+        "blank.json": b" \n",
+        "no.json": b"oops",
+    }
+    for name, content in given.items():
+        (tmp_path / name).write_bytes(content)
+    got = {r.path.rpartition("/")[2]: (r.payload, r.reason) for r in J.payload_files(spark, str(tmp_path)).collect()}
+    text = whole.decode()
+    assert got == {
+        "good.json": (text, None), "good.gz": (text + " ", None), "mark.json": (text, None),
+        "cut.gz": (None, "truncated"), "bad.gz": (None, "damaged"), "latin.json": (None, "not UTF-8"),
+        "blank.json": (None, "empty"), "no.json": ("oops", None),
+    }
+    unread = {r.path.rpartition("/")[2] for r in J.unread_payloads(spark, str(tmp_path)).collect()}
+    assert unread == {n for n, (_, reason) in got.items() if reason}
+    payloads = J.read_payloads(spark, str(tmp_path), pass_over=True)
+    assert payloads.count() == 4 and len({r.payload_id for r in payloads.collect()}) == 4
+    assert ids(J.polymorphic_json_postings(payloads.limit(9), AS_OF)) == ["1"]
+
 
-    numbers = spark.range(0, 1000, 1, 4).select(C.read_order_number().alias("n"))
-    got = [r.n for r in numbers.collect()]
-    assert len(set(got)) == 1000 and max(got) < 1 << 34
-    with pytest.raises(Exception, match="too many documents"):
-        spark.range(0, 20_000, 1, 1).select(C.read_order_number().alias("n")).collect()
+def test_numbers_of_any_size(spark):
+    """Far more documents in one partition, and places in one document, than bits were once kept for."""
+    documents = spark.range(0, 40_000, 1, 1).select(
+        C.document_seq((1 << 61) - F.monotonically_increasing_id(), F.lit(0)).alias("seq"), F.lit("saramin").alias("source"), F.col("id").cast("string").alias("source_id")
+    )
+    places = spark.range(3).select(
+        C.document_seq(F.lit(5), F.col("id") * (1 << 40)).alias("seq"), F.lit("incruit").alias("source"), F.col("id").cast("string").alias("source_id")
+    )
+    plain = spark.range(3).select(F.col("id").alias("seq"), F.lit("wanted").alias("source"), F.col("id").cast("string").alias("source_id"))
+    got = C.numbered(C.union_sources({"wanted": plain, "incruit": places, "saramin": documents})).collect()
+    got.sort(key=lambda r: r.seq)
+    assert [r.seq for r in got] == list(range(40_006))
+    want = [f"saramin:{39_999 - i}" for i in range(40_000)] + [f"{s}:{i}" for s in ("incruit", "wanted") for i in range(3)]
+    assert [r.dedup_key for r in got] == want
+    assert [r.arrival.rank for r in got[39_999:40_001]] == [0, 1]
+    # Plain numbers stay.
+    assert sorted((r.seq, r.arrival) for r in C.numbered(plain).collect()) == [(0, 0), (1, 1), (2, 2)]
+
+
+def test_dense_numbers_of_equal_leading_columns(spark):
+    rows = spark.range(500).select(F.lit("hot").alias("a"), ((F.col("id") * 7919) % 500).alias("b"))
+    got = sorted((r.b, r.n) for r in dense_numbers(rows, ["a", "b"], "n").collect())
+    assert got == [(i, i) for i in range(500)]
+    assert dense_numbers(rows.limit(0), ["a", "b"], "n").count() == 0
 
 
 def test_embedded_json(spark):
@@ -183,13 +231,22 @@ def test_elements_end_at_their_own_closing_tag(spark):
     assert (card.title, card.company, card.location, card.experience_required) == ("Title only", "", "", "")
 
 
-def test_character_references(values):
-    given = ["&middot; &#44032;&#xAC00; &amp;lt; &lt; &nope; &#0; &#x110000; &#38;gt;&amp;", "plain", "a & b"]
-    assert values(H.unescaped(F.col("x")), given) == ["· 가가 &lt; < &nope; &#0; &#x110000; &gt;&", "plain", "a & b"]
+def test_character_references():
+    given = "&middot; &#44032;&#xAC00; &amp;lt; &lt; &nope; &#0; &#x110000; &#38;gt;&amp;"
+    assert markup.unescaped(given) == "\u00b7 \uac00\uac00 &lt; < &nope; &#0; &#x110000; &gt;&"
+    assert [markup.unescaped(x) for x in ("plain", "a & b")] == ["plain", "a & b"]
+
+
+def test_elements_and_attributes():
+    html = "<DIV class=x><div>a</div>b<br>c</DIV>d"
+    assert markup.first_element(html, r"<div\b[^>]*>") == "<div>a</div>b<br>c"
+    assert markup.first_element(html, r"<p>") is None
+    assert markup.elements("<li>1<li>2</li>3<ul><li>4", "<li>") == ["1", "2", "4"]
+    assert markup.inner_text(" a <b> c </b>\u3000d&nbsp; ") == "acd"
+    assert markup.attribute("""<a title="href='x'" href = 'y&amp;z'>""", "href") == "y&z"
+    assert markup.attribute('<a>< href="x">', "href") == ""
 
 
-def test_sequence_numbers_never_collide(spark):
-    df = spark.createDataFrame([(1, 1 << 20), (2, 0)], "d long, p long")
-    with pytest.raises(Exception, match="too large"):
-        df.select(C.document_seq(F.col("d"), F.col("p"))).collect()
-    assert df.where("d = 2").select(C.document_seq(F.col("d"), F.col("p"))).first()[0] == 2 << 20
+def test_pages_without_html(spark):
+    pages = spark.createDataFrame([(1, None), (2, "")], "page_id long, html string")
+    assert H.html_list_postings(pages, AS_OF).count() == H.html_card_postings(pages, AS_OF).count() == 0
