@@ -19,7 +19,8 @@ from siftline.operators.dedup import new_rows
 from siftline.plans.daily import posting_features, run_daily
 from siftline.plans.exports import daily_exports, export_order, ordered_marts
 from siftline.plans.weekly import weekly_report
-from siftline.session import stage
+from siftline.session import stage, stage_path
+from siftline.sources.csv_sink import write_csv_file
 
 
 
@@ -319,3 +320,27 @@ def exports(t):
 @query("ordered_marts", _placed_sql(_ORDERED))
 def marts_in_order(t):
     return _placed(ordered_marts(t.seen, AS_OF), _ORDERED)
+
+
+def _quoted(c):
+    return f"""CASE WHEN regexp_matches({c}, '[",]') THEN '"' || replace({c}, '"', '""') || '"' ELSE {c} END"""
+
+
+_LINE = f"{_quoted('dedup_key')} || ',' || {_quoted('title')} || ',' || {_quoted('match_reasons')}"
+
+
+@query(
+    "csv_file",
+    f"""SELECT 'EFBBBF' AS mark, line FROM (
+          SELECT 'dedup_key,title,match_reasons' AS line UNION ALL SELECT {_LINE} FROM (
+            SELECT dedup_key, replace(replace(title, chr(10), ' | '), chr(13), '') AS title, match_reasons FROM @seen)) x""",
+)
+def csv_file(t):
+    """The bytes of a written file: its mark, and its lines."""
+    path = f"{stage_path(t.spark, 'exports')}/postings.csv"
+    rows = t.seen.select("dedup_key", "title", "match_reasons")
+    write_csv_file(rows.orderBy("dedup_key"), path)
+    head = t.spark.read.format("binaryFile").load(path).select(F.hex(F.substring("content", 1, 3)).alias("mark"))
+    lines = t.spark.read.text(path).select(F.col("value").alias("line"))
+    # One row: the one file.
+    return lines.join(F.broadcast(head))

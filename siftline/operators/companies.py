@@ -11,6 +11,7 @@ from siftline.functions import rules as R
 from siftline.functions.freshness import as_timestamp
 from siftline.functions.text import normalize_company
 from siftline.operators.skew import lookup
+from siftline.session import stage
 
 # Searches per run, and marks of how a class came about.
 MAX_SEARCHES = 20
@@ -72,21 +73,23 @@ def company_verdicts(
     if snippets is None:
         judged = named.withColumn("_confirmed", F.lit(None).cast("boolean"))
     else:
-        # At most max_searches names, so they are broadcast to all evidence.
+        # Evidence is read once and where it lies: a flag per class and company is all
+        # that is shuffled, whichever companies the quota will choose.
+        lowered = F.lower("snippet")
+        flags = [F.max(R.contains_any(lowered, words)).alias(f"_flag_{i}") for i, words in enumerate(R.EVIDENCE_WORDS.values())]
+        found = snippets.groupBy("normalized_name").agg(F.lit(True).alias("_found"), *flags)
+        named = stage(named.join(found, "normalized_name", "left"), "named")
+        # At most max_searches names.
         chosen = (
-            named.where(~F.col("cached") & matched)
-            .join(snippets.select("normalized_name"), "normalized_name", "left_semi")
+            named.where(~F.col("cached") & matched & F.col("_found"))
             .orderBy("first_order")
             .limit(max_searches)
-            .select("normalized_name", "_pattern")
+            .select("normalized_name", F.lit(True).alias("_chosen"))
         )
-        confirms = R.evidence_confirms(F.col("_pattern"), F.lower("snippet"))
-        searched = (
-            snippets.join(F.broadcast(chosen), "normalized_name")
-            .groupBy("normalized_name")
-            .agg(F.max(confirms).alias("_confirmed"))
-        )
-        judged = named.join(F.broadcast(searched), "normalized_name", "left")
+        flag = F.lit(False)
+        for i, label in enumerate(R.EVIDENCE_WORDS):
+            flag = F.when(F.col("_pattern") == label, F.col(f"_flag_{i}")).otherwise(flag)
+        judged = named.join(F.broadcast(chosen), "normalized_name", "left").withColumn("_confirmed", F.when(F.col("_chosen"), flag))
 
     confirmed = F.col("_confirmed")
     company_type = (

@@ -82,33 +82,41 @@ def attach_responses(postings: DataFrame, responses: DataFrame) -> DataFrame:
     return postings.join(read_responses(responses), "dedup_key", "left")
 
 
-# The order number is narrowed down by so many bits at a time.
-_ORDER_BITS = (46, 30, 14, 0)
+# Order numbers are narrowed down by so many ranges at a time.
+_RANGES = 1 << 16
 
 
 def budget_border(priced: DataFrame, units: int, order: str = "seq") -> tuple[float, int] | None:
     """Keyword score and order of the posting whose ``_cost`` crosses the budget.
 
     The running sum never falls, so one row says all.  It is found on sums: by
-    score, then by ever finer ranges of ``order`` within the range before.  No
-    step shuffles postings, and none has more than 2^16 ranges.
+    score, then by ranges of the orders that are there, each narrowed to those of
+    its rows, until one is left.  Where the border's score has up to 2^16 rows with
+    consecutive numbers, that is two passes; 2^32 take three.  No step shuffles
+    postings, and none has more than 2^16 ranges.
     """
-    scope, left, border = priced, units, []
-    for bits in (None, *_ORDER_BITS):
-        key = F.col("keyword_score") if bits is None else F.shiftright(order, bits)
-        sums = scope.groupBy(key.alias("_key")).agg(F.sum("_cost").alias("_sum"))
-        first = F.col("_key").desc() if bits is None else F.col("_key").asc()
+    scope, left, low, high, score = priced, units, 0, 1, None
+    while low < high:
+        if score is None:
+            key, first = F.col("keyword_score"), F.col("_key").desc()
+        else:
+            width = -(-(high - low + 1) // _RANGES)
+            key, first = F.call_function("div", F.col(order) - F.lit(low), F.lit(width)), F.col("_key").asc()
+        sums = scope.groupBy(key.alias("_key")).agg(
+            F.sum("_cost").alias("_sum"), F.min(order).alias("_low"), F.max(order).alias("_high")
+        )
         running = F.sum("_sum").over(Window.orderBy(first).rowsBetween(Window.unboundedPreceding, 0))
         crossing = (
-            sums.select("_key", "_sum", running.alias("_running"))
+            sums.select("*", running.alias("_running"))
             .where((F.col("_running") > left) & (F.col("_running") - F.col("_sum") <= left))
             .first()
         )
         if crossing is None:
             return None
+        score = crossing["_key"] if score is None else score
         scope, left = scope.where(key == crossing["_key"]), left - (crossing["_running"] - crossing["_sum"])
-        border.append(crossing["_key"])
-    return border[0], border[-1]
+        low, high = crossing["_low"], crossing["_high"]
+    return score, low
 
 
 def spend_budget(

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from siftline.functions.rules import EXPERIENCE_BANDS, Profile
 from siftline.plans import marts as M
 from siftline.plans.weekly import weekly_report
-from siftline.sources.csv_sink import write_csv
+from siftline.sources.csv_sink import write_csv_file
 
 
 # What an export is sorted by, the first column descending; ties go by the
@@ -71,9 +71,9 @@ def exports_due(
 
 
 def write_exports(frames: Mapping[str, DataFrame], folder: str) -> list[str]:
-    """One CSV folder per data set; empty ones are left out.  Returns what was written."""
+    """One CSV file per data set, named after it; empty ones are left out.  Returns what was written."""
     return [
         name
         for name, df in frames.items()
-        if write_csv(_ordered(name, df), f"{folder.rstrip('/')}/{name}")
+        if write_csv_file(_ordered(name, df), f"{folder.rstrip('/')}/{name}.csv")
     ]

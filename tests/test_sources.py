@@ -215,6 +215,25 @@ def test_csv_sink(spark, tmp_path):
         assert list(csv.reader(f)) == [["n", "t"], ["1", 'a | "b", c'], ["2", ""]]
 
 
+def test_csv_file(spark, tmp_path):
+    path = tmp_path / "out" / "rows.csv"
+    df = spark.createDataFrame([(i, f'x "{i}", \u00e9\n ') for i in range(50)], "n int, t string").repartition(5).orderBy("n")
+    assert csv_sink.write_csv_file(df, str(path))
+    first = path.read_bytes()
+    assert first.startswith(b"\xef\xbb\xbfn,t\n") and first.count(b"\xef\xbb\xbf") == 1
+    with open(path, encoding="utf-8-sig", newline="") as f:
+        header, *rows = csv.reader(f)
+    assert header == ["n", "t"] and [r[0] for r in rows] == [str(i) for i in range(50)]
+    # An empty frame and a write that fails leave the old file; another replaces it.
+    assert not csv_sink.write_csv_file(df.where("n > 99"), str(path))
+    with pytest.raises(Exception):
+        csv_sink.write_csv_file(df.select(F.raise_error(F.lit("no")).alias("n")), str(path))
+    assert path.read_bytes() == first
+    assert csv_sink.write_csv_file(df.where("n < 2"), str(path)) and len(path.read_bytes()) < len(first)
+    assert [p.name for p in path.parent.iterdir() if "crc" not in p.name] == ["rows.csv"]
+    assert csv_sink.write_csv_file(df.where("n > 99"), str(path), skip_empty=False) and path.read_bytes() == b"\xef\xbb\xbfn,t\n"
+
+
 def test_elements_end_at_their_own_closing_tag(spark):
     lists = (
         '<div class="cBbslist_contenst"><div>ad</div>'
