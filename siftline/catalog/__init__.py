@@ -8,6 +8,7 @@ from siftline.catalog import (  # noqa: F401  (imported for what they register)
     q_daily,
     q_history,
     q_marts,
+    q_rollup,
     q_scores,
     q_sources,
     q_streams,
