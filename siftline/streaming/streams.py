@@ -52,15 +52,18 @@ class _Sightings(StatefulProcessor):
         self.handle = handle
         self.last = handle.getValueState("last", "last_us long")
 
-    def _remember(self, last_us: int) -> None:
-        known = self.last.get()[0] if self.last.exists() else None
+    def _remember(self, last_us: int) -> bool:
+        """Note a sight; whether the key wasn't known."""
+        state = self.last.get()  # each call goes to the store and back
+        known = state[0] if state is not None else None
         if known is not None and last_us <= known:
-            return
+            return False
         self.last.update((last_us,))
         if self.forget_ms is not None:
             if known is not None:
                 self.handle.deleteTimer(known // 1000 + self.forget_ms)
             self.handle.registerTimer(last_us // 1000 + self.forget_ms)
+        return known is None
 
     def handleInputRows(self, key: Any, rows: Iterator[Row], timerValues: Any) -> Iterator[Row]:
         first = last = None
@@ -68,9 +71,7 @@ class _Sightings(StatefulProcessor):
             if first is None or row["seq"] < first["seq"]:
                 first = row
             last = row["last_us"] if last is None else max(last, row["last_us"])
-        new = not self.last.exists()
-        self._remember(last)
-        yield Row(**{c: first[c] for c in self.columns}, last_us=last, new=new)
+        yield Row(**{c: first[c] for c in self.columns}, last_us=last, new=self._remember(last))
 
     def handleInitialState(self, key: Any, initialState: Row, timerValues: Any) -> None:
         self._remember(initialState["last_us"])
