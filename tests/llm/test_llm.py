@@ -496,6 +496,25 @@ def test_every_letter_before_every_mark(name, keeps):
     assert [np.frombuffer(x, "<u4").tolist() for x in got] == [ids[:-1] for ids in reference_ids(name, texts, 0)]
 
 
+@pytest.mark.parametrize(("name", "keeps"), [(BYTES, True), (WORDS, False)])
+def test_ids_of_random_and_long_texts(name, keeps):
+    """Odd letters, marks and blanks in any order; texts cut in sections; units too long to be remembered."""
+    r = random.Random(4)
+    alphabets = ["ab'sd\u0130I\u00e9\u00d7\u00f7\u00df1!.?\n\t \u0301\u00a0  \r", "ab'sd\u0130I\u00e91!.?\n\t  \r\u4e00"]
+    texts = ["".join(r.choice(a) for _ in range(r.randrange(40))) for a in alphabets for _ in range(5000)]
+    texts += ["x" * 100_000, "word. " * 500_000, " " * 100_000 + "a", "a\u00df! \n" * 500_000 + "  ", ""]
+    got = Encoder(tokenizers.path(name), keeps).encode(texts)
+    assert [np.frombuffer(x, "<u4").tolist() for x in got] == [ids[:-1] for ids in reference_ids(name, texts, 0)]
+
+
+def test_memory_of_units_is_bounded(monkeypatch):
+    monkeypatch.setattr("siftline.llm.encoding.MOST_IDS", 2000)
+    encoder = Encoder(tokenizers.path(WORDS), False)
+    for k in range(20):
+        encoder.encode([f"{k}{'unbroken' * 500} and words{k}"])
+        assert encoder.used < 2000 + 3000 and encoder.units < 2000
+
+
 @pytest.mark.parametrize("encoding", ["delta", "dictionary"])
 def test_token_files(spark, docs, encoding):
     path = work_folder(spark, "tokens")
