@@ -1,27 +1,27 @@
-"""Near-dedup of embeddings: small labels whole, large ones by sorted projection passes.
+"""Near-dedup of embeddings by sorted projection passes.
 
-A label whose vectors fill few blocks is compared whole, block by block.  In a
-larger one each pass hashes every vector by the signs of its products with random
-directions and sorts the vectors of the label by the concatenated signs; vectors
-at a small angle agree in many leading signs and end up near each other.  Each
-vector is compared with the next ``NEIGHBOURS`` in that order, in double precision,
-and what proves similar is united; passes differ in their directions, and the
-parts found by all of them are united into components.
+Each pass hashes every vector by the signs of its products with random directions
+and sorts the vectors of its label by the concatenated signs; vectors at a small
+angle agree in many leading signs and end up near each other.  Each vector is
+compared with the next ones in that order, in double precision, as many as the
+window of its label holds, and what proves similar is united; passes differ in
+their directions, and the parts found by all of them are united into components.
 
 How many passes a label takes follows from its number of vectors and from the
-angles in a sample of it, so that the estimated recall is ``RECALL`` at every size;
-``PASSES`` is the least.  Signs are taken of vectors less the mean of that sample,
-so that vectors to one side of the origin don't share most of them; comparisons
-use the vectors as they are.  A label for which passes would come to more rows
-than blocks do is compared whole as well.
+angles in a sample of it, so that the estimated recall is ``RECALL`` at every
+size.  A window holds ``NEIGHBOURS`` vectors; where angles are so even that a
+label would take very many passes, a wider one is taken if that is less work in
+all.  A label that has no more vectors than a window needs one pass, and is never
+cut by the border of a partition.  Signs are taken of vectors less the mean of
+the sample, so that vectors to one side of the origin don't share most of them;
+comparisons use the vectors as they are.
 
 Inside a task, links become parts by vectorised union, so a pass hands on at
 most one row per vector, however dense its surroundings.  The number of links of
 a vector is then counted exactly: all vectors it may be linked with are in its
 component, whose members are compared block by block; a block pair hands on one
-number per vector.  In labels taken by passes, about one isolated pair in a
-thousand that is just similar enough is missed; components that were split by a
-miss stay split.
+number per vector.  About one isolated pair in a thousand that is just similar
+enough is missed; components that were split by a miss stay split.
 
 Equal vectors of a label fall together first and count by their number.
 
@@ -46,16 +46,19 @@ from siftline.llm.groups import Groups, whole_groups
 from siftline.llm.tables import stage
 
 THRESHOLD = 0.93
-PASSES = 16
-NEIGHBOURS = 512
+NEIGHBOURS = 64
+PASSES = 8  # the least for a label that is larger than a window: links inside clusters don't enter the estimate
+WIDEST = 8192  # of windows; well below the rows of a range partition
+SORTED_ROW = 256  # comparisons that cost as much as a vector's part in one pass
+ROUND = 16  # passes made in one job
 RECALL = 0.999
 SAMPLE_ROWS = 2048
 PART_ROWS = 50_000
 BLOCK_ROWS = 1024
 CHUNK = 256
 
-PLAN_SCHEMA = "label long, size int, blocks long, passes int, centre array<double>"
-PASS_SCHEMA = "turn int, label long, size int, key long, rep long, vector "
+PLAN_SCHEMA = "label long, size int, n long, passes long, reach int, centre array<double>"
+PASS_SCHEMA = "turn int, label long, size int, reach int, key long, tie long, rep long, vector "
 
 
 def usable(vector: str) -> str:
@@ -86,12 +89,12 @@ def _directions(turn: int, size: int) -> np.ndarray:
     return np.random.default_rng([turn, size]).standard_normal((size, 64))
 
 
-def passes_needed(unit: np.ndarray, n: int, threshold: float, neighbours: int, most: int) -> int:
-    """Passes that find a pair just at the threshold with a chance of ``RECALL``, up to ``most + 1``.
+def passes_needed(unit: np.ndarray, n: int, threshold: float, reach: int) -> int:
+    """Passes that find a pair just at the threshold with a chance of ``RECALL``.
 
     ``unit`` is a sample of the ``n`` vectors.  Each gets a partner at the threshold,
     in the direction of another.  The two meet in a pass if they agree in as many
-    signs as leave room for no more than half of ``neighbours`` between them.
+    signs as leave room for no more than half of ``reach`` between them.
     Vectors similar to others of the sample are left out: they are joined through
     any of very many.
     """
@@ -117,64 +120,85 @@ def passes_needed(unit: np.ndarray, n: int, threshold: float, neighbours: int, m
     spread[np.arange(len(alone)), alone] = 0
     signs, shared = np.full(len(alone), 64), np.ones_like(spread)
     for k in range(64):
-        room = n * shared.sum(axis=1) / max(1, len(unit) - 1) <= neighbours / 2
+        room = n * shared.sum(axis=1) / max(1, len(unit) - 1) <= reach / 2
         signs[room & (signs == 64)] = k
         if room.all():
             break
         shared *= spread
     # A pair at the border of two range partitions is not compared.
-    missed = 1 - met**signs * (1 - min(0.5, neighbours / PART_ROWS))
-    low, high = 0, most + 1
+    missed = 1 - np.maximum(met, 0.01) ** signs * (1 - min(0.5, reach / PART_ROWS))
+    low, high = 0, 1
+    while (missed**high).mean() > 1 - RECALL:
+        low, high = high, 2 * high
     while high - low > 1:
         middle = (low + high) // 2
         low, high = (low, middle) if (missed**middle).mean() <= 1 - RECALL else (middle, high)
     return high
 
 
-def planned(different: DataFrame, threshold: float, passes: int, neighbours: int) -> DataFrame:
-    """label, size, passes, centre of the labels that passes suit better than blocks."""
+def suited(unit: np.ndarray, n: int, threshold: float, neighbours: int) -> tuple[int, int]:
+    """Passes and window of a label that is larger than a window, by the least work."""
+    choices, reach = [], neighbours
+    while reach <= max(neighbours, min(WIDEST, n // 4)):
+        passes = max(PASSES, passes_needed(unit, n, threshold, reach))
+        choices.append((passes * (SORTED_ROW + reach), passes, reach))
+        reach *= 2
+    return min(choices)[1:]
+
+
+def planned(different: DataFrame, threshold: float, neighbours: int) -> DataFrame:
+    """label, size, n, passes, reach, centre of every label."""
     keys = ["label", "size"]
-    blocks = F.ceil(F.col("n") / BLOCK_ROWS)
-    large = different.groupBy(*keys).agg(F.count("*").alias("n")).withColumn("blocks", blocks).filter(blocks > passes)
-    # No more of them than blocks of all vectors by passes.
-    sample = different.join(F.broadcast(large), keys).filter(F.pmod(F.xxhash64("rep"), F.col("n")) < SAMPLE_ROWS)
+    sizes = stage(different.groupBy(*keys).agg(F.count("*").alias("n")), "sizes")
+    small = F.col("n") <= neighbours + 1
+    covered = sizes.filter(small).select(
+        *keys, "n", F.lit(1).cast("long").alias("passes"), F.lit(neighbours).alias("reach"), F.lit(None).cast("array<double>").alias("centre")
+    )
+    sample = different.join(sizes.filter(~small), keys).filter(F.pmod(F.xxhash64("rep"), F.col("n")) < SAMPLE_ROWS)
 
     def plan(rows: pd.DataFrame) -> pd.DataFrame:
         unit = unit_rows(np.stack(rows["vector"].to_list()))
-        most = int(rows["blocks"].iloc[0])
-        needed = max(passes, passes_needed(unit, int(rows["n"].iloc[0]), threshold, neighbours, most))
-        return rows[[*keys, "blocks"]].head(1).assign(passes=needed, centre=[unit.mean(axis=0)])
+        passes, reach = suited(unit, int(rows["n"].iloc[0]), threshold, neighbours)
+        return rows[[*keys, "n"]].head(1).assign(passes=passes, reach=reach, centre=[unit.mean(axis=0)])
 
-    made = sample.select(*keys, "n", "blocks", "vector").groupBy(*keys).applyInPandas(plan, PLAN_SCHEMA)
-    return stage(made.filter("passes <= blocks").drop("blocks"), "plan")
+    made = sample.select(*keys, "n", "vector").groupBy(*keys).applyInPandas(plan, PLAN_SCHEMA)
+    return stage(covered.unionByName(made), "plan")
 
 
-def sorted_keys(vectors: DataFrame, plan: dict[tuple[int, int], tuple[int, np.ndarray]], turns: range) -> DataFrame:
-    """A row per pass in ``turns`` and vector, with its 64 concatenated signs as one number."""
+def sorted_keys(vectors: DataFrame, turns: range) -> DataFrame:
+    """A row per pass in ``turns`` and vector, with its 64 concatenated signs as one number.
+
+    ``vectors`` has the plan of its label beside each.  Where a window holds the
+    label, all signs count as the same and nothing tells its rows apart, so that
+    ranges don't cut it.
+    """
 
     def keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         weights = np.uint64(1) << np.arange(63, -1, -1, dtype=np.uint64)
         for batch in batches:
-            label, size = batch.column("label").to_numpy(), batch.column("size").to_numpy()
-            for group in sorted(set(zip(label.tolist(), size.tolist(), strict=True))):
-                passes, centre = plan[group]
-                rows = batch.filter(pa.array((label == group[0]) & (size == group[1])))
-                unit = unit_rows(rows.column("vector").flatten().to_numpy(zero_copy_only=False).reshape(-1, group[1])) - centre
-                for turn in turns[: max(0, passes - turns.start)]:
-                    signs = (unit @ _directions(turn, group[1]) >= 0) @ weights
-                    yield pa.record_batch(
-                        [
-                            pa.array(np.full(len(unit), turn, np.int32)),
-                            rows.column("label"),
-                            rows.column("size"),
-                            pa.array((signs ^ np.uint64(1 << 63)).view(np.int64)),
-                            rows.column("rep"),
-                            rows.column("vector"),
-                        ],
-                        names=["turn", "label", "size", "key", "rep", "vector"],
-                    )
-
-    columns = vectors.select("rep", "label", "size", "vector")
+            sizes = batch.column("size").to_numpy()
+            for size in np.unique(sizes).tolist():
+                rows = batch.filter(pa.array(sizes == size))
+                unit = unit_rows(rows.column("vector").flatten().to_numpy(zero_copy_only=False).reshape(-1, size))
+                cut = rows.column("centre").is_valid().to_numpy(zero_copy_only=False)
+                unit[cut] -= rows.column("centre").flatten().to_numpy(zero_copy_only=False).reshape(-1, size)
+                passes = rows.column("passes").to_numpy()
+                tie = np.where(cut, rows.column("rep").to_numpy(), 0)
+                for turn in turns:
+                    due = passes > turn
+                    if not due.any():
+                        break
+                    signs = ((unit[due] @ _directions(turn, size) >= 0) & cut[due, None]) @ weights
+                    here = rows.filter(pa.array(due))
+                    columns = {
+                        "turn": pa.array(np.full(len(signs), turn, np.int32)),
+                        "key": pa.array((signs ^ np.uint64(1 << 63)).view(np.int64)),
+                        "tie": pa.array(tie[due]),
+                    }
+                    names = ["turn", "label", "size", "reach", "key", "tie", "rep", "vector"]
+                    yield pa.record_batch([columns[c] if c in columns else here.column(c) for c in names], names=names)
+
+    columns = vectors.select("rep", "label", "size", "vector", "passes", "reach", "centre")
     return columns.mapInArrow(keys, PASS_SCHEMA + vectors.schema["vector"].dataType.simpleString())
 
 
@@ -215,23 +239,26 @@ def _stars(groups: Groups, start: int, end: int, threshold: float, neighbours: i
     return pa.record_batch([pa.array(ids[linked]), pa.array(ids[part[linked]])], names=["a", "b"])
 
 
-def neighbour_links(keyed: DataFrame, parts: int, threshold: float, neighbours: int) -> DataFrame:
+def neighbour_links(keyed: DataFrame, parts: int, threshold: float) -> DataFrame:
     """a, b: each vector and the first of its part, pass by pass."""
     keys = ["turn", "label", "size"]
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for groups in runs(batches, keys, neighbours):
+        for groups in runs(batches, keys):
+            reach = groups.column("reach")
             for start, end in zip(groups.bounds[:-1], groups.bounds[1:], strict=True):
-                yield _stars(groups, start, end, threshold, neighbours)
+                yield _stars(groups, start, end, threshold, int(reach[start]))
 
-    order = [*keys, "key", "rep"]
-    return keyed.repartitionByRange(parts, *order).sortWithinPartitions(*order).mapInArrow(compare, "a long, b long")
+    order = [*keys, "key", "tie"]
+    return keyed.repartitionByRange(parts, *order).sortWithinPartitions(*order, "rep").mapInArrow(compare, "a long, b long")
 
 
-def runs(batches: Iterator[pa.RecordBatch], keys: list[str], overlap: int) -> Iterator[Groups]:
-    """Sorted rows in tables of a batch, each with the last ``overlap`` rows before it."""
+def runs(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[Groups]:
+    """Sorted rows in tables of a batch, each with as many rows before it as the window of the last holds."""
     held = None
     for batch in batches:
+        if not batch.num_rows:
+            continue
         table = pa.Table.from_batches([batch])
         table = pa.concat_tables([held, table]) if held is not None else table
         new = np.zeros(table.num_rows, bool)
@@ -239,7 +266,7 @@ def runs(batches: Iterator[pa.RecordBatch], keys: list[str], overlap: int) -> It
             values = table[key].to_numpy()
             new[1:] |= values[1:] != values[:-1]
         yield Groups(table, np.concatenate([[0], np.flatnonzero(new), [table.num_rows]]))
-        held = table.slice(max(0, table.num_rows - overlap))
+        held = table.slice(max(0, table.num_rows - table["reach"][-1].as_py()))
 
 
 def paired_blocks(rows: DataFrame, keys: list[str]) -> DataFrame:
@@ -251,19 +278,6 @@ def paired_blocks(rows: DataFrame, keys: list[str]) -> DataFrame:
     )
 
 
-def block_links(vectors: DataFrame, threshold: float) -> DataFrame:
-    """a, b: each vector and the first of its part, for all pairs of blocks of each label."""
-    keys = ["label", "size", "x", "y"]
-
-    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for groups in whole_groups(batches, keys):
-            for start, end in zip(groups.bounds[:-1], groups.bounds[1:], strict=True):
-                yield _stars(groups, start, end, threshold, end - start)
-
-    paired = paired_blocks(vectors.select("label", "size", "rep", "vector"), ["label", "size"]).drop("block")
-    return paired.repartition(*keys).sortWithinPartitions(*keys, "rep").mapInArrow(compare, "a long, b long")
-
-
 def count_links(members: DataFrame, threshold: float) -> DataFrame:
     """rep, n_links: the vectors linked with each, all in its component, copies counted.
 
@@ -297,29 +311,24 @@ def count_links(members: DataFrame, threshold: float) -> DataFrame:
     return counted.groupBy("rep").agg(F.sum("links").alias("n_links"))
 
 
-def all_links(different: DataFrame, threshold: float, passes: int, neighbours: int) -> DataFrame:
+def all_links(different: DataFrame, threshold: float, neighbours: int) -> DataFrame:
     """a, b: stars that connect what is similar, round by round of passes."""
-    keys = ["label", "size"]
-    table = planned(different, threshold, passes, neighbours)
-    plan = {(r.label, r.size): (r.passes, np.array(r.centre)) for r in table.collect()}
-    few = F.broadcast(table.select(*keys, "passes"))
-    links = stage(block_links(different.join(few, keys, "left_anti"), threshold).distinct(), "links")
-    for first in range(0, max((p for p, _ in plan.values()), default=0), passes):
+    table = planned(different, threshold, neighbours)
+    most, links = table.agg(F.max("passes")).first()[0] or 1, None
+    for first in range(0, most, ROUND):
         # A round's passes at a time, so that the disk holds no more of them.
-        due = different.join(few.filter(F.col("passes") > first), keys, "left_semi")
-        parts = max(1, -(-due.count() * passes // PART_ROWS))
-        keyed = sorted_keys(due, plan, range(first, first + passes))
-        found = stage(neighbour_links(keyed, parts, threshold, neighbours).distinct(), "links")
-        links = links.unionByName(found)
+        due = table.filter(F.col("passes") > first)
+        rows = due.agg(F.sum(F.col("n") * F.least(F.col("passes") - first, F.lit(ROUND)))).first()[0] or 0
+        keyed = sorted_keys(different.join(due.drop("n"), ["label", "size"]), range(first, first + ROUND))
+        found = stage(neighbour_links(keyed, max(1, -(-rows // PART_ROWS)), threshold).distinct(), "links")
+        links = found if links is None else links.unionByName(found)
     return links
 
 
-def near_vectors(
-    vectors: DataFrame, threshold: float = THRESHOLD, passes: int = PASSES, neighbours: int = NEIGHBOURS
-) -> DataFrame:
+def near_vectors(vectors: DataFrame, threshold: float = THRESHOLD, neighbours: int = NEIGHBOURS) -> DataFrame:
     """vec_id, n_links, component_id, kept: one row per row of ``vectors``."""
     different = stage(distinct_vectors(vectors).withColumn("size", F.size("vector")), "vectors")
-    named = stage(components(all_links(different, threshold, passes, neighbours)), "components")
+    named = stage(components(all_links(different, threshold, neighbours)), "components")
     members = different.join(named, F.col("rep") == F.col("node")).select("component", "rep", "copies", "vector")
     counts = count_links(members, threshold)
     known = (

@@ -619,7 +619,7 @@ def vector_links(data):
     return [(a, b) for a in ok for b in ok if a < b and ok[a][0] == ok[b][0] and len(ok[a][1]) == len(ok[b][1]) and ok[a][1] @ ok[b][1] >= 0.93]
 
 
-@pytest.mark.parametrize(("neighbours", "block"), [(512, 1024), (8, 3)])
+@pytest.mark.parametrize(("neighbours", "block"), [(512, 1024), (64, 1024), (8, 3)])
 def test_near_vectors(spark, monkeypatch, neighbours, block):
     monkeypatch.setattr(embedding_dedup, "BLOCK_ROWS", block)
     data = vectors()
@@ -657,13 +657,31 @@ def test_links_of_large_labels_are_found(spark, monkeypatch, mean):
     true = reachable(range(len(unit)), zip(a.tolist(), b.tolist(), strict=True))
     data = [(k, v.tolist(), 3) for k, v in enumerate(unit)]
     frame = spark.createDataFrame(data, "vec_id long, embedding array<float>, label int").repartition(3)
-    got = {r.vec_id: r.component_id for r in embedding_dedup.near_vectors(frame, passes=4, neighbours=16).collect()}
+    got = {r.vec_id: r.component_id for r in embedding_dedup.near_vectors(frame, neighbours=16).collect()}
     assert sum(got[k] != true[k] for k in true) <= 0.005 * len(a)
 
 
 def test_passes_grow_with_the_label():
-    needed = [embedding_dedup.passes_needed(one_sided(1000, 1, 0.3)[:1000], n, 0.93, 512, 10**6) for n in (10**4, 10**6, 10**8)]
-    assert needed[0] < needed[1] < needed[2] < 10**6
+    needed = [embedding_dedup.passes_needed(one_sided(1000, 1, 0.3)[:1000], n, 0.93, 512) for n in (10**4, 10**6, 10**8)]
+    assert needed[0] < needed[1] < needed[2]
+
+
+def test_every_label_is_sorted(spark):
+    """A label that a window holds takes one pass, a larger one several; no border of a partition cuts the former."""
+    unit = one_sided(300, 40, 0.2).astype("f4")
+    data = [(k, v.tolist(), 0 if k >= 300 or k < 40 else 1) for k, v in enumerate(unit)]
+    frame = spark.createDataFrame(data, "vec_id long, embedding array<float>, label int")
+    different = embedding_dedup.distinct_vectors(frame).selectExpr("*", "size(vector) AS size")
+    plan = embedding_dedup.planned(different, 0.93, 100)
+    assert {r.label: (r.passes == 1, r.reach == 100, r.centre is None) for r in plan.collect()} == {0: (True, True, True), 1: (False, True, False)}
+    keyed = embedding_dedup.sorted_keys(different.join(plan.filter("label = 0").drop("n"), ["label", "size"]), range(0, 16))
+    links = embedding_dedup.neighbour_links(keyed, 40, 0.93)
+    got = reachable(range(len(unit)), [tuple(r) for r in links.collect()])
+    exact = unit[[*range(40), *range(300, 340)]].astype("f8")
+    exact /= np.sqrt((exact * exact).sum(1, keepdims=True))
+    ids = [*range(40), *range(300, 340)]
+    a, b = np.nonzero(np.triu(exact @ exact.T >= 0.93, 1))
+    assert got == reachable(range(len(unit)), [(ids[x], ids[y]) for x, y in zip(a, b, strict=True)])
 
 
 def test_no_vectors(spark):
