@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from siftline.functions import rules as R
 from siftline.functions import scores as S
 from siftline.functions.freshness import age_in_days, days_back, parse_instant
+from siftline.functions.keywords import words_in
 from siftline.operators.ranking import MAX_RECOMMENDATIONS
 from siftline.operators.scoring import ENRICH_MIN, FIT_MIN
 
@@ -256,17 +257,17 @@ def skill_mentions(seen: DataFrame, as_of: AsOf, profile: R.Profile) -> DataFram
 
     A keyword listed twice in the profile counts twice, as it does in scoring.
     """
-    words = F.array(*[F.lit(k) for k in profile.high + profile.medium]).cast("array<string>")
-    lowered = F.lower("match_reasons")
-    found = F.filter(words, lambda k: F.contains(lowered, F.lower(k)))
+    words = profile.high + profile.medium
+    names = F.array(*[F.lit(k) for k in words]).cast("array<string>")
+    found = words_in(F.lower("match_reasons"), [k.lower() for k in words])
     return (
         seen.where(
             _since("first_seen", as_of, 7)
             & (F.col("match_reasons") != "")
             & (F.col("ai_match_score") >= FIT_MIN)
         )
-        .select("ai_match_score", F.explode(found).alias("skill"))
-        .groupBy("skill")
+        .select("ai_match_score", F.explode(found).alias("_place"))
+        .groupBy(F.get(names, "_place").alias("skill"))
         .agg(
             F.count("*").alias("mention_count"),
             _avg1("ai_match_score").alias("avg_score_when_mentioned"),

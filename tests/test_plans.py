@@ -33,10 +33,12 @@ def exchanges(df):
     return len(re.findall(r"\bExchange (?:hash|range|Round|single)", plan(df)))
 
 
-def test_features_stay_in_the_jvm_and_never_shuffle(tables):
+def test_features_never_shuffle_and_only_keywords_leave_the_jvm(tables):
+    """Keywords are found by one automaton in Arrow batches; all other features stay in the JVM."""
     df = posting_features(tables.postings, PROFILE, AS_OF, EMPLOYERS)
     text = plan(df)
-    assert "Python" not in text and "Window" not in text
+    assert text.count("ArrowEvalPython") == 1 == text.count("[pythonUDF0") and "BatchEvalPython" not in text
+    assert "Window" not in text and exchanges(df) == 0
     assert "jd_text" not in df.columns
 
 
