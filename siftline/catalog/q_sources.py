@@ -11,6 +11,7 @@ from siftline.session import stage, stage_path
 from siftline.sources import html_postings as H
 from siftline.sources import json_postings as J
 from siftline.sources.common import document_seq, numbered, recent, union_sources
+from siftline.sources.file_sink import write_files
 from siftline.operators.dedup import cap_per_source
 
 _JSON_ITEM = """to_json(named_struct('id', seq, 'url', url,
@@ -57,7 +58,8 @@ def nested_json_source(t):
 def payload_files(t):
     """The payloads written to a file each, and read back."""
     path = stage_path(t.spark, "payloads")
-    nested_payloads(t).select("payload").write.option("maxRecordsPerFile", 1).option("lineSep", " ").text(path)
+    content = F.concat("payload", F.lit(" ")).cast("binary").alias("content")
+    write_files(nested_payloads(t).select(F.lit("payload").alias("name"), content), path)
     rows = J.nested_json_postings(J.read_payloads(t.spark, path), AS_OF)
     return rows.select(
         "source_id", "url", "title", "company", "location", "experience_required", "salary_info"

@@ -23,6 +23,9 @@ from siftline.sources.common import as_postings, document_seq
 MAX_YEARS = 5
 DETAIL_URL = "https://www.wanted.co.kr/wd/"
 
+# Tasks that read files: so many for a core, and no fewer than this where the cores aren't there yet.
+TASKS_PER_CORE, LEAST_TASKS = 16, 256
+
 _NUMBER_TYPE = r"^(BIGINT|DOUBLE|FLOAT|DECIMAL)"
 _EMBEDDED = r"(?s)window\.__NEXT_DATA__\s*=\s*(\{.*?\})\s*;?\s*</script>"
 
@@ -36,10 +39,20 @@ def read_payloads(spark: SparkSession, path: str, pass_over: bool = False) -> Da
     if pass_over:
         files = payload_files(spark, path).where("reason IS NULL").select("payload")
     else:
-        files = spark.read.text(path, wholetext=True).select(F.col("value").alias("payload"))
+        files = _few_tasks(spark.read.text(path, wholetext=True).select(F.col("value").alias("payload")))
     return files.select(F.monotonically_increasing_id().alias("payload_id"), "payload")
 
 
+def _few_tasks(files: DataFrame) -> DataFrame:
+    """``files`` read by a bounded number of tasks, in their order.
+
+    Spark deals out files as if each had 4 MB more, so that small ones come a few dozen
+    to a task, each of which takes longer to start than to read them, and leaves a block
+    for every partition of a shuffle.
+    """
+    return files.coalesce(max(LEAST_TASKS, TASKS_PER_CORE * files.sparkSession.sparkContext.defaultParallelism))
+
+
 def unread_payloads(spark: SparkSession, path: str) -> DataFrame:
     """path, reason of the files under ``path`` that give no payload."""
     return payload_files(spark, path).where("reason IS NOT NULL").select("path", "reason")

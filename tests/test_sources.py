@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from siftline.sources import common as C
-from siftline.sources import csv_sink
+from siftline.sources import csv_sink, file_sink
 from siftline.sources import html_postings as H
 from siftline.operators.numbering import dense_numbers
 from siftline.sources import json_postings as J
@@ -92,6 +92,34 @@ def test_file_reports(spark, tmp_path):
     assert ids(J.polymorphic_json_postings(payloads.limit(9), AS_OF)) == ["1"]
 
 
+def test_many_small_files_take_few_tasks(spark, tmp_path):
+    rows = spark.range(300).select(F.lit("x.json").alias("name"), F.concat(F.lit('{"data":[{"id":'), "id", F.lit("}]}")).cast("binary").alias("content"))
+    file_sink.write_files(rows, f"{tmp_path}/files", per_folder=200)
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "1b")  # a partition for each file
+    try:
+        for payloads in (J.read_payloads(spark, f"{tmp_path}/files"), J.read_payloads(spark, f"{tmp_path}/files/*")):
+            assert payloads.rdd.getNumPartitions() <= 256
+            found = J.polymorphic_json_postings(payloads, AS_OF).select("source_id").collect()
+            assert sorted(int(r.source_id) for r in found) == list(range(300))
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
+def test_files_for_rows(spark, tmp_path):
+    given = [("a", b"1"), ("a", b"1"), (None, b"2"), ("b=c", None), ("\u00e4.gz", b"\x00\xff")] * 3
+    rows = spark.createDataFrame(given, "name string, content binary")
+    for path in (f"{tmp_path}/plain", f"file:{tmp_path}/short", f"file://{tmp_path}/long"):
+        file_sink.write_files(rows, path, per_folder=4)
+        found = sorted((tmp_path / path.rpartition("/")[2]).glob("**/*-*"))
+        assert len({f.parent for f in found}) > 1 and not list(tmp_path.glob("**/_temporary*"))
+        assert sorted((f.name.partition("-")[2], f.read_bytes()) for f in found) == sorted((n or "", c or b"") for n, c in given)
+    with pytest.raises(FileExistsError):
+        file_sink.write_files(rows, f"{tmp_path}/plain")
+    file_sink.write_files(rows.limit(0), f"{tmp_path}/none")
+    assert J.read_payloads(spark, f"{tmp_path}/none").count() == 0
+
+
 def test_numbers_of_any_size(spark):
     """Far more documents in one partition, and places in one document, than bits were once kept for."""
     documents = spark.range(0, 40_000, 1, 1).select(
