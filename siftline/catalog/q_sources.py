@@ -78,16 +78,14 @@ def payload_file_reports(t):
     items = F.concat(F.lit('{"jobs": {"job": ['), F.array_join(F.collect_list("item"), ", "), F.lit("]}}"))
     files = t.postings.withColumn("item", F.expr(_JSON_ITEM)).groupBy(F.expr("seq div 20").alias("file_id")).agg(items.alias("payload"))
     kind = F.col("file_id") % 7
-    files = files.repartition("file_id").select("file_id", "payload")
-    plain = files.where(kind > 0).withColumn("payload", F.when(kind > 2, F.col("payload")).otherwise(F.lit(" "))).where(kind != 2)
-    plain.write.partitionBy("file_id").option("lineSep", " ").text(f"{root}/plain")
-    # Bytes that are no UTF-8, and the first ones of a compressed file, with nothing after them.
-    odd = {"wide": (kind == 0, F.col("payload"), "UTF-16"), "cut": (kind == 2, F.lit("\x1f\x8b\x08\x08"), "ISO-8859-1")}
-    for name, (chosen, payload, encoding) in odd.items():
-        written = files.where(chosen).withColumn("payload", payload).write.partitionBy("file_id")
-        plainly = {"ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
-        written.options(sep="\x01", quote="", encoding=encoding, **plainly).csv(f"{root}/{name}")
-    found = J.payload_files(t.spark, f"{root}/*")
+    # Bytes that are no UTF-8, a blank, and the first bytes of a compressed file with nothing after them.
+    content = (
+        F.when(kind == 0, F.encode(F.concat("payload", F.lit("\n")), "UTF-16")).when(kind == 1, F.lit(b"  ")).when(kind == 2, F.lit(b"\x1f\x8b\x08\x08\n"))
+        .otherwise(F.concat("payload", F.lit(" ")).cast("binary"))
+    )
+    name = F.concat(F.lit("file_id="), F.col("file_id").cast("string"))
+    write_files(files.where(kind >= 0).select(name.alias("name"), content.alias("content")), root)
+    found = J.payload_files(t.spark, root)
     file_id = F.regexp_extract("path", r"file_id=(\d+)", 1).cast("long")
     jobs = F.size(F.try_variant_get(F.try_parse_json("payload"), "$.jobs.job", "array<variant>"))
     return found.select(file_id.alias("file_id"), "reason", F.coalesce(F.when(F.col("payload").isNotNull(), jobs), F.lit(0)).cast("long").alias("postings"))

@@ -37,7 +37,7 @@ def read_payloads(spark: SparkSession, path: str, pass_over: bool = False) -> Da
     it is left out, and :func:`unread_payloads` tells which.
     """
     if pass_over:
-        files = payload_files(spark, path).where("reason IS NULL").select("payload")
+        files = _read(_files(spark, path)).where("reason IS NULL").select("payload")
     else:
         files = _few_tasks(spark.read.text(path, wholetext=True).select(F.col("value").alias("payload")))
     return files.select(F.monotonically_increasing_id().alias("payload_id"), "payload")
@@ -63,13 +63,24 @@ def payload_files(spark: SparkSession, path: str) -> DataFrame:
 
     No file fails its task: bytes are read as they are and decoded here, and a
     file that can't be read at all is found missing in the end.  Spark passes over
-    files of no bytes.
+    files of no bytes.  Contents are read once, names once more.
     """
+    files = _files(spark, path)
+    known = _few_tasks(files.select("path"))
+    # Packed files may hold far more than their size says, so what is read is not to be broadcast.
+    read = _read(files).withColumn("read", F.lit(True)).hint("merge")
+    lost = F.when(F.col("read").isNull(), F.lit("unreadable"))
+    return known.join(read, "path", "left").select("path", "payload", F.coalesce("reason", lost).alias("reason"))
+
+
+def _files(spark: SparkSession, path: str) -> DataFrame:
     reader = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
-    files = reader.option("ignoreCorruptFiles", "true").option("ignoreMissingFiles", "true").load(path)
-    read = files.select("path", "content").mapInArrow(_decoded, "path string, payload string, reason string")
-    lost = files.select("path").join(read.select("path"), "path", "left_anti")  # known by name, but not read
-    return read.unionByName(lost.select("path", F.lit(None).cast("string").alias("payload"), F.lit("unreadable").alias("reason")))
+    return reader.option("ignoreCorruptFiles", "true").option("ignoreMissingFiles", "true").load(path)
+
+
+def _read(files: DataFrame) -> DataFrame:
+    """path, payload, reason of the files that can be read, in the order of reading."""
+    return _few_tasks(files.select("path", "content")).mapInArrow(_decoded, "path string, payload string, reason string")
 
 
 def _decoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -106,6 +106,33 @@ def test_many_small_files_take_few_tasks(spark, tmp_path):
         spark.conf.set("spark.sql.files.maxPartitionBytes", before)
 
 
+def test_contents_are_read_once(spark, tmp_path):
+    (tmp_path / "sub").mkdir()
+    (tmp_path / "sub" / "good.json").write_text("[1]")
+    (tmp_path / "blank.json").write_text(" ")
+    (tmp_path / "worn.json").write_text("[2]")
+    (tmp_path / ".worn.json.crc").write_bytes(b"crc\x00\x00\x00\x02\x00" + bytes(4))  # not its checksum
+    files = J.payload_files(spark, str(tmp_path))
+    assert files._jdf.queryExecution().executedPlan().toString().count("MapInArrow") == 1
+    got = sorted((r.path.rpartition("/")[2], r.payload, r.reason) for r in files.collect())
+    assert got == [("blank.json", None, "empty"), ("good.json", "[1]", None), ("worn.json", None, "unreadable")]
+    assert sorted(r.reason for r in J.unread_payloads(spark, str(tmp_path)).collect()) == ["empty", "unreadable"]
+    assert [r.payload for r in J.read_payloads(spark, str(tmp_path), pass_over=True).collect()] == ["[1]"]
+
+
+def test_small_files_with_reports_take_few_tasks(spark, tmp_path):
+    for i in range(300):
+        (tmp_path / f"{i}.json").write_text(f"[{i}]")
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "1b")  # a partition for each file
+    try:
+        payloads = J.read_payloads(spark, str(tmp_path), pass_over=True)
+        assert payloads.rdd.getNumPartitions() <= 256
+        assert sorted(int(r.payload[1:-1]) for r in payloads.collect()) == list(range(300))
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
 def test_files_for_rows(spark, tmp_path):
     given = [("a", b"1"), ("a", b"1"), (None, b"2"), ("b=c", None), ("\u00e4.gz", b"\x00\xff")] * 3
     rows = spark.createDataFrame(given, "name string, content binary")
