@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from siftline.functions.freshness import epoch_to_iso
 from siftline.operators.dedup import keep_first
 from siftline.sources.common import as_postings, document_seq
+from siftline.sources.file_source import read_files
 
 # Experience limit in years, and the address of a posting.
 MAX_YEARS = 5
@@ -34,10 +35,13 @@ def read_payloads(spark: SparkSession, path: str, pass_over: bool = False) -> Da
     """One payload per file under ``path``, numbered in the order of reading.
 
     A file that can't be read, or is no UTF-8, fails the job.  With ``pass_over``
-    it is left out, and :func:`unread_payloads` tells which.
+    it is left out, and :func:`unread_payloads` tells which; the list of files is then
+    in the driver, as it is on file systems that Arrow can't open.
     """
     if pass_over:
         files = _read(_files(spark, path)).where("reason IS NULL").select("payload")
+    elif (found := read_files(spark, path, _tasks(spark))) is not None:
+        files = found.select(F.col("content").cast("string").alias("payload"))
     else:
         files = _few_tasks(spark.read.text(path, wholetext=True).select(F.col("value").alias("payload")))
     return files.select(F.monotonically_increasing_id().alias("payload_id"), "payload")
@@ -50,7 +54,11 @@ def _few_tasks(files: DataFrame) -> DataFrame:
     to a task, each of which takes longer to start than to read them, and leaves a block
     for every partition of a shuffle.
     """
-    return files.coalesce(max(LEAST_TASKS, TASKS_PER_CORE * files.sparkSession.sparkContext.defaultParallelism))
+    return files.coalesce(_tasks(files.sparkSession))
+
+
+def _tasks(spark: SparkSession) -> int:
+    return max(LEAST_TASKS, TASKS_PER_CORE * spark.sparkContext.defaultParallelism)
 
 
 def unread_payloads(spark: SparkSession, path: str) -> DataFrame:

@@ -1,14 +1,18 @@
 """Payload and page readers on awkward inputs; the CSV sink."""
 
+import bz2
 import csv
 import glob
 import gzip
+import zlib
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from siftline.sources import common as C
 from siftline.sources import csv_sink, file_sink
+from siftline.sources.file_source import unpacked
 from siftline.sources import html_postings as H
 from siftline.operators.numbering import dense_numbers
 from siftline.sources import json_postings as J
@@ -106,6 +110,90 @@ def test_many_small_files_take_few_tasks(spark, tmp_path):
         spark.conf.set("spark.sql.files.maxPartitionBytes", before)
 
 
+def test_driver_has_no_list_of_files(spark, tmp_path):
+    rows = spark.range(50).select(F.lit("x").alias("name"), F.concat(F.lit("["), "id", F.lit("]")).cast("binary").alias("content"))
+    file_sink.write_files(rows, f"{tmp_path}/files", per_folder=20)
+    for path in (f"{tmp_path}/files", f"file://{tmp_path}/files/*", f"{tmp_path}/files/folder=0"):
+        payloads = J.read_payloads(spark, path)
+        assert not payloads.inputFiles()  # those of Spark's own readers, which the driver lists
+        assert not [x for x in ("FileScan", "InMemoryFileIndex") if x in payloads._jdf.queryExecution().toString()]
+        found = payloads.collect()
+        assert len({r.payload_id for r in found}) == len(found)
+        if not path.endswith("=0"):
+            assert sorted(int(r.payload[1:-1]) for r in found) == list(range(50))
+
+
+def both_readings(spark, path):
+    """The payloads as read here, without Spark's own reader, and by that."""
+    ours, theirs = J.read_payloads(spark, path).select("payload"), spark.read.text(path, wholetext=True).select("value")
+    assert not ours.inputFiles()
+    return [sorted(bytes(b) for (b,) in df.select(F.col(df.columns[0]).cast("binary")).collect()) for df in (ours, theirs)]
+
+
+def test_files_are_those_of_sparks_reader(spark, tmp_path):
+    given = {
+        "plain/latin.json": b"caf\xe9", "plain/mark.json": b"\xef\xbb\xbfx", "plain/empty": b"", "plain/two.gz": gzip.compress(b"a") + gzip.compress(b"b"),
+        "plain/nothing.gz": gzip.compress(b""), "plain/a.bz2": bz2.compress(b"bz") * 2, "plain/a.deflate": zlib.compress(b"de"), "plain/q.GZ": gzip.compress(b"as any"),
+        "plain/_hidden": b"1", "plain/.hidden": b"2", "plain/c._COPYING_": b"3", "plain/_k=v": b"4", "plain/_metadata.json": b"5", "plain/a b%20c\u00e4": b"6",
+        "plain/sub/deep.json": b"passed over", "lone/_sub/k=1/x": b"passed over",
+        "parts/k=1/x": b"7", "parts/k=2/x": b"8", "parts/k=2/plain/y": b"9", "parts/k=3/_no/z": b"no", "parts/_temporary-1/x": b"no", "parts/k=4/.z": b"no", "empty/k=1/x": b"", "empty/x": b"passed over",
+        "deep/in/k=1/j=2/x": b"10", "deep/in/k=1/j=3/x": b"11", "none/.x": b"no",
+    }
+    for name, content in given.items():
+        (tmp_path / name).parent.mkdir(parents=True, exist_ok=True)
+        (tmp_path / name).write_bytes(content)
+    counts = {}
+    for path in ("plain", "plain/*", "plain/a b%20c\u00e4", "plain/.hidden", "lone/_sub", "parts", "parts/*", "deep", "none", "empty", "{parts,deep}/*/k=1"):
+        ours, theirs = both_readings(spark, f"{tmp_path}/{path}")
+        assert ours == theirs, path
+        counts[path] = len(ours)
+    assert (counts["plain"], counts["parts"], counts["deep"], counts["none"]) == (9, 3, 2, 0)
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        J.read_payloads(spark, f"{tmp_path}/missing")
+
+
+def test_packed_files_as_sparks_reader(spark, tmp_path):
+    lines = spark.range(0, 60_000, 1, 1).selectExpr("concat(repeat(cast(id % 997 as string), 9), sha1(cast(id as string)))")
+    for codec in ("bzip2", "gzip", "lz4", "snappy", "deflate"):
+        lines.write.option("compression", codec).text(f"{tmp_path}/{codec}")
+        ours, theirs = both_readings(spark, f"{tmp_path}/{codec}")
+        assert ours == theirs and len(ours[0]) > 1_000_000
+    assert unpacked("x.zst", pa.Codec("zstd").compress(b"abc", asbytes=True)) == b"abc"
+    for bad in (b"\x00\x00\x00\x09\x00\x00\x00\x05abc", b"\x00\x00\x00\x09\x00\x00\x00\x00"):
+        with pytest.raises(EOFError):
+            unpacked("x.snappy", bad)
+
+
+def test_folders_and_files_that_fail(spark, tmp_path):
+    for name in ("keys/k=1/x", "keys/j=1/x", "bases/k=1/x", "bases/in/k=1/x", "mixed/x", "mixed/in/k=1/x"):
+        (tmp_path / name).parent.mkdir(parents=True, exist_ok=True)
+        (tmp_path / name).write_bytes(b"[1]")
+    for name in ("keys", "bases", "mixed"):
+        with pytest.raises(ValueError, match="conflicting"):
+            J.read_payloads(spark, f"{tmp_path}/{name}")
+    (tmp_path / "worn").mkdir()
+    (tmp_path / "worn" / "x").write_bytes(b"[2]")
+    sums = tmp_path / "worn" / ".x.crc"
+    for crc, good in ((bytes(4), False), (b"", False), (zlib.crc32(b"[2]").to_bytes(4, "big"), True)):
+        sums.write_bytes(b"crc\x00\x00\x00\x02\x00" + crc)
+        for path in (f"{tmp_path}/worn", f"{tmp_path}/worn/x"):
+            payloads = J.read_payloads(spark, path)
+            if good:
+                assert [r.payload for r in payloads.collect()] == ["[2]"]
+            else:
+                with pytest.raises(Exception, match="wrong checksum"):
+                    payloads.collect()
+    (tmp_path / "cut.gz").write_bytes(gzip.compress(b"[3]")[:-9])
+    with pytest.raises(Exception, match="EOFError"):
+        J.read_payloads(spark, f"{tmp_path}/cut.gz").collect()
+
+
+def test_file_systems_that_arrow_cannot_open(spark, tmp_path):
+    (tmp_path / "x.json").write_text("[1]")
+    spark._jsc.hadoopConfiguration().set("fs.viewfs.mounttable.odd.link./in", f"file://{tmp_path}")
+    assert [r.payload for r in J.read_payloads(spark, "viewfs://odd/in").collect()] == ["[1]"]
+
+
 def test_contents_are_read_once(spark, tmp_path):
     (tmp_path / "sub").mkdir()
     (tmp_path / "sub" / "good.json").write_text("[1]")
