@@ -88,7 +88,7 @@ def read_files(spark: SparkSession, path: str, most_tasks: int) -> DataFrame | N
     worth = max(min(many, spark.sparkContext.defaultParallelism), many // TASK_FILES, size // TASK_BYTES)
     tasks = max(1, min(worth, most_tasks))
     listed = over(chosen).mapInArrow(names, "path string, summed boolean")
-    return listed.repartition(tasks, "path").sortWithinPartitions("path").mapInArrow(contents, "path string, content binary")
+    return listed.repartition(tasks).sortWithinPartitions("path").mapInArrow(contents, "path string, content binary")
 
 
 def _matches(spark: SparkSession, path: str) -> list[str]:
